@@ -9,6 +9,8 @@ from ledgerlark.plans.registry import QUERIES, Query
 _MODULES = (
     "selection",
     "joining",
+    "aggregation",
+    "ranking",
 )
 
 
