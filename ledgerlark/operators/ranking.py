@@ -58,7 +58,7 @@ def with_rank(
     df: DataFrame, value: str, order: list[Column], rank: str = "rank", position: str = "position"
 ) -> DataFrame:
     """RANK by ``value`` next to ROW_NUMBER: equal values share the first place."""
-    placed = materialize(with_position(df, order, position), "ranked")
+    placed = with_position(df, order, position)
     firsts = placed.groupBy(value).agg(F.min(position).alias(rank))
     return placed.join(firsts, value).select(*df.columns, rank, position)
 

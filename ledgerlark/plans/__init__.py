@@ -11,6 +11,8 @@ _MODULES = (
     "joining",
     "aggregation",
     "ranking",
+    "subqueries",
+    "scalars",
 )
 
 
