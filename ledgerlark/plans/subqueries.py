@@ -71,7 +71,7 @@ def sub_corr_scalar(t: Tables) -> DataFrame:
     settled = t.orders.where(F.col("o_orderstatus") == SETTLED)
     counted = settled.groupBy("o_custkey").agg(COUNT.alias("n"))
     mine = counted.where(F.col("o_custkey") == F.col("c_custkey").outer())
-    found = mine.agg(F.sum("n")).scalar()
+    found = mine.select(F.sum("n")).scalar()
     return t.customer.select(
         "c_custkey", "c_name", F.coalesce(found, F.lit(0)).alias("settled_orders")
     )
