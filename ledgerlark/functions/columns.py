@@ -17,6 +17,10 @@ def cents(amount: str | Column) -> Column:
     return F.round(column * 100).cast("bigint")
 
 
+def count_rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def line_cents() -> Column:
     return cents("l_extendedprice")
 

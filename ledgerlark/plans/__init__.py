@@ -13,6 +13,7 @@ _MODULES = (
     "ranking",
     "subqueries",
     "scalars",
+    "changes",
 )
 
 

@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import cents, line_cents, or_zero, whole_average
+from ledgerlark.functions.columns import cents, count_rows, line_cents, or_zero, whole_average
 from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.joining import order_counts, order_totals, settled_totals
 from ledgerlark.plans.registry import query
 from ledgerlark.sources.tables import CANCELLED, SETTLED, Tables
 
-COUNT = F.count(F.lit(1))
-
-
 @query("""
     SELECT DISTINCT o_orderstatus, COUNT(*) OVER (PARTITION BY o_orderstatus) AS order_count
     FROM orders
@@ -21,7 +18,7 @@ COUNT = F.count(F.lit(1))
 def agg_count_group(t: Tables) -> DataFrame:
     return (
         t.orders.groupBy("o_orderstatus")
-        .agg(COUNT.alias("order_count"))
+        .agg(count_rows().alias("order_count"))
         .orderBy(F.desc("order_count"), "o_orderstatus")
     )
 
@@ -89,7 +86,7 @@ def agg_having(t: Tables) -> DataFrame:
     return (
         t.part.where(F.col("p_retailprice") >= 950)
         .groupBy(F.col("p_brand").alias("category"))
-        .agg(COUNT.alias("members"), F.sum(cents("p_retailprice")).alias("price_sum"))
+        .agg(count_rows().alias("members"), F.sum(cents("p_retailprice")).alias("price_sum"))
         .where(F.col("members") >= 40)
         .orderBy(F.desc("members"), "category")
     )
@@ -118,7 +115,7 @@ def agg_cond_distinct(t: Tables) -> DataFrame:
         F.max((status == CANCELLED).cast("int")).alias("cancelled"),
     )
     per_customer = distinct_orders.groupBy("c_custkey").agg(
-        COUNT.alias("n"), F.sum("settled").alias("settled"), F.sum("cancelled").alias("cancelled")
+        count_rows().alias("n"), F.sum("settled").alias("settled"), F.sum("cancelled").alias("cancelled")
     )
     return t.customer.join(per_customer, "c_custkey", "left").select(
         "c_custkey", "c_name",
@@ -148,7 +145,7 @@ def agg_daily_revenue(t: Tables) -> DataFrame:
     return (
         settled_orders(t)
         .groupBy(F.to_date("o_orderdate").alias("sales_date"))
-        .agg(F.sum("order_cents").alias("revenue_cents"), COUNT.alias("order_count"))
+        .agg(F.sum("order_cents").alias("revenue_cents"), count_rows().alias("order_count"))
         .orderBy("sales_date")
     )
 
@@ -164,7 +161,7 @@ def agg_monthly(t: Tables) -> DataFrame:
     return (
         settled_orders(t)
         .groupBy(F.trunc("o_orderdate", "month").alias("sales_month"))
-        .agg(F.sum("order_cents").alias("revenue_cents"), COUNT.alias("order_count"))
+        .agg(F.sum("order_cents").alias("revenue_cents"), count_rows().alias("order_count"))
         .orderBy("sales_month")
     )
 
@@ -175,8 +172,8 @@ def agg_monthly(t: Tables) -> DataFrame:
 """)
 def agg_global(t: Tables) -> DataFrame:
     """Without a grouping there is always one row, here even over nothing."""
-    none = t.lineitem.where(F.col("l_quantity") > 1000).agg(COUNT)
-    return t.lineitem.agg(COUNT.alias("line_count")).withColumn("none_matching", none.scalar())
+    none = t.lineitem.where(F.col("l_quantity") > 1000).agg(count_rows())
+    return t.lineitem.agg(count_rows().alias("line_count")).withColumn("none_matching", none.scalar())
 
 
 @query("""
@@ -187,9 +184,9 @@ def agg_global(t: Tables) -> DataFrame:
 def agg_empty(t: Tables) -> DataFrame:
     """COUNT of nothing is zero, every other aggregate NULL, and no group appears."""
     nothing = t.lineitem.where(F.col("l_quantity") > 1000)
-    grouped = nothing.groupBy("l_returnflag").count().agg(COUNT)
+    grouped = nothing.groupBy("l_returnflag").count().agg(count_rows())
     return nothing.agg(
-        COUNT.cast("int").alias("row_count"),
+        count_rows().cast("int").alias("row_count"),
         F.sum("l_quantity").isNull().alias("sum_missing"),
         F.avg("l_quantity").isNull().alias("avg_missing"),
         F.min("l_quantity").isNull().alias("min_missing"),
@@ -208,7 +205,7 @@ def agg_nulls(t: Tables) -> DataFrame:
     quantity = F.nullif("l_linenumber", F.lit(1)).isNotNull()
     known = t.lineitem.select(F.when(quantity, F.col("l_quantity").cast("bigint")).alias("q"))
     return known.agg(
-        COUNT.alias("cnt_star"), F.count("q").alias("cnt_column"), F.sum("q").alias("total"),
+        count_rows().alias("cnt_star"), F.count("q").alias("cnt_column"), F.sum("q").alias("total"),
         F.round(F.avg("q"), 6).alias("average"),
     )
 
@@ -222,7 +219,7 @@ def agg_nulls(t: Tables) -> DataFrame:
 def agg_avg_null_as_zero(t: Tables) -> DataFrame:
     known = F.when(F.col("l_linenumber") != 1, F.col("l_quantity").cast("bigint"))
     return t.lineitem.groupBy("l_returnflag").agg(
-        F.round(F.sum(or_zero(known)) / COUNT, 6).alias("average_with_zero"),
+        F.round(F.sum(or_zero(known)) / count_rows(), 6).alias("average_with_zero"),
         F.round(F.avg(known), 6).alias("average_known"),
     )
 
@@ -249,7 +246,7 @@ def agg_min_max(t: Tables) -> DataFrame:
 def agg_null_group(t: Tables) -> DataFrame:
     """All NULL keys fall into one group."""
     segment = F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment")
-    return t.customer.groupBy(segment).agg(COUNT.alias("customers")).select(
+    return t.customer.groupBy(segment).agg(count_rows().alias("customers")).select(
         F.coalesce("segment", F.lit("(none)")).alias("segment"), "customers"
     )
 
@@ -270,12 +267,12 @@ def agg_fanout(t: Tables) -> DataFrame:
     )
     parts = (
         t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey"))
-        .agg(COUNT.alias("n"))
+        .agg(count_rows().alias("n"))
         .join(t.part, "p_partkey")
         .select(F.lit("category").alias("grain"), F.col("p_brand").alias("name"), "n")
     )
     return orders.unionByName(parts).groupBy("grain", "name").agg(
-        F.sum("n").alias("joined_rows"), COUNT.alias("members")
+        F.sum("n").alias("joined_rows"), count_rows().alias("members")
     )
 
 
@@ -287,7 +284,7 @@ def agg_fanout(t: Tables) -> DataFrame:
 def agg_sum_distinct_trap(t: Tables) -> DataFrame:
     """SUM(DISTINCT) merges lines that happen to carry the same amount."""
     quantity = F.col("l_quantity").cast("bigint")
-    per_value = t.lineitem.groupBy("l_orderkey", quantity.alias("q")).agg(COUNT.alias("n"))
+    per_value = t.lineitem.groupBy("l_orderkey", quantity.alias("q")).agg(count_rows().alias("n"))
     return per_value.groupBy("l_orderkey").agg(
         F.sum(F.col("q") * F.col("n")).alias("right_sum"), F.sum("q").alias("merged_sum")
     )
@@ -304,7 +301,7 @@ def agg_distinct_pairs(t: Tables) -> DataFrame:
         met.join(t.orders, "o_orderkey")
         .select("o_custkey", "l_partkey")
         .distinct()
-        .agg(COUNT.alias("pairs"))
+        .agg(count_rows().alias("pairs"))
     )
 
 
@@ -315,7 +312,7 @@ def agg_distinct_pairs(t: Tables) -> DataFrame:
 """)
 def agg_dup_pairs(t: Tables) -> DataFrame:
     """The same product on several lines of one order."""
-    return t.lineitem.groupBy("l_orderkey", "l_partkey").agg(COUNT.alias("n")).where(
+    return t.lineitem.groupBy("l_orderkey", "l_partkey").agg(count_rows().alias("n")).where(
         F.col("n") > 1
     )
 
@@ -390,9 +387,9 @@ def key_stats(df: DataFrame, column: str, exact: bool = True) -> DataFrame:
             F.count(column).alias("row_count"),
             F.approx_count_distinct(column).alias("distinct_keys"),
         ).withColumn("rows_per_key", F.col("row_count") / F.col("distinct_keys"))
-    per_key = df.where(F.col(column).isNotNull()).groupBy(column).agg(COUNT.alias("n"))
+    per_key = df.where(F.col(column).isNotNull()).groupBy(column).agg(count_rows().alias("n"))
     return per_key.agg(
-        F.sum("n").alias("row_count"), COUNT.alias("distinct_keys"),
+        F.sum("n").alias("row_count"), count_rows().alias("distinct_keys"),
         F.round(F.avg("n"), 6).alias("rows_per_key"), F.max("n").alias("largest_key"),
     )
 
@@ -420,7 +417,7 @@ def agg_key_stats(t: Tables) -> DataFrame:
 """)
 def agg_value_skew(t: Tables) -> DataFrame:
     """Value histogram with each value's share of the rows."""
-    total = t.lineitem.agg(COUNT).scalar()
-    return t.lineitem.groupBy("l_suppkey").agg(COUNT.alias("n")).withColumn(
+    total = t.lineitem.agg(count_rows()).scalar()
+    return t.lineitem.groupBy("l_suppkey").agg(count_rows().alias("n")).withColumn(
         "share", F.round(F.col("n") / total, 6)
     )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import line_cents, or_zero
+from ledgerlark.functions.columns import count_rows, line_cents, or_zero
 from ledgerlark.operators.ranking import page_by_offset, with_position, with_rank
-from ledgerlark.plans.aggregation import COUNT, settled_orders
+from ledgerlark.plans.aggregation import settled_orders
 from ledgerlark.plans.joining import settled_totals
 from ledgerlark.plans.registry import query
 from ledgerlark.sources.tables import SETTLED, Tables
@@ -152,7 +152,7 @@ def topk_customers(t: Tables) -> DataFrame:
     best = (
         settled_orders(t)
         .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(COUNT.alias("order_count"), F.sum("order_cents").alias("paid_cents"))
+        .agg(count_rows().alias("order_count"), F.sum("order_cents").alias("paid_cents"))
         .orderBy(F.desc("paid_cents"), "c_custkey")
         .limit(3)
     )
@@ -170,16 +170,19 @@ def topk_derived(t: Tables) -> DataFrame:
     return best.join(t.customer, "c_custkey").select("c_name", "paid_cents")
 
 
-_PAGE = [F.desc("o_orderdate"), F.desc("o_orderkey")]
 _PAGE_SIZE = 20
 
 
+def newest_first() -> list[Column]:
+    return [F.desc("o_orderdate"), F.desc("o_orderkey")]
+
+
 @query("""
     SELECT o_orderkey, o_orderdate FROM orders
     ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 20 OFFSET 100
 """)
 def page_offset(t: Tables) -> DataFrame:
-    return page_by_offset(t.orders.select("o_orderkey", "o_orderdate"), _PAGE, 100, _PAGE_SIZE)
+    return page_by_offset(t.orders.select("o_orderkey", "o_orderdate"), newest_first(), 100, _PAGE_SIZE)
 
 
 @query("""
@@ -189,7 +192,7 @@ def page_offset(t: Tables) -> DataFrame:
 """)
 def page_offset_deep(t: Tables) -> DataFrame:
     """A page far down the order, cut by position."""
-    return page_by_offset(t.orders.select("o_orderkey", "o_orderdate"), _PAGE, 12_000, _PAGE_SIZE)
+    return page_by_offset(t.orders.select("o_orderkey", "o_orderdate"), newest_first(), 12_000, _PAGE_SIZE)
 
 
 @query("""
@@ -202,7 +205,7 @@ def page_keyset(t: Tables) -> DataFrame:
     day, key = dt.datetime(1998, 6, 15), 7000
     date = F.col("o_orderdate")
     after = (date <= day) & ((date < day) | (F.col("o_orderkey") < key))
-    return t.orders.where(after).select("o_orderkey", "o_orderdate").orderBy(*_PAGE).limit(
+    return t.orders.where(after).select("o_orderkey", "o_orderdate").orderBy(*newest_first()).limit(
         _PAGE_SIZE
     )
 
@@ -226,6 +229,6 @@ def scalar_order_limit1(t: Tables) -> DataFrame:
 def sort_nulls(t: Tables) -> DataFrame:
     """Where NULL sorts, first by default when ascending."""
     segment = F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment")
-    groups = t.customer.groupBy(segment).agg(COUNT.alias("customers"))
+    groups = t.customer.groupBy(segment).agg(count_rows().alias("customers"))
     first = with_position(groups, [F.asc("segment")], "nulls_first_place")
     return with_position(first, [F.asc_nulls_last("segment")], "nulls_last_place")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import cents
-from ledgerlark.plans.aggregation import COUNT
+from ledgerlark.functions.columns import cents, count_rows
 from ledgerlark.plans.registry import query
 from ledgerlark.sources.tables import Tables
 
@@ -22,7 +21,7 @@ def day_boundary_tz(t: Tables) -> DataFrame:
     local = F.convert_timezone(F.lit("UTC"), F.lit("Asia/Seoul"), F.col("ts"))
     return t.events.groupBy(
         "event_type", F.to_date("ts").alias("day_utc"), F.to_date(local).alias("day_local")
-    ).agg(COUNT.alias("n"), F.sum(cents("value")).alias("value_cents"))
+    ).agg(count_rows().alias("n"), F.sum(cents("value")).alias("value_cents"))
 
 
 @query("""
@@ -42,7 +41,7 @@ def json_attr(t: Tables) -> DataFrame:
     )
     same = F.col("k").eqNullSafe(F.col("p")) & F.col("k").eqNullSafe(F.col("v"))
     return rows.groupBy("event_type").agg(
-        COUNT.alias("n"), F.sum("k").alias("k_sum"), F.max("k").alias("k_max"),
+        count_rows().alias("n"), F.sum("k").alias("k_sum"), F.max("k").alias("k_max"),
         F.count_if(~same).alias("other_reading"),
     )
 
@@ -57,7 +56,7 @@ def date_functions(t: Tables) -> DataFrame:
     """Day, formatted month and distance in days."""
     last = t.orders.agg(F.max("o_orderdate")).scalar()
     date = F.col("o_orderdate")
-    return t.orders.groupBy("o_orderdate").agg(COUNT.alias("n")).select(
+    return t.orders.groupBy("o_orderdate").agg(count_rows().alias("n")).select(
         F.date_format(date, "yyyy-MM").alias("order_month"),
         F.to_date(date).alias("order_day"),
         F.datediff(last, date).alias("days_before_last"),
@@ -115,7 +114,7 @@ def type_functions(t: Tables) -> DataFrame:
         F.col("l_linenumber").cast("string")
     )
     return t.lineitem.select("l_returnflag", text.alias("value")).groupBy("l_returnflag").agg(
-        COUNT.alias("n"),
+        count_rows().alias("n"),
         F.count(F.col("value").try_cast("int")).alias("numeric_rows"),
         F.max(F.typeof("value")).alias("stored_as"),
     )
@@ -131,4 +130,4 @@ def round_and_cast(t: Tables) -> DataFrame:
     half = F.col("l_quantity") * 0.5
     return t.lineitem.groupBy(
         F.round(half).cast("bigint").alias("rounded"), half.cast("bigint").alias("truncated")
-    ).agg(COUNT.alias("n"))
+    ).agg(count_rows().alias("n"))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import cents, on_sale
+from ledgerlark.functions.columns import cents, count_rows, on_sale
 from ledgerlark.operators import comparisons
 from ledgerlark.operators.sets import row_differences, union_all
-from ledgerlark.plans.aggregation import COUNT
 from ledgerlark.plans.joining import settled_totals
 from ledgerlark.plans.registry import query
 from ledgerlark.sources.tables import CANCELLED, SETTLED, TABLE_NAMES, Tables
@@ -34,9 +33,9 @@ def sub_scalar_select(t: Tables) -> DataFrame:
     cancelled = t.orders.where(F.col("o_orderstatus") == CANCELLED)
     price = t.part.where(F.col("p_partkey") == 1).select(cents("p_retailprice"))
     return t.spark.range(1).select(
-        t.orders.agg(COUNT).scalar().alias("orders"),
-        cancelled.agg(COUNT).scalar().alias("cancelled"),
-        t.lineitem.agg(COUNT).scalar().alias("line_count"),
+        t.orders.agg(count_rows()).scalar().alias("orders"),
+        cancelled.agg(count_rows()).scalar().alias("cancelled"),
+        t.lineitem.agg(count_rows()).scalar().alias("line_count"),
         price.scalar().alias("price_cents"),
     )
 
@@ -69,7 +68,7 @@ def sub_corr_scalar(t: Tables) -> DataFrame:
     The orders are counted per customer first, so the subquery looks up one row.
     """
     settled = t.orders.where(F.col("o_orderstatus") == SETTLED)
-    counted = settled.groupBy("o_custkey").agg(COUNT.alias("n"))
+    counted = settled.groupBy("o_custkey").agg(count_rows().alias("n"))
     mine = counted.where(F.col("o_custkey") == F.col("c_custkey").outer())
     found = mine.select(F.sum("n")).scalar()
     return t.customer.select(
@@ -182,7 +181,7 @@ def sub_scalar_empty(t: Tables) -> DataFrame:
     """A scalar subquery over no rows is NULL until it is guarded."""
     none = t.part.where(F.col("p_brand") == "none").select(cents("p_retailprice").alias("x"))
     missing = none.agg(F.max("x").alias("x"))
-    return t.part.agg(COUNT.alias("parts")).select(
+    return t.part.agg(count_rows().alias("parts")).select(
         "parts",
         missing.scalar().isNull().alias("highest_missing"),
         comparisons.single_value(none, "x", 0).cast("bigint").alias("guarded_cents"),
@@ -233,7 +232,7 @@ def union_all_rows(t: Tables) -> DataFrame:
     """Members per nation of both kinds, one below the other."""
     people = t.customer.select(F.lit("customer").alias("kind"), F.col("c_nationkey").alias("nation"))
     sellers = t.supplier.select(F.lit("supplier").alias("kind"), F.col("s_nationkey").alias("nation"))
-    return people.unionByName(sellers).groupBy("kind", "nation").agg(COUNT.alias("members"))
+    return people.unionByName(sellers).groupBy("kind", "nation").agg(count_rows().alias("members"))
 
 
 @query("""
@@ -260,7 +259,7 @@ def golden_diff(t: Tables) -> DataFrame:
     """Rows of a report that changed against the copy stored a month earlier."""
 
     def report(orders: DataFrame) -> DataFrame:
-        return orders.groupBy("o_custkey", "o_orderstatus").agg(COUNT.alias("n"))
+        return orders.groupBy("o_custkey", "o_orderstatus").agg(count_rows().alias("n"))
 
     earlier = t.orders.where(F.col("o_orderdate") < "2001-07-01")
     return row_differences(report(t.orders), report(earlier))
@@ -272,6 +271,6 @@ def golden_diff(t: Tables) -> DataFrame:
 def rowcount_report(t: Tables) -> DataFrame:
     """Rows of every table."""
     return union_all([
-        t.read(name).agg(F.lit(name).alias("table_name"), COUNT.alias("row_count"))
+        t.read(name).agg(F.lit(name).alias("table_name"), count_rows().alias("row_count"))
         for name in TABLE_NAMES
     ])
