@@ -14,6 +14,7 @@ _MODULES = (
     "subqueries",
     "scalars",
     "changes",
+    "quality",
 )
 
 
