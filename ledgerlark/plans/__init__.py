@@ -15,6 +15,10 @@ _MODULES = (
     "scalars",
     "changes",
     "quality",
+    "reshaping",
+    "searching",
+    "layouts",
+    "timelines",
 )
 
 
