@@ -6,33 +6,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _facts(listed: DataFrame, column: str) -> Column:
+    """Size, NULLs and bounds of the list: one row from one pass."""
+    return listed.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("size"), F.count_if(F.col(column).isNull()).alias("nulls"),
+            F.min(column).alias("low"), F.max(column).alias("high"),
+        )
+    ).scalar()
+
+
 def above_all(value: str, listed: DataFrame, column: str) -> Column:
     """``value > ALL (SELECT column FROM listed)`` as a three-valued column.
 
     The maximum alone is not enough: an empty list is TRUE for every row, and a
     NULL in the list leaves UNKNOWN unless some other value already refutes it.
     """
-    size = listed.agg(F.count(F.lit(1))).scalar()
-    nulls = listed.agg(F.count_if(F.col(column).isNull())).scalar()
-    top = listed.agg(F.max(column)).scalar()
+    facts = _facts(listed, column)
     return (
-        F.when(size == 0, F.lit(True))
-        .when(F.col(value) <= top, F.lit(False))
-        .when(nulls > 0, F.lit(None).cast("boolean"))
-        .otherwise(F.col(value) > top)
+        F.when(facts["size"] == 0, F.lit(True))
+        .when(F.col(value) <= facts["high"], F.lit(False))
+        .when(facts["nulls"] > 0, F.lit(None).cast("boolean"))
+        .otherwise(F.col(value) > facts["high"])
     )
 
 
 def above_any(value: str, listed: DataFrame, column: str) -> Column:
     """``value > ANY (SELECT column FROM listed)`` as a three-valued column."""
-    size = listed.agg(F.count(F.lit(1))).scalar()
-    nulls = listed.agg(F.count_if(F.col(column).isNull())).scalar()
-    low = listed.agg(F.min(column)).scalar()
+    facts = _facts(listed, column)
     return (
-        F.when(size == 0, F.lit(False))
-        .when(F.col(value) > low, F.lit(True))
-        .when(nulls > 0, F.lit(None).cast("boolean"))
-        .otherwise(F.col(value) > low)
+        F.when(facts["size"] == 0, F.lit(False))
+        .when(F.col(value) > facts["low"], F.lit(True))
+        .when(facts["nulls"] > 0, F.lit(None).cast("boolean"))
+        .otherwise(F.col(value) > facts["low"])
     )
 
 

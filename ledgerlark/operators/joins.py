@@ -33,11 +33,14 @@ def not_in(left: DataFrame, key: str, right: DataFrame, right_key: str) -> DataF
     its size; here the two NULL questions are one-row aggregates and the rest is
     an ordinary anti join.
     """
-    listed = right.select(F.col(right_key).alias(key)).distinct()
-    size = listed.agg(F.count(F.lit(1))).scalar()
-    nulls = listed.agg(F.count_if(F.col(key).isNull())).scalar()
-    rest = left.join(listed.where(F.col(key).isNotNull()), key, "left_anti").select(left.columns)
-    return rest.where((nulls == 0) & (F.col(key).isNotNull() | (size == 0)))
+    facts = right.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("size"), F.count_if(F.col(right_key).isNull()).alias("nulls")
+        )
+    ).scalar()
+    rest = without_match(left, key, right.where(F.col(right_key).isNotNull()), right_key)
+    known = F.col(key).isNotNull() | (facts["size"] == 0)
+    return rest.where((facts["nulls"] == 0) & known)
 
 
 def full_from_sides(

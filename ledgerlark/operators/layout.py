@@ -49,6 +49,19 @@ def file_ranges(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def files_for_smallest(ranges: DataFrame) -> DataFrame:
+    """Files there are, and those a lookup of the smallest value must open."""
+    per_low = ranges.groupBy("low").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"),
+        F.sum("row_count").alias("row_count"),
+    )
+    return per_low.agg(
+        F.sum("n").alias("files"), F.sum("row_count").alias("row_count"),
+        F.sum("bytes").alias("bytes"), F.min_by("n", "low").alias("files_opened"),
+        F.min_by("bytes", "low").alias("bytes_opened"),
+    )
+
+
 def files_for(ranges: DataFrame, low, high) -> DataFrame:
     """Files and bytes there are, and those a filter on the range must open."""
     touched = (F.col("low") <= high) & (F.col("high") >= low)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators.joins import keys
 from ledgerlark.operators.sets import union_all
+from ledgerlark.sources.scratch import materialize
 
 # Order in which a row's broken rules are reported: the first kind wins.
 PRECEDENCE = ("NOT NULL", "CHECK", "UNIQUE", "FOREIGN KEY")
@@ -189,8 +190,11 @@ def judged(df: DataFrame, row_key: Column, broken: DataFrame) -> DataFrame:
 
 
 def split(df: DataFrame, row_key: Column, broken: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Accepted rows, and quarantined rows with their reason."""
-    rows = judged(df, row_key, broken)
+    """Accepted rows, and quarantined rows with their reason.
+
+    The judged rows are written once, so the two outputs do not check twice.
+    """
+    rows = materialize(judged(df, row_key, broken), "judged")
     refused = F.col("refused_for").isNotNull()
     return rows.where(~refused).select(df.columns), rows.where(refused)
 

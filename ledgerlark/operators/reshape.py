@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.sets import row_differences
+from ledgerlark.operators.sets import row_counts
 
 
 def explode_lists(df: DataFrame, lists: dict[str, str], separator: str = ",") -> DataFrame:
@@ -25,14 +25,18 @@ def dependency_violations(
 ) -> DataFrame:
     """Determinant values that go with more than one dependent value.
 
-    Whether there is more than one needs only the smallest and the largest, which
-    combine on the map side; no distinct count is made.
+    The pairs are made distinct first: that combines on the map side, so a hot
+    determinant shrinks to its few pairs before it is grouped.
     """
     value = F.struct(*dependent)
+    pairs = df.select(*determinant, *dependent).distinct()
     return (
-        df.groupBy(*determinant)
-        .agg(F.min(value).alias("lowest"), F.max(value).alias("highest"))
-        .where(~F.col("lowest").eqNullSafe(F.col("highest")))
+        pairs.groupBy(*determinant)
+        .agg(
+            F.count(F.lit(1)).alias("values"), F.min(value).alias("lowest"),
+            F.max(value).alias("highest"),
+        )
+        .where(F.col("values") > 1)
     )
 
 
@@ -48,11 +52,9 @@ def dimension(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def lossless(original: DataFrame, rejoined: DataFrame) -> DataFrame:
-    """Row counts of both sides and the rows whose number differs."""
-    differing = row_differences(original, rejoined.select(original.columns))
-    count = F.count(F.lit(1))
-    return original.agg(count.alias("original_rows")).select(
-        "original_rows",
-        rejoined.agg(count).scalar().alias("rejoined_rows"),
-        differing.agg(count).scalar().alias("differing_rows"),
+    """Row counts of both sides and the distinct rows whose number differs."""
+    counts = row_counts(original, rejoined.select(original.columns))
+    return counts.agg(
+        F.sum("left_rows").alias("original_rows"), F.sum("right_rows").alias("rejoined_rows"),
+        F.count_if(F.col("left_rows") != F.col("right_rows")).alias("differing_rows"),
     )

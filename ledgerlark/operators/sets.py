@@ -12,6 +12,15 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def row_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every distinct row with the number of times each input holds it."""
+    tagged = left.withColumn("_side", F.lit(1)).unionByName(right.withColumn("_side", F.lit(-1)))
+    return tagged.groupBy(*left.columns).agg(
+        F.count_if(F.col("_side") == 1).alias("left_rows"),
+        F.count_if(F.col("_side") == -1).alias("right_rows"),
+    )
+
+
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that occur a different number of times in the two inputs.
 
@@ -19,13 +28,4 @@ def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     one line of the report, and both counts come from a single aggregation that
     combines on the map side.
     """
-    columns = left.columns
-    tagged = left.withColumn("_side", F.lit(1)).unionByName(right.withColumn("_side", F.lit(-1)))
-    return (
-        tagged.groupBy(*columns)
-        .agg(
-            F.count_if(F.col("_side") == 1).alias("left_rows"),
-            F.count_if(F.col("_side") == -1).alias("right_rows"),
-        )
-        .where(F.col("left_rows") != F.col("right_rows"))
-    )
+    return row_counts(left, right).where(F.col("left_rows") != F.col("right_rows"))

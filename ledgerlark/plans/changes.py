@@ -12,7 +12,8 @@ from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.incoming import INCOMING_SQL, ORDER_RULES, incoming_orders, row_key
 from ledgerlark.plans.joining import named_lines, urgent_orders
 from ledgerlark.plans.registry import query
-from ledgerlark.sources.scratch import materialize
+from ledgerlark.sources.scratch import run_folder
+from ledgerlark.sources.sinks import VersionedTable
 from ledgerlark.sources.tables import CANCELLED, PENDING, Tables
 
 
@@ -57,12 +58,14 @@ def insert_lookup(t: Tables) -> DataFrame:
     FROM part
 """)
 def copy_rewrite(t: Tables) -> DataFrame:
-    """A table copied into a re-declared shape and read from its new place."""
-    redeclared = t.part.select(
+    """A table copied into a re-declared shape; readers switch to the new version."""
+    table = VersionedTable(t.spark, run_folder(t.spark, "part"))
+    first = table.write(t.part, 1)
+    redeclared = first.select(
         F.col("p_partkey").cast("string").alias("part_code"), F.upper("p_name").alias("p_name"),
         cents("p_retailprice").alias("price_cents"), (F.col("p_size") > 10).alias("available"),
     )
-    return materialize(redeclared, "part-redeclared")
+    return table.write(redeclared, 2)
 
 
 @query("""

@@ -70,14 +70,10 @@ def win_top1_per_group(t: Tables) -> DataFrame:
     A maximum over (quantity, smaller key first) combines on the map side, where
     a window would sort each customer's whole group in one task.
     """
-    quantity = F.col("l_quantity").cast("bigint")
-    per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"), "l_partkey").agg(
-        F.sum(quantity).alias("q")
-    )
     per_pair = (
-        per_order.join(t.orders, "o_orderkey")
+        t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy("o_custkey", "l_partkey")
-        .agg(F.sum("q").alias("q"))
+        .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
     )
     best = F.max(F.struct("q", (-F.col("l_partkey")).alias("rest"))).alias("best")
     return per_pair.groupBy("o_custkey").agg(best).select(
@@ -123,13 +119,13 @@ def topk_filtered(t: Tables) -> DataFrame:
 def topk_products(t: Tables) -> DataFrame:
     """Five best-selling products by quantity, then sales, then key."""
     settled = t.orders.where(F.col("o_orderstatus") == SETTLED).select("o_orderkey")
-    per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"), "l_partkey").agg(
-        F.sum(F.col("l_quantity").cast("bigint")).alias("q"), F.sum(line_cents()).alias("c")
-    )
     sold = (
-        per_order.join(settled, "o_orderkey")
+        t.lineitem.join(settled, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy(F.col("l_partkey").alias("p_partkey"))
-        .agg(F.sum("q").alias("total_quantity"), F.sum("c").alias("total_cents"))
+        .agg(
+            F.sum(F.col("l_quantity").cast("bigint")).alias("total_quantity"),
+            F.sum(line_cents()).alias("total_cents"),
+        )
         .orderBy(F.desc("total_quantity"), F.desc("total_cents"), "p_partkey")
         .limit(5)
     )

@@ -10,6 +10,7 @@ from ledgerlark.operators import reshape
 from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.joining import wide_lines
 from ledgerlark.plans.registry import query
+from ledgerlark.sources.scratch import materialize
 from ledgerlark.sources.tables import Tables
 
 
@@ -24,6 +25,11 @@ def sheet(t: Tables) -> DataFrame:
     )
 
 
+def stored_sheet(t: Tables) -> DataFrame:
+    """The ledger as a written table: joined once, then read by column."""
+    return materialize(sheet(t), "sheet")
+
+
 _SHEET_SQL = """
     WITH sheet AS (
         SELECT l_orderkey AS order_id, l_linenumber AS line_no, c_custkey AS customer_id,
@@ -91,7 +97,7 @@ _PARTS = {
 ))
 def nf_decompose(t: Tables) -> DataFrame:
     """The wide ledger taken apart; each table is distinct in its determinant."""
-    wide = sheet(t)
+    wide = stored_sheet(t)
     return union_all([
         reshape.dimension(wide, columns).agg(
             F.lit(name).alias("table_name"), count_rows().alias("row_count")
@@ -116,7 +122,7 @@ _DEPENDENCIES = (
 ))
 def fd_check(t: Tables) -> DataFrame:
     """Which dependencies of the wide ledger hold, and how many values break them."""
-    wide = sheet(t)
+    wide = stored_sheet(t)
     return union_all([
         reshape.dependency_violations(wide, x, y).agg(
             F.lit(",".join(x)).alias("determinant"), F.lit(",".join(y)).alias("dependent"),
@@ -133,7 +139,9 @@ def fd_check(t: Tables) -> DataFrame:
 """)
 def lossless_join(t: Tables) -> DataFrame:
     """Lines and products taken apart and joined again give the same rows."""
-    wide = sheet(t).select("order_id", "line_no", "part_id", "part_name", "category", "line_cents")
+    wide = stored_sheet(t).select(
+        "order_id", "line_no", "part_id", "part_name", "category", "line_cents"
+    )
     lines = wide.select("order_id", "line_no", "part_id", "line_cents")
     products = reshape.dimension(wide, ["part_id", "part_name", "category"])
     return reshape.lossless(wide, lines.join(products, "part_id"))

@@ -113,10 +113,10 @@ def type_functions(t: Tables) -> DataFrame:
     text = F.when(F.col("l_linenumber") == 1, F.col("l_returnflag")).otherwise(
         F.col("l_linenumber").cast("string")
     )
-    return t.lineitem.select("l_returnflag", text.alias("value")).groupBy("l_returnflag").agg(
+    values = t.lineitem.select("l_returnflag", text.alias("value"))
+    return values.groupBy("l_returnflag", F.typeof("value").alias("stored_as")).agg(
         count_rows().alias("n"),
         F.count(F.col("value").try_cast("int")).alias("numeric_rows"),
-        F.max(F.typeof("value")).alias("stored_as"),
     )
 
 

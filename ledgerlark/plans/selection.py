@@ -132,7 +132,7 @@ def filter_or_union(t: Tables) -> DataFrame:
     columns = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
     cancelled = t.orders.where(F.col("o_orderstatus") == CANCELLED).select(columns)
     urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(columns)
-    return cancelled.union(urgent).dropDuplicates(["o_orderkey"])
+    return cancelled.union(urgent).distinct()
 
 
 @query("""

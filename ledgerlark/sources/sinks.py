@@ -26,10 +26,10 @@ def write_report(spark: SparkSession, results: dict[str, DataFrame]) -> DataFram
 
 
 class VersionedTable:
-    """A table whose changes are new folders, named by a number the caller gives.
+    """A table whose changes are new folders, numbered by the caller.
 
-    Writing version ``n`` again replaces it, so a repeated batch has no second
-    effect; readers keep the version they opened.
+    Writing a version again replaces it, so a repeated change has no second effect,
+    and readers keep the version they opened.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -39,8 +39,7 @@ class VersionedTable:
     def path(self, version: int) -> str:
         return f"{self.folder}/v{version:08d}"
 
-    def write(self, df: DataFrame, version: int) -> None:
+    def write(self, df: DataFrame, version: int) -> DataFrame:
+        """Write a version and return it as read back."""
         df.write.mode("overwrite").parquet(self.path(version))
-
-    def read(self, version: int, like: DataFrame) -> DataFrame:
-        return self.spark.read.schema(like.schema).parquet(self.path(version))
+        return self.spark.read.schema(df.schema).parquet(self.path(version))

@@ -7,13 +7,14 @@ each micro-batch writes to a place named by its number.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlark.operators import changes, quality
 from ledgerlark.operators.timeseries import bucketed
-from ledgerlark.sources.sinks import VersionedTable
 
 
 def file_stream(
@@ -48,63 +49,64 @@ def stream_buckets(
     return stream.sparkSession.read.schema(closed.schema).parquet(f"{folder}/buckets")
 
 
-def stream_validated(
-    stream: DataFrame, table: str, row_key: Column, rules: list[quality.Rule],
-    parents: dict[str, DataFrame], folder: str,
-) -> tuple[DataFrame, DataFrame]:
-    """Each micro-batch split into accepted and quarantined rows."""
+def _batches(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """Rows of all micro-batches written below ``folder``, with their number."""
+    return spark.read.schema(schema.add("batch", "long")).parquet(folder)
 
-    def judge(batch: DataFrame, number: int) -> None:
-        broken = quality.violations(batch, table, row_key, rules, parents)
-        quality.judged(batch, row_key, broken).withColumn(
-            "accepted", F.col("refused_for").isNull()
-        ).write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+
+def _run_batches(stream: DataFrame, write: Callable[[DataFrame], DataFrame], folder: str) -> None:
+    """Write ``write(batch)`` for every micro-batch, in a folder named by its number.
+
+    A batch that runs again replaces its own folder and nothing else.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        write(batch).write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
 
     run = (
-        stream.writeStream.foreachBatch(judge)
+        stream.writeStream.foreachBatch(put)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     run.awaitTermination()
-    rows = stream.sparkSession.read.parquet(f"{folder}/rows")
-    refused = rows.where(~F.col("accepted")).select(
-        *stream.columns, "refused_for", "refused_rule"
-    )
-    return rows.where("accepted").select(stream.columns), refused
+
+
+def stream_validated(
+    stream: DataFrame, table: str, row_key: Column, rules: list[quality.Rule],
+    parents: dict[str, DataFrame], folder: str,
+) -> tuple[DataFrame, DataFrame]:
+    """Each micro-batch split into accepted and quarantined rows."""
+
+    def judge(batch: DataFrame) -> DataFrame:
+        broken = quality.violations(batch, table, row_key, rules, parents)
+        return quality.judged(batch, row_key, broken)
+
+    _run_batches(stream, judge, folder)
+    schema = StructType(list(stream.schema.fields)).add("refused_for", "string")
+    rows = _batches(stream.sparkSession, f"{folder}/rows", schema.add("refused_rule", "string"))
+    refused = F.col("refused_for").isNotNull()
+    return rows.where(~refused).select(stream.columns), rows.where(refused)
 
 
 def stream_upserted(
     stream: DataFrame, time: str, delay: str, event_key: str, key: str, columns: list[str],
     current: DataFrame, sequence: str, folder: str,
 ) -> DataFrame:
-    """Apply each micro-batch to a table as an upsert; returns its last version.
+    """``current`` with every micro-batch applied as an upsert.
 
-    A repeated event is dropped while the watermark still covers it; beyond that
-    the guarantee ends. Version ``n`` + 1 is made from version ``n`` and batch
-    ``n`` only, so a batch that runs twice leaves the same table. One writer per
-    table is assumed.
+    A micro-batch only appends its rows; they are merged with the table when it is
+    read, so its cost does not grow with the table. Writing the result as the next
+    ``current`` and starting a new folder compacts the log. A repeated event is
+    dropped while the watermark still covers it; beyond that the guarantee ends.
     """
-    table = VersionedTable(stream.sparkSession, f"{folder}/versions")
-    table.write(current, 0)
-    last = [0]
-
-    def apply(batch: DataFrame, number: int) -> None:
-        before = table.read(number, current)
-        after = changes.upsert_update(before, batch, key, columns, sequence)
-        table.write(after, number + 1)
-        last[0] = number + 1
-
     once = (
         stream.withColumn("_seen", F.col(time).cast("timestamp"))
         .withWatermark("_seen", delay)
         .dropDuplicatesWithinWatermark([event_key])
+        .drop("_seen")
     )
-    run = (
-        once.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
-    return table.read(last[0], current)
+    _run_batches(once, lambda batch: batch, folder)
+    log = _batches(stream.sparkSession, f"{folder}/rows", StructType(list(stream.schema.fields)))
+    ordered = log.withColumn("_order", F.struct("batch", sequence))
+    return changes.upsert_update(current, ordered, key, columns, "_order")
