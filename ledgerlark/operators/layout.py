@@ -24,6 +24,34 @@ def write_clustered(
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of an input that has fewer splits than there are cores.
+
+    Meant for costly expressions over a small table; a large table has more splits
+    than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def write_hashed(df: DataFrame, spread_by: list[str | Column], order: list[str], label: str) -> DataFrame:
+    """A copy hash-partitioned by ``spread_by`` and sorted, read back.
+
+    One pass over the input, where ranges would need a second one for sampling. A
+    bloom filter on the first sort column lets a lookup skip the row groups that
+    do not hold the value.
+    """
+    spark = df.sparkSession
+    path = run_folder(spark, label)
+    (
+        df.repartition(*spread_by)
+        .sortWithinPartitions(*order)
+        .write.option(f"parquet.bloom.filter.enabled#{order[0]}", "true")
+        .parquet(path)
+    )
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_partitioned(df: DataFrame, column: str, order: list[str], label: str) -> DataFrame:
     """A copy with one folder per value of ``column``, read back.
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import grams, query_grams, words
+from ledgerlark.operators.layout import spread, write_hashed
 
 # Ids per posting block: bounds the list any one task holds for a common word.
 BLOCK = 1024
@@ -22,7 +23,7 @@ def inverted_index(df: DataFrame, key: str, text: str) -> DataFrame:
     A word found in every text would otherwise gather all ids in one group; with
     the block in the key no list exceeds ``BLOCK`` ids.
     """
-    pairs = postings(df, key, words(text), "word")
+    pairs = postings(spread(df.select(key, text)), key, words(text), "word")
     block = F.floor(F.col(key) / BLOCK).cast("bigint").alias("block")
     return pairs.groupBy("word", block).agg(F.sort_array(F.collect_list(key)).alias("ids"))
 
@@ -32,26 +33,32 @@ def word_search(index: DataFrame, key: str, word: str) -> DataFrame:
     return index.where(F.col("word") == word.lower()).select(F.explode("ids").alias(key))
 
 
-def gram_postings(df: DataFrame, key: str, text: str, size: int = 3) -> DataFrame:
-    return postings(df, key, grams(text, size), "gram")
+def gram_index(df: DataFrame, key: str, text: str, label: str, size: int = 3) -> DataFrame:
+    """A written table of (gram, key) pairs, sorted by gram.
+
+    The pairs of one gram are spread over ranges of the key, so a gram found in
+    every text is written by many tasks.
+    """
+    pairs = postings(spread(df.select(key, text)), key, grams(text, size), "gram")
+    span = F.floor(F.col(key) / (BLOCK * BLOCK))
+    return write_hashed(pairs, ["gram", span], ["gram", key], label)
 
 
 def substring_search(
-    df: DataFrame, key: str, text: str, term: str, stored: DataFrame | None = None, size: int = 3
+    df: DataFrame, key: str, text: str, term: str, index: DataFrame | None = None, size: int = 3
 ) -> DataFrame:
     """Texts containing ``term``, ignoring case.
 
-    Texts that hold every run of the term are candidates, and only those are
-    verified. A term shorter than a run has no candidates to narrow, so the texts
-    are scanned. ``stored`` is a written posting table (``key, gram``).
+    With an index, texts that hold every run of the term are candidates, and only
+    those are verified. Without one, or for a term shorter than a run, the texts
+    are scanned.
     """
     found = F.contains(F.lower(F.col(text)), F.lit(term.lower()))
     wanted = query_grams(term, size)
-    if not wanted:
+    if index is None or not wanted:
         return df.where(found)
-    pairs = gram_postings(df, key, text, size) if stored is None else stored
     candidates = (
-        pairs.where(F.col("gram").isin(wanted))
+        index.where(F.col("gram").isin(wanted))
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_hits"))
         .where(F.col("_hits") == len(wanted))

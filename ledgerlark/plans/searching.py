@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import search
+from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.registry import query
-from ledgerlark.sources.scratch import materialize
 from ledgerlark.sources.tables import Tables
 
-TERM = "ation"
-
 _WORDS_SQL = r"""
     WITH pairs AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'))
                        AS word FROM documents)
@@ -51,24 +49,29 @@ def word_vs_substring(t: Tables) -> DataFrame:
     SELECT doc_id, lang, n_chars FROM documents WHERE lower(text) LIKE '%ation%'
 """)
 def trigram_search(t: Tables) -> DataFrame:
-    """Substring search through three-letter runs, then verified."""
-    return search.substring_search(t.documents, "doc_id", "text", TERM).select(
+    """Substring search through an index of three-letter runs, then verified."""
+    index = search.gram_index(t.documents, "doc_id", "text", "grams")
+    return search.substring_search(t.documents, "doc_id", "text", "ation", index).select(
         "doc_id", "lang", "n_chars"
     )
 
 
-@query("""
-    SELECT doc_id, lang, n_chars FROM documents WHERE text ILIKE '%tion re%'
-""")
+TERMS = ("tion re", "ÉTION", "%", "xyzzy")
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{term}' AS term, doc_id, lang FROM documents "
+    f"WHERE contains(lower(text), lower('{term}'))" for term in TERMS
+))
 def trigram_search_stored(t: Tables) -> DataFrame:
-    """The same search on a written posting table, ordered by run for skipping."""
-    pairs = search.gram_postings(t.documents, "doc_id", "text")
-    stored = materialize(
-        pairs.repartitionByRange("gram", "doc_id").sortWithinPartitions("gram", "doc_id"), "grams"
-    )
-    return search.substring_search(
-        t.documents, "doc_id", "text", "tion re", stored
-    ).select("doc_id", "lang", "n_chars")
+    """Several terms looked up in one written index."""
+    index = search.gram_index(t.documents, "doc_id", "text", "grams")
+    return union_all([
+        search.substring_search(t.documents, "doc_id", "text", term, index).select(
+            F.lit(term).alias("term"), "doc_id", "lang"
+        )
+        for term in TERMS
+    ])
 
 
 @query("""
