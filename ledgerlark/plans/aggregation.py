@@ -362,10 +362,8 @@ def agg_allowlist_vs_exclude(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT p_partkey AS l_partkey,
-           CAST((SELECT SUM(l_quantity) FROM lineitem WHERE l_partkey = p_partkey) AS BIGINT)
-               AS quantity
-    FROM part
+    SELECT DISTINCT l_partkey, CAST(SUM(l_quantity) OVER (PARTITION BY l_partkey) AS BIGINT) AS quantity
+    FROM lineitem
 """)
 def agg_item_qty(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_partkey").agg(

@@ -96,9 +96,9 @@ def stream_validate(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT c_custkey AS user_id, COALESCE(last_type, 'none') AS last_type,
+    SELECT COALESCE(c_custkey, user_id) AS user_id, COALESCE(last_type, 'none') AS last_type,
            COALESCE(last_event, -1) AS last_event
-    FROM customer LEFT JOIN (SELECT user_id, arg_max(event_type, event_id) AS last_type,
+    FROM customer FULL JOIN (SELECT user_id, arg_max(event_type, event_id) AS last_type,
                                     MAX(event_id) AS last_event FROM events GROUP BY user_id)
         ON user_id = c_custkey
 """)

@@ -33,9 +33,9 @@ def stream_buckets(
     stream: DataFrame, time: str, delay: str, width: str, by: list[str], measures: list[Column],
     folder: str,
 ) -> DataFrame:
-    """Closed time buckets; rows later than ``delay`` are dropped.
+    """Closed time buckets; rows for a bucket already written are dropped.
 
-    A bucket is written once, when the watermark passes its end.
+    A bucket is written once, when the newest time seen is ``delay`` past its end.
     """
     timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
     closed = bucketed(timed, time, width, by, measures)
