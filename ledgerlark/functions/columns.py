@@ -29,6 +29,11 @@ def line_cents() -> Column:
     return cents("l_extendedprice")
 
 
+def moment(text: str) -> Column:
+    """A point on the clock of the tables, whatever time zone the session has."""
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def on_sale() -> Column:
     return F.col("p_size") > ON_SALE_ABOVE_SIZE
 

@@ -25,7 +25,7 @@ def write_clustered(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of an input that has fewer splits than there are cores.
+    """Deal out the rows of a scan that has fewer splits than there are cores.
 
     Meant for costly expressions over a small table; a large table has more splits
     than cores and is left as it is.
@@ -34,7 +34,9 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def write_hashed(df: DataFrame, spread_by: list[str | Column], order: list[str], label: str) -> DataFrame:
+def write_hashed(
+    df: DataFrame, spread_by: list[str | Column], order: list[str], label: str
+) -> DataFrame:
     """A copy hash-partitioned by ``spread_by`` and sorted, read back.
 
     One pass over the input, where ranges would need a second one for sampling. A

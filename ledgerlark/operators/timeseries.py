@@ -25,8 +25,8 @@ def last_days(df: DataFrame, time: str, days: int) -> DataFrame:
 def kept_partitions(df: DataFrame, day: str, days: int) -> DataFrame:
     """Rows of the newest ``days`` day folders.
 
-    The bound is read from the folder names and put into the filter as a literal,
-    so older folders are not opened at all.
+    The newest day comes from the folder names, without reading a column, and enters
+    the filter as a literal, so the read itself does not open older folders.
     """
     newest = df.agg(F.max(day)).first()[0]
     return df.where(F.col(day) > F.date_sub(F.lit(newest), days))

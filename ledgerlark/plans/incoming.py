@@ -7,12 +7,10 @@ missing, some totals negative, and the newest orders arrive twice.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import cents
+from ledgerlark.functions.columns import cents, moment
 from ledgerlark.operators.quality import Check, ForeignKey, NotNull, Unique
 from ledgerlark.sources.tables import Tables
 
@@ -52,7 +50,7 @@ def row_key() -> Column:
 def incoming_orders(t: Tables) -> DataFrame:
     total = F.col("o_totalprice")
     amount = cents("o_totalprice")
-    late = F.col("o_orderdate") >= F.lit(dt.datetime(2001, 6, 1)).cast("timestamp_ntz")
+    late = F.col("o_orderdate") >= moment("2001-06-01")
     copies = F.when(late, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return t.orders.select(
         F.col("o_orderkey").alias("order_id"),

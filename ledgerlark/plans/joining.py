@@ -8,12 +8,10 @@ unique key, which adaptive execution splits when one key is too large.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import cents, line_cents, or_zero
+from ledgerlark.functions.columns import cents, line_cents, moment, or_zero
 from ledgerlark.operators import joins
 from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.registry import query
@@ -24,7 +22,7 @@ NAMED_PART = "small ring"
 
 def first_quarter(column: str):
     """True in the first quarter of 1998, which leaves some keys without rows."""
-    return F.col(column).between(dt.datetime(1998, 1, 1), dt.datetime(1998, 3, 31))
+    return F.col(column).between(moment("1998-01-01"), moment("1998-03-31"))
 
 
 def order_counts(orders: DataFrame) -> DataFrame:

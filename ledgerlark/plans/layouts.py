@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import cents, count_rows
+from ledgerlark.functions.columns import cents, count_rows, moment
 from ledgerlark.operators import layout
 from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.joining import order_totals
@@ -71,7 +71,7 @@ def layout_partial(t: Tables) -> DataFrame:
     copy = layout.write_clustered(
         t.orders.where(pending), ["o_orderdate", "o_orderkey"], "pending"
     )
-    recent = F.col("o_orderdate") >= "2001-01-01"
+    recent = F.col("o_orderdate") >= moment("2001-01-01")
     return both_ways(t.orders, copy, pending & recent, "pending only")
 
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import count_rows, line_cents, or_zero
+from ledgerlark.functions.columns import count_rows, line_cents, moment, or_zero
 from ledgerlark.operators.ranking import page_by_offset, with_position, with_rank
 from ledgerlark.plans.aggregation import settled_orders
 from ledgerlark.plans.joining import settled_totals
@@ -198,7 +196,7 @@ def page_offset_deep(t: Tables) -> DataFrame:
 """)
 def page_keyset(t: Tables) -> DataFrame:
     """The page after the last row seen; the date bound prunes at the scan."""
-    day, key = dt.datetime(1998, 6, 15), 7000
+    day, key = moment("1998-06-15"), 7000
     date = F.col("o_orderdate")
     after = (date <= day) & ((date < day) | (F.col("o_orderkey") < key))
     return t.orders.where(after).select("o_orderkey", "o_orderdate").orderBy(*newest_first()).limit(

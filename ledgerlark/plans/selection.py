@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import cents, line_cents, on_sale, prefix_end
+from ledgerlark.functions.columns import cents, line_cents, moment, on_sale, prefix_end
 from ledgerlark.operators.sorting import sort_by_choice
 from ledgerlark.plans.registry import query
 from ledgerlark.sources.tables import CANCELLED, SETTLED, Tables
@@ -55,7 +53,7 @@ def filter_and(t: Tables) -> DataFrame:
 """)
 def filter_between(t: Tables) -> DataFrame:
     return t.orders.where(
-        F.col("o_orderdate").between(dt.datetime(1998, 1, 1), dt.datetime(1998, 3, 31))
+        F.col("o_orderdate").between(moment("1998-01-01"), moment("1998-03-31"))
     ).select("o_orderkey", "o_custkey", "o_orderdate")
 
 
@@ -216,7 +214,7 @@ def case_label(t: Tables) -> DataFrame:
     FROM part
 """)
 def coalesce_zero(t: Tables) -> DataFrame:
-    quarter = F.col("l_shipdate").between(dt.datetime(1998, 1, 1), dt.datetime(1998, 3, 31))
+    quarter = F.col("l_shipdate").between(moment("1998-01-01"), moment("1998-03-31"))
     sold = (
         t.lineitem.where(quarter)
         .groupBy(F.col("l_partkey").alias("p_partkey"))
@@ -254,11 +252,11 @@ def distinct_rows(t: Tables) -> DataFrame:
 def row_value_cmp(t: Tables) -> DataFrame:
     """Lexicographic comparison; the date bound alone reaches the scan."""
     bound = F.struct(
-        F.lit(dt.datetime(1997, 6, 15)).cast("timestamp_ntz").alias("o_orderdate"),
+        moment("1997-06-15").alias("o_orderdate"),
         F.lit(7000).cast("bigint").alias("o_orderkey"),
     )
     return t.orders.where(
-        (F.col("o_orderdate") <= dt.datetime(1997, 6, 15))
+        (F.col("o_orderdate") <= moment("1997-06-15"))
         & (F.struct("o_orderdate", "o_orderkey") < bound)
     ).select("o_orderkey", "o_orderdate")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.columns import cents, count_rows, on_sale
+from ledgerlark.functions.columns import cents, count_rows, moment, on_sale
 from ledgerlark.operators import comparisons
 from ledgerlark.operators.sets import row_differences, union_all
 from ledgerlark.plans.joining import settled_totals
@@ -261,7 +261,7 @@ def golden_diff(t: Tables) -> DataFrame:
     def report(orders: DataFrame) -> DataFrame:
         return orders.groupBy("o_custkey", "o_orderstatus").agg(count_rows().alias("n"))
 
-    earlier = t.orders.where(F.col("o_orderdate") < "2001-07-01")
+    earlier = t.orders.where(F.col("o_orderdate") < moment("2001-07-01"))
     return row_differences(report(t.orders), report(earlier))
 
 

@@ -2,7 +2,8 @@
 
 Each job runs until it has read what is there (``availableNow``) and can be
 started again on the same folders: the checkpoint remembers what was read, and
-each micro-batch writes to a place named by its number.
+each micro-batch writes to a place named by its number. Times without a zone become
+instants of the session's zone, so run streams under UTC, which has no gaps.
 """
 
 from __future__ import annotations
