@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.joins import keys
+from ledgerlark.operators.joins import keys, without_match
 
 
 def update_rows(df: DataFrame, predicate: Column, values: dict[str, Column]) -> DataFrame:
@@ -29,10 +29,9 @@ def delete_cascade(
     parents: DataFrame, key: str, predicate: Column, children: DataFrame, child_key: str
 ) -> tuple[DataFrame, DataFrame]:
     """Delete parents together with their children."""
-    gone = keys(parents.where(predicate), F.col(key).alias(child_key))
-    return delete_rows(parents, predicate), children.join(gone, child_key, "left_anti").select(
-        children.columns
-    )
+    gone = parents.where(predicate)
+    kept = without_match(children, child_key, gone, key, unique=True)
+    return delete_rows(parents, predicate), kept
 
 
 def delete_verdicts(
@@ -69,8 +68,8 @@ def delete_set_null(
     parents: DataFrame, key: str, predicate: Column, children: DataFrame, child_key: str
 ) -> DataFrame:
     """Children after their deleted parents' keys became NULL."""
-    gone = keys(parents.where(predicate), F.col(key).alias(child_key)).withColumn(
-        "_gone", F.lit(True)
+    gone = parents.where(predicate).select(
+        F.col(key).alias(child_key), F.lit(True).alias("_gone")
     )
     return (
         children.join(gone, child_key, "left")

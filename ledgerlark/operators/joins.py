@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A key with more than one thousandth of all rows is hot; its rows are dealt out
+# to this many tasks.
+HOT_SHARE = 1000
+SALTS = 64
+
 
 def keys(df: DataFrame, *columns: str | Column) -> DataFrame:
     """Distinct key values for the right side of a semi or anti join.
@@ -15,14 +20,52 @@ def keys(df: DataFrame, *columns: str | Column) -> DataFrame:
     return df.select(*columns).distinct()
 
 
-def having_match(left: DataFrame, key: str, right: DataFrame, right_key: str) -> DataFrame:
-    """Rows of ``left`` with at least one match (IN, EXISTS)."""
-    return left.join(keys(right, F.col(right_key).alias(key)), key, "left_semi").select(left.columns)
+def _matching(
+    left: DataFrame, key: str, right: DataFrame, right_key: str, unique: bool, how: str
+) -> DataFrame:
+    found = F.col(right_key).alias(key)
+    listed = right.select(found) if unique else keys(right, found)
+    return left.join(listed, key, how).select(left.columns)
+
+
+def having_match(
+    left: DataFrame, key: str, right: DataFrame, right_key: str, unique: bool = False
+) -> DataFrame:
+    """Rows of ``left`` with at least one match (IN, EXISTS).
+
+    Set ``unique`` where ``right_key`` is the key of its table: nothing has to be
+    made distinct then, both sides come straight from a shuffle, and adaptive
+    execution can split a hot key of ``left``.
+    """
+    return _matching(left, key, right, right_key, unique, "left_semi")
 
 
-def without_match(left: DataFrame, key: str, right: DataFrame, right_key: str) -> DataFrame:
+def without_match(
+    left: DataFrame, key: str, right: DataFrame, right_key: str, unique: bool = False
+) -> DataFrame:
     """Rows of ``left`` with no match (NOT EXISTS); a NULL key has no match."""
-    return left.join(keys(right, F.col(right_key).alias(key)), key, "left_anti").select(left.columns)
+    return _matching(left, key, right, right_key, unique, "left_anti")
+
+
+def join_to_summary(rows: DataFrame, summary: DataFrame, key: str, count: str) -> DataFrame:
+    """Join rows to the one summary row of their key, spreading hot keys.
+
+    A summary that was grouped by the key is not shuffled again for the join, which
+    keeps adaptive execution from splitting a hot key. Keys with more than one
+    ``HOT_SHARE``-th of the rows, of which there can be at most ``HOT_SHARE``, are
+    therefore salted: their rows go to ``SALTS`` tasks and their summary row is
+    copied to each. ``count`` is the summary's number of rows per key.
+    """
+    total = summary.agg(F.sum(count)).scalar()
+    is_hot = F.col(count) * HOT_SHARE > total
+    hot = summary.where(is_hot).select(key, F.lit(True).alias("_hot"))
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    salted = rows.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), spread).otherwise(0)
+    )
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copied = summary.withColumn("_salt", F.explode(copies))
+    return salted.join(copied, [key, "_salt"]).drop("_salt", "_hot")
 
 
 def not_in(left: DataFrame, key: str, right: DataFrame, right_key: str) -> DataFrame:

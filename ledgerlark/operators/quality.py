@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.joins import keys
+from ledgerlark.operators.joins import join_to_summary, without_match
 from ledgerlark.operators.sets import union_all
 from ledgerlark.sources.scratch import materialize
 
@@ -113,27 +114,24 @@ def unique_violations(
     """Rows whose key is taken, by a stored row or an earlier row of the batch.
 
     ``sequence`` is unique and orders the batch; the lowest one keeps the key.
-    Only keys that occur twice are joined back, each as one row, so the rows of a
-    hot key stay on the side that can be split.
+    Only keys that occur twice are joined back, each as one row. The key is a
+    struct, inside which NULLs compare as equal.
     """
     parts = [F.lower(c) if rule.ignore_case else F.col(c) for c in rule.columns]
-    names = [f"_k{i}" for i in range(len(parts))]
-    keyed = df.select(
-        row_key.alias("_row"), sequence.alias("_seq"), *[p.alias(n) for p, n in zip(parts, names)]
-    )
-    if rule.nulls_distinct:
-        keyed = keyed.dropna(subset=names)
+    key = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)]).alias("_key")
+    known = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+    complete = df.where(known) if rule.nulls_distinct else df
+    keyed = complete.select(row_key.alias("_row"), sequence.alias("_seq"), key)
     clashes = (
-        keyed.groupBy(*names)
+        keyed.groupBy("_key")
         .agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > 1)
-        .drop("_n")
     )
-    same = [keyed[n].eqNullSafe(clashes[n]) for n in names]
-    taken = keyed.join(clashes, same).where(F.col("_seq") > F.col("_first")).select("_row")
+    later = F.col("_seq") > F.col("_first")
+    taken = join_to_summary(keyed, clashes, "_key", "_n").where(later).select("_row")
     if stored is not None:
-        known = keys(stored, *[p.alias(n) for p, n in zip(parts, names)])
-        taken = taken.union(keyed.join(known, names, "left_semi").select("_row")).distinct()
+        held = (stored.where(known) if rule.nulls_distinct else stored).select(key)
+        taken = taken.union(keyed.join(held, "_key", "left_semi").select("_row")).distinct()
     return _broken(taken, table, F.col("_row"), "UNIQUE", rule.name, ",".join(rule.columns))
 
 
@@ -141,8 +139,8 @@ def reference_violations(
     df: DataFrame, table: str, row_key: Column, rule: ForeignKey, parent: DataFrame
 ) -> DataFrame:
     """Rows pointing at a parent that does not exist."""
-    known = keys(parent, F.col(rule.parent_column).alias(rule.column))
-    orphans = df.where(F.col(rule.column).isNotNull()).join(known, rule.column, "left_anti")
+    present = df.where(F.col(rule.column).isNotNull())
+    orphans = without_match(present, rule.column, parent, rule.parent_column, unique=True)
     return _broken(orphans, table, row_key, "FOREIGN KEY", rule.name, rule.column)
 
 

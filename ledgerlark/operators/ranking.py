@@ -15,13 +15,8 @@ _ROW_BITS = 33
 TOP_K_LIMIT = 10_000
 
 
-def with_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
-    """1-based place of each row; ``order`` must end in a unique key.
-
-    ``row_number`` over an unpartitioned window would sort everything in one
-    task. Here the rows are range-partitioned and sorted in parallel, numbered
-    inside their partition, and shifted by the sizes of the partitions before.
-    """
+def _placed(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The rows with their place and, as ``_part``, their range partition."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slotted = materialize(
@@ -50,17 +45,32 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
         slotted.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")
         .withColumn(name, (F.col("_start") + row + 1).cast("bigint"))
-        .select(*df.columns, name)
+        .select(*df.columns, name, "_part")
     )
 
 
+def with_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """1-based place of each row; ``order`` must end in a unique key.
+
+    ``row_number`` over an unpartitioned window would sort everything in one
+    task. Here the rows are range-partitioned and sorted in parallel, numbered
+    inside their partition, and shifted by the sizes of the partitions before.
+    """
+    return _placed(df, order, name).drop("_part")
+
+
 def with_rank(
     df: DataFrame, value: str, order: list[Column], rank: str = "rank", position: str = "position"
 ) -> DataFrame:
-    """RANK by ``value`` next to ROW_NUMBER: equal values share the first place."""
-    placed = with_position(df, order, position)
-    firsts = placed.groupBy(value).agg(F.min(position).alias(rank))
-    return placed.join(firsts, value).select(*df.columns, rank, position)
+    """RANK by ``value`` next to ROW_NUMBER: equal values share the first place.
+
+    The rank is looked up by partition and value, so a value that fills many
+    partitions is joined in as many tasks.
+    """
+    placed = _placed(df, order, position)
+    runs = placed.groupBy("_part", value).agg(F.min(position).alias("_first"))
+    ranks = runs.join(runs.groupBy(value).agg(F.min("_first").alias(rank)), value)
+    return placed.join(ranks, ["_part", value]).select(*df.columns, rank, position)
 
 
 def page_by_offset(df: DataFrame, order: list[Column], skip: int, size: int) -> DataFrame:

@@ -320,7 +320,9 @@ def changed_rows(t: Tables) -> DataFrame:
     """Rows each change affects."""
     cancelled = F.col("o_orderstatus") == CANCELLED
     left = changes.delete_rows(t.orders, cancelled)
-    cascaded = joins.having_match(t.lineitem, "l_orderkey", t.orders.where(cancelled), "o_orderkey")
+    cascaded = joins.having_match(
+        t.lineitem, "l_orderkey", t.orders.where(cancelled), "o_orderkey", unique=True
+    )
     affected = {
         "raise price": t.part.where(F.col("p_name") == "small ring"),
         "delete cancelled": t.orders.where(cancelled),

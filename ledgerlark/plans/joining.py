@@ -323,7 +323,7 @@ _BOUGHT_SQL = """
 
 def named_lines(t: Tables) -> DataFrame:
     named = t.part.where(F.col("p_name") == NAMED_PART)
-    return joins.having_match(t.lineitem, "l_partkey", named, "p_partkey")
+    return joins.having_match(t.lineitem, "l_partkey", named, "p_partkey", unique=True)
 
 
 @query(_BOUGHT_SQL)
@@ -351,7 +351,7 @@ def semi_exists(t: Tables) -> DataFrame:
 def semi_in_nested(t: Tables) -> DataFrame:
     """The same question as three nested lists and no join of rows."""
     parts = t.part.where(F.col("p_name") == NAMED_PART)
-    lines = joins.having_match(t.lineitem, "l_partkey", parts, "p_partkey")
+    lines = joins.having_match(t.lineitem, "l_partkey", parts, "p_partkey", unique=True)
     orders = joins.having_match(t.orders, "o_orderkey", lines, "l_orderkey")
     return joins.having_match(t.customer, "c_custkey", orders, "o_custkey").select(
         "c_custkey", "c_name"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import count_rows, line_cents
-from ledgerlark.operators import reshape
+from ledgerlark.operators import joins, reshape
 from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.joining import wide_lines
 from ledgerlark.plans.registry import query
@@ -267,9 +267,13 @@ def bridge_priced(t: Tables) -> DataFrame:
 """)
 def bridge_priced_lines(t: Tables) -> DataFrame:
     """Lines joined to the price of their pair on the composite key."""
-    pairs = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(
-        F.min(line_cents()).alias("pair_cents")
+    lines = t.lineitem.select(
+        "l_orderkey", "l_linenumber", F.struct("l_partkey", "l_suppkey").alias("pair"),
+        line_cents().alias("cents"),
+    )
+    pairs = lines.groupBy("pair").agg(
+        F.min("cents").alias("pair_cents"), count_rows().alias("n")
     )
-    return t.lineitem.join(pairs, ["l_partkey", "l_suppkey"]).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "pair_cents"
+    return joins.join_to_summary(lines, pairs, "pair", "n").select(
+        "l_orderkey", "l_linenumber", "pair.*", "pair_cents"
     )

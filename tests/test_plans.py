@@ -6,14 +6,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALLEST
-from ledgerlark.operators import layout
-from ledgerlark.operators.ranking import with_position
+from ledgerlark.operators import joins, layout, ranking
 from ledgerlark.plans import all_queries
 from ledgerlark.sources import scratch
 from ledgerlark.sources.tables import Tables
 
-# One row per range partition is numbered in one task and broadcast.
-MAY_BROADCAST = {"win_rank", "page_offset_deep", "sort_nulls", "insert_defaults"}
+# One row per range partition is numbered in one task and broadcast, or the keys
+# holding more than a thousandth of all rows are broadcast, at most a thousand.
+MAY_BROADCAST = {
+    "win_rank", "page_offset_deep", "sort_nulls", "insert_defaults", "insert_or_ignore",
+    "dq_unique", "dq_unique_nocase", "dq_nulls_not_distinct", "dq_pk", "dq_precedence",
+    "dq_messages", "dq_split", "dq_expectations", "bridge_priced_lines",
+}
 
 
 def plan_of(df) -> str:
@@ -65,6 +69,64 @@ def test_sum_reuses_the_partitioning_of_the_join(large):
     assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
 
 
+HOT_ROWS = 300_000
+
+
+@pytest.fixture
+def hot(spark):
+    """A third of the rows on key 0; partitions above 100 kB count as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50_000)
+    yield spark.range(0, HOT_ROWS, 1, 8).select("id", key.alias("k"))
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def largest_task(df) -> int:
+    """Rows of the fullest task of a result."""
+    counts = df.select(F.spark_partition_id().alias("task")).groupBy("task").count()
+    return counts.agg(F.max("count")).first()[0]
+
+
+def test_hot_keys_of_unique_lookups_are_split(spark, hot):
+    parents = spark.range(0, 40_000, 1, 8).select(F.col("id").alias("p"))
+    for found, rows in (
+        (joins.having_match(hot, "k", parents, "p", unique=True), None),
+        (joins.without_match(hot, "k", parents, "p", unique=True), None),
+        (hot.join(parents, F.col("k") == F.col("p"), "left"), HOT_ROWS),
+    ):
+        count = found._jdf.queryExecution().toRdd().count()
+        assert rows is None or count == rows
+        found.collect()
+        assert "skew=true" in plan_of(found)
+
+
+def test_hot_keys_of_summaries_are_salted(hot):
+    summary = hot.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
+    joined = joins.join_to_summary(hot, summary, "k", "n")
+    assert joined.count() == HOT_ROWS
+    assert joined.where("k = 0 AND (low <> 0 OR n < 100000)").count() == 0
+    assert joined.select("id").distinct().count() == HOT_ROWS
+    assert largest_task(joined) < HOT_ROWS / 6
+
+
+def test_hot_rank_is_spread(hot):
+    ranked = ranking.with_rank(hot, "k", [F.asc("k"), F.asc("id")])
+    assert largest_task(ranked) < HOT_ROWS / 6
+    assert ranked.where("k = 0").agg(F.max("rank")).first()[0] == 1
+
+
 def test_top_k_does_not_sort_everything(spark):
     plan = plan_of(all_queries()["topk_recent"].run(spark, SMALLEST))
     assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
@@ -107,5 +169,5 @@ def test_scratch_follows_the_session(spark):
 
 def test_positions_survive_a_second_reading(spark):
     """The numbered rows come from a written table, not from a repeated shuffle."""
-    placed = with_position(spark.range(100).toDF("id"), [F.asc("id")])
+    placed = ranking.with_position(spark.range(100).toDF("id"), [F.asc("id")])
     assert "FileScan parquet" in plan_of(placed) and "rangepartitioning" not in plan_of(placed)
