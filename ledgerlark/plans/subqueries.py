@@ -24,14 +24,14 @@ _TOTALS_SQL = """
 @query("""
     SELECT COUNT(*) AS orders, COUNT(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS cancelled,
            (SELECT COUNT(*) FROM lineitem) AS line_count,
-           (SELECT CAST(ROUND(p_retailprice * 100) AS BIGINT) FROM part WHERE p_partkey = 1)
-               AS price_cents
+           (SELECT CAST(ROUND(p_retailprice * 100) AS BIGINT) FROM part WHERE p_name = 'small ring'
+            ORDER BY p_retailprice LIMIT 1) AS price_cents
     FROM orders
 """)
 def sub_scalar_select(t: Tables) -> DataFrame:
     """Several scalar subqueries side by side in one row."""
     cancelled = t.orders.where(F.col("o_orderstatus") == CANCELLED)
-    price = t.part.where(F.col("p_partkey") == 1).select(cents("p_retailprice"))
+    price = t.part.where(F.col("p_name") == "small ring").agg(F.min(cents("p_retailprice")))
     return t.spark.range(1).select(
         t.orders.agg(count_rows()).scalar().alias("orders"),
         cancelled.agg(count_rows()).scalar().alias("cancelled"),

@@ -20,9 +20,11 @@ def write_report(spark: SparkSession, results: dict[str, DataFrame]) -> DataFram
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
         lines.append((label, seen.get["n"], ",".join(df.columns), path, spark.version))
-    return spark.createDataFrame(
+    manifest = spark.createDataFrame(
         lines, "label string, row_count long, columns string, path string, spark_version string"
     )
+    manifest.coalesce(1).write.parquet(f"{folder}/manifest")
+    return manifest
 
 
 class VersionedTable:

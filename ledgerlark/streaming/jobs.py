@@ -62,7 +62,12 @@ def _run_batches(stream: DataFrame, write: Callable[[DataFrame], DataFrame], fol
     """
 
     def put(batch: DataFrame, number: int) -> None:
-        write(batch).write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+        # Several checks read the batch; without this each would read the source.
+        kept = batch.persist()
+        try:
+            write(kept).write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+        finally:
+            kept.unpersist()
 
     run = (
         stream.writeStream.foreachBatch(put)

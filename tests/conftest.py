@@ -63,7 +63,7 @@ _SKEWED = {
         round((i * 193 % 40000) / 100.0, 2)::DOUBLE AS value, '{"k": ' || (i % 90) || '}' AS props
         FROM range(1500) t(i)""",
     "documents": """SELECT i AS doc_id, CASE WHEN i % 3 = 0 THEN 'The nation of the copies, thé end.'
-            ELSE 'the station ' || chr((97 + i % 26)::INTEGER) || 'ou-' || (i * 31 % 97) || ' 카페라떼 ' || i END AS text,
+            ELSE 'the station ' || chr((97 + i % 26)::INTEGER) || 'ou-' || (i * 31 % 97) || ' 抹茶ケーキ ' || i END AS text,
         'en' AS lang, 'src' || (i % 4) AS source, 30 AS n_chars FROM range(2400) t(i)""",
 }
 
