@@ -54,12 +54,15 @@ def join_to_summary(rows: DataFrame, summary: DataFrame, key: str, count: str) -
     keeps adaptive execution from splitting a hot key. Keys with more than one
     ``HOT_SHARE``-th of the rows, of which there can be at most ``HOT_SHARE``, are
     therefore salted: their rows go to ``SALTS`` tasks and their summary row is
-    copied to each. ``count`` is the summary's number of rows per key.
+    copied to each. ``count`` is the summary's number of rows per key. The salt
+    also depends on the task that reads a row, so equal copies of one row spread
+    too, and a repeated task deals them out as before.
     """
     total = summary.agg(F.sum(count)).scalar()
     is_hot = F.col(count) * HOT_SHARE > total
     hot = summary.where(is_hot).select(key, F.lit(True).alias("_hot"))
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    dealt = F.xxhash64(F.spark_partition_id(), *rows.columns)
+    spread = F.pmod(dealt, F.lit(SALTS)).cast("int")
     salted = rows.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), spread).otherwise(0)
     )
