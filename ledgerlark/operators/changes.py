@@ -79,17 +79,19 @@ def delete_set_null(
 
 
 def upsert_ignore(current: DataFrame, batch: DataFrame, key: str, sequence: str) -> DataFrame:
-    """ON CONFLICT DO NOTHING: a known key stays, a new one enters with its first row."""
-    rest = [c for c in current.columns if c != key]
-    first = batch.groupBy(key).agg(F.min_by(F.struct(*rest), sequence).alias("row"))
-    fresh = first.join(keys(current, key), key, "left_anti").select(key, "row.*")
-    return current.unionByName(fresh.select(current.columns))
+    """ON CONFLICT DO NOTHING: a known key stays, a new one enters with its first row.
+
+    ``key`` is the key of the table, unique and not NULL.
+    """
+    first = batch.groupBy(key).agg(F.min_by(F.struct(*current.columns), sequence).alias("row"))
+    fresh = first.join(current.select(key), key, "left_anti").select("row.*")
+    return current.unionByName(fresh)
 
 
 def upsert_update(
     current: DataFrame, batch: DataFrame, key: str, columns: list[str], sequence: str
 ) -> DataFrame:
-    """ON CONFLICT DO UPDATE of ``columns``.
+    """ON CONFLICT DO UPDATE of ``columns``; ``key`` is unique and not NULL.
 
     Rows of the batch apply in ``sequence`` order: a key new to the table enters
     with its first row, and the last row of the batch decides ``columns``.

@@ -17,10 +17,8 @@ TOP_K_LIMIT = 10_000
 
 def _placed(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """The rows with their place and, as ``_part``, their range partition."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slotted = materialize(
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id()),
         "positions",
