@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import decontaminate
+from ledgerlark.llm import decontaminate, quality_rules, secret_scan
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,36 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
 
+@query()
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of each document, weak candidates only beside the parts they belong to."""
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    strong = secret_scan.KINDS[:secret_scan.STRONG]
+
+    def joined(spans: Column) -> Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, strong),
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(*strong))), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query()
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality measures of each document and whether it is kept."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    measured = quality_rules.measure(docs, quality_rules.references(docs), carry=["doc_id"])
+    failed = quality_rules.base_failed()
+    return measured.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), (~failed & ~quality_rules.diverges()).alias("kept"), "char_distance", "word_distance",
+    )
+
 
 def queries() -> dict[str, Run]:
     return dict(QUERIES)
