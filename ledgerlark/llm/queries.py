@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import chat, decontaminate, mixing, quality_rules, secret_scan, toxicity
+from ledgerlark.llm import chat, decontaminate, mixing, quality_rules, secret_scan, toxicity, warc
+from ledgerlark.sources.scratch import run_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -139,6 +140,31 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words the mix takes of each document."""
     return mixing.mixed(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
+# Base32 of the 160 bits of a digest, five bits a letter.
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST(substr(bits, 5 * i + 1, 1) AS INTEGER) * 16 + CAST(substr(bits, 5 * i + 2, 1) AS INTEGER) * 8
+      + CAST(substr(bits, 5 * i + 3, 1) AS INTEGER) * 4 + CAST(substr(bits, 5 * i + 4, 1) AS INTEGER) * 2
+      + CAST(substr(bits, 5 * i + 5, 1) AS INTEGER), 1)), '')"""
+
+
+@query(f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+r AS (SELECT page_id, strlen(html) AS n, max(page_id) OVER (PARTITION BY html) AS last,
+             CAST(CAST(unhex(sha1(html)) AS BIT) AS VARCHAR) AS bits FROM p)
+SELECT page_id, n AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to FROM r""")
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to archives and read back from them."""
+    pages = table(spark, folder, "pages")
+    path = run_folder(spark, "warc")
+    warc.write_archives(pages, path)
+    read = warc.read_archives(spark, path).where("problem IS NULL")
+    id_type = pages.schema["page_id"].dataType
+    return read.select(
+        warc.from_urn("record_id").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.from_urn("refers_to").cast(id_type).alias("refers_to"))
+
 
 def queries() -> dict[str, Run]:
     return dict(QUERIES)
