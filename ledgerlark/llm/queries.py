@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import chat, decontaminate, mixing, quality_rules, secret_scan, toxicity, warc
+from ledgerlark.llm import chat, decontaminate, mixing, quality_rules, secret_scan, suffix_dedup, toxicity, warc
 from ledgerlark.sources.scratch import run_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +165,14 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
         warc.from_urn("record_id").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         warc.from_urn("refers_to").cast(id_type).alias("refers_to"))
 
+@query()
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each document without the byte strings that occur more than once."""
+    found = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
 
 def queries() -> dict[str, Run]:
     return dict(QUERIES)
