@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import chat, decontaminate, mixing, quality_rules, secret_scan, suffix_dedup, toxicity, warc
+from ledgerlark.llm import chat, decontaminate, mixing, near_dup, quality_rules, secret_scan, suffix_dedup, toxicity, warc
 from ledgerlark.sources.scratch import run_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -174,6 +174,16 @@ def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query()
+def op9_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of two-word shingles are alike."""
+    found = near_dup.groups(table(spark, folder, "documents"), shingle=2)
+    component = F.when(F.col("n") > 0, F.col("first_id")).otherwise(F.col("doc_id"))
+    return found.select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
 def queries() -> dict[str, Run]:
     return dict(QUERIES)
 
