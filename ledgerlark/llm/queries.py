@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import chat, decontaminate, mixing, near_dup, quality_rules, secret_scan, suffix_dedup, toxicity, warc
+from ledgerlark.llm import chat, decontaminate, line_dedup, mixing, near_dup, quality_rules, secret_scan, suffix_dedup, toxicity, warc
 from ledgerlark.sources.scratch import run_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +184,29 @@ def op9_near_dup(spark: SparkSession, folder: str) -> DataFrame:
         F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+@query("""
+WITH doc AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(l) - 1)) AS i, l FROM doc WHERE len(l) >= 3),
+hashed AS (SELECT doc_id, i, array_to_string(l[i:i + 2], chr(10)) AS w FROM win
+           WHERE regexp_matches(array_to_string(l[i:i + 2], ''), '\\S')),
+later AS (SELECT doc_id, i FROM hashed
+          QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS j FROM later),
+line AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS j, unnest(l) AS body FROM doc),
+mark AS (SELECT line.*, gone.j IS NOT NULL AS out,
+                coalesce(lag(gone.j) OVER (PARTITION BY line.doc_id ORDER BY line.j), -9) = line.j - 1 AS before
+         FROM line LEFT JOIN gone ON gone.doc_id = line.doc_id AND gone.j = line.j)
+SELECT doc.doc_id, coalesce(count(j), 0) AS n_lines, count(j) FILTER (out) AS n_removed,
+       count(j) FILTER (out AND NOT before) AS n_runs,
+       CASE WHEN any_value(text) IS NOT NULL
+            THEN coalesce(string_agg(body, chr(10) ORDER BY j) FILTER (NOT out), '') END AS text
+FROM doc LEFT JOIN mark USING (doc_id) GROUP BY doc.doc_id""")
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the runs of lines that occurred before."""
+    return line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", "n_runs", "text")
+
+
 def queries() -> dict[str, Run]:
     return dict(QUERIES)
 
