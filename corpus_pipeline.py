@@ -8,6 +8,7 @@ written and read again.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlark.llm import decontaminate, line_dedup, mixing, near_dup, quality_rules
 from ledgerlark.sources.scratch import materialize
@@ -23,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without runs of lines that occurred before; emptied documents go."""
-    return line_dedup.without_repeats(docs)
+    return line_dedup.without_repeats(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,8 +35,9 @@ FEATURES = 4096
 LEAST_DOCS = 3
 BEGINNINGS = (4, 5, 6)
 STYLES = 5
-PENALTY = 1e-4
-STEPS = 150
+LEAST_CHI2 = 10.83  # a chance of one in a thousand
+PENALTY = 1e-3
+STEPS = 200
 
 
 def features_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -111,6 +112,8 @@ class Chain:
 
     categories: list[str]
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    middle: np.ndarray = field(default_factory=lambda: np.zeros(STYLES))
+    width: np.ndarray = field(default_factory=lambda: np.ones(STYLES))
     models: list[Linear] = field(default_factory=list)
     cuts: list[float] = field(default_factory=list)
     held_out: list[float] = field(default_factory=list)
@@ -121,10 +124,13 @@ class Chain:
         known = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
         return _counts(row[known], at[known])
 
+    def scaled(self, styles: np.ndarray) -> np.ndarray:
+        return np.column_stack([np.clip((styles - self.middle) / self.width, -5, 5), np.ones(len(styles))])
+
     def score(self, row, key, styles) -> np.ndarray:
         """Log-odds of each category for each row."""
         row, column, value = self.select(row, key)
-        extras, odds = np.column_stack([styles, np.ones(len(styles))]), []
+        extras, odds = self.scaled(styles), []
         for model in self.models:
             odds.append(model.odds(row, column, value, extras))
             extras = np.column_stack([np.clip(odds[-1], -6, 6), extras])
@@ -181,7 +187,7 @@ def _choose(row, key, labels) -> np.ndarray:
         best = np.maximum(best, (hits - expected) ** 2 / np.maximum(expected * (1 - docs / max(n + 1, 1)), 1e-9))
     best[docs < LEAST_DOCS] = -1
     order = np.lexsort((keys, -best))[:FEATURES]
-    return np.sort(keys[order[best[order] > 0]])
+    return np.sort(keys[order[best[order] > LEAST_CHI2]])
 
 
 def train(
@@ -195,9 +201,10 @@ def train(
         chain.cuts, chain.held_out = [0.5] * len(categories), [float("nan")] * len(categories)
         return chain
     chain.keys = _choose(row, key, y)
+    chain.middle, chain.width = styles.mean(axis=0), np.maximum(styles.std(axis=0), 1e-6)
     row, column, value = chain.select(row, key)
     fold = order % FOLDS
-    extras, width = np.column_stack([styles, np.ones(len(order))]), len(chain.keys)
+    extras, width = chain.scaled(styles), len(chain.keys)
     for i in range(len(categories)):
         target = y[:, i].astype(float)
         held = np.zeros(len(order))
