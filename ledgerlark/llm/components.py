@@ -2,31 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.sources.scratch import materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, comp) for every node of ``edges`` (a, b), comp being its smallest reachable node.
+    """(node, comp) for every node of ``edges`` (a, b), comp being one node of its component.
 
-    Every round a node takes the least label around it, and then its label's label, so
-    the number of rounds grows with the logarithm of the longest path. Each round is a
-    written table.
+    Every round each node goes over into the node next to it with the least hash, if that
+    is less than its own, and the edges are redrawn between what is left, until none is.
+    Hashes differ by round, so the number of rounds grows with the logarithm of the size
+    of a component, whatever its shape. Each round is a written table.
     """
-    both = materialize(
-        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(),
-        "edges")
-    labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("node"), F.least("a", "m").alias("comp")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
-        moved = labels.join(near.withColumnRenamed("a", "node"), "node").select(
-            "node", F.col("comp").alias("old"), F.least("comp", "m").alias("mid"))
-        heads = labels.select(F.col("node").alias("mid"), F.col("comp").alias("far"))
-        moved = materialize(moved.join(heads, "mid", "left").select(
-            "node", "old", F.least("mid", F.coalesce("far", "mid")).alias("comp")), "labels")
-        labels = moved.select("node", "comp")
-        if moved.where("old <> comp").isEmpty():
-            return labels
+    edges = materialize(edges.where("a <> b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    comps, turn = None, 0
+    while not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("a").alias("b"), F.col("b").alias("a")))
+        turn += 1
+
+        def ranked(node: str) -> Column:
+            return F.struct(F.xxhash64(node, F.lit(turn)).alias("rank"), F.col(node).alias("node"))
+
+        near = both.groupBy("a").agg(F.min(ranked("b")).alias("near"))
+        step = materialize(near.select(F.col("a").alias("node"), F.least("near", ranked("a"))["node"].alias("to")), "steps")
+        ends = {end: step.select(F.col("node").alias(end), F.col("to").alias(f"to_{end}")) for end in "ab"}
+        drawn = edges.join(ends["a"], "a").join(ends["b"], "b").where("to_a <> to_b")
+        edges = materialize(drawn.select(
+            F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "edges")
+        if comps is None:
+            comps = step.withColumnRenamed("to", "comp")
+        else:
+            moved = comps.join(step.withColumnRenamed("node", "comp"), "comp", "left")
+            comps = materialize(moved.select("node", F.coalesce("to", "comp").alias("comp")), "comps")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")) if comps is None else comps

@@ -349,14 +349,14 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
 
     guessed = components(stars)
     candidates = materialize(stars.unionByName(cross(owned(guessed, members.select("bucket", "node")))), "near-candidates")
-    guessed = components(candidates)
-    needed = guessed.select("node").join(classes.select("node", "rid"), "node")
+    ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
+    needed = ends.join(classes.select("node", "rid"), "node")
     texts = marked.select("rid", "text").join(needed, "rid").groupBy("rid").agg(
         F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text")
     texts = materialize(texts, "near-texts").repartition(
         int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
     links, comps = _confirmed(candidates, texts, None, None, shingle)
-    # Where the full sets parted what the sketches had joined, look for other links inside.
+    # Inside what the stars had joined no other pairs were formed: where the full sets part it, form them.
     parted = owned(comps, guessed.select("node", F.col("comp").alias("guess"))).groupBy("guess").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
     inside = materialize(guessed.join(parted.select(F.col("guess").alias("comp")), "comp", "left_semi").select("node"), "near-parted")
