@@ -107,42 +107,45 @@ def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, shared, "inner")
 
 
-def bounded_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Distinct values of a low-cardinality column, in order.
-
-    Raises when there are more than ``limit``; the driver never holds more.
-    """
-    rows = df.select(column).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(row[0] for row in rows if row[0] is not None)
-
-
-def grid(
-    left: DataFrame, left_key: str, facts: DataFrame, column: str, values: list, measure: str
+def coverage(
+    left: DataFrame, left_key: str, facts: DataFrame, column: str, values: DataFrame, measure: str
 ) -> DataFrame:
-    """Every combination of a left key and a listed value, with the fact or zero.
+    """What each left key has of all values of ``column``, empty cells counted, not formed.
 
-    The combinations come from a pivot of the facts and an unpivot of its columns,
-    so no cross join runs: one row per left key widens to ``len(values)`` cells.
+    Per left key: the sum of ``measure``, the number of values it has, and the number
+    it lacks. NULL is a value like any other. The full grid of keys and values is
+    never built: the empty cells of a key are all values less those it has.
     """
-    wide = facts.groupBy(left_key).pivot(column, values).agg(F.sum(measure))
-    full = left.select(left_key).join(wide, left_key, "left").fillna(0)
-    return full.unpivot([left_key], [F.col(f"`{v}`") for v in values], column, measure)
+    cells = facts.groupBy(left_key, column).agg(F.sum(measure).alias(measure))
+    held = cells.groupBy(left_key).agg(F.sum(measure).alias(measure), F.count(F.lit(1)).alias("held"))
+    every = values.select(column).distinct().agg(F.count(F.lit(1))).scalar()
+    had = F.coalesce("held", F.lit(0))
+    return left.select(left_key).join(held, left_key, "left").select(
+        left_key, F.coalesce(measure, F.lit(0)).alias(measure), had.alias("held"), (every - had).alias("lacking")
+    )
 
 
 def group_pairs(df: DataFrame, group: str, value: str) -> DataFrame:
     """Unordered pairs inside each group, counted without forming them.
 
-    ``pairs`` is n(n-1)/2, ``equal_pairs`` those with the same value, and
+    ``pairs`` is n(n-1)/2 as a 38-digit number, ``equal_pairs`` those with the same value, and
     ``widest_gap`` the largest difference any pair shows. Both steps combine on
     the map side, so a group with a third of all rows costs no more than others.
     """
     per_value = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
-    n = F.sum("n")
-    return per_value.groupBy(group).agg(
-        n.alias("members"),
-        ((n * n - n) / 2).cast("bigint").alias("pairs"),
-        (F.sum(F.col("n") * F.col("n") - F.col("n")) / 2).cast("bigint").alias("equal_pairs"),
-        (F.max(value) - F.min(value)).alias("widest_gap"),
+    return (
+        per_value.withColumn("_equal", pairs_of("n"))
+        .groupBy(group)
+        .agg(
+            F.sum("n").alias("members"), F.sum("_equal").alias("equal_pairs"),
+            (F.max(value) - F.min(value)).alias("widest_gap"),
+        )
+        .select(group, "members", pairs_of("members").alias("pairs"), "equal_pairs", "widest_gap")
     )
+
+
+def pairs_of(count: str) -> Column:
+    """n(n-1)/2 in whole numbers: the even one of the two factors is halved first."""
+    half = F.expr(f"IF({count} % 2 = 0, {count} div 2, {count})").cast("decimal(19,0)")
+    rest = F.expr(f"IF({count} % 2 = 0, {count} - 1, ({count} - 1) div 2)").cast("decimal(19,0)")
+    return (half * rest).cast("decimal(38,0)")

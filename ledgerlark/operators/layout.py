@@ -24,16 +24,6 @@ def write_clustered(
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer splits than there are cores.
-
-    Meant for costly expressions over a small table; a large table has more splits
-    than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_hashed(
     df: DataFrame, spread_by: list[str | Column], order: list[str], label: str
 ) -> DataFrame:

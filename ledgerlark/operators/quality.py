@@ -27,6 +27,8 @@ _UNSTABLE = (
     "localtimestamp", "curdate", "unix_timestamp",
 )
 
+_COPY_BLOCK = 10_000
+
 CONTRACT = ["table_name", "row_key", "rule_kind", "rule_name", "column_name", "message"]
 
 
@@ -113,9 +115,10 @@ def unique_violations(
 ) -> DataFrame:
     """Rows whose key is taken, by a stored row or an earlier row of the batch.
 
-    ``sequence`` is unique and orders the batch; the lowest one keeps the key.
-    Only keys that occur twice are joined back, each as one row. The key is a
-    struct, inside which NULLs compare as equal.
+    ``sequence`` orders the batch; the lowest one keeps the key, and of equal ones
+    the lowest row key. Rows alike in all of these are copies: one keeps the key and
+    every other is reported. Only keys that occur twice are joined back. The key is
+    a struct, inside which NULLs compare as equal.
     """
     parts = [F.lower(c) if rule.ignore_case else F.col(c) for c in rule.columns]
     key = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)]).alias("_key")
@@ -124,17 +127,27 @@ def unique_violations(
     keyed = complete.select(row_key.alias("_row"), sequence.alias("_seq"), key)
     clashes = (
         keyed.groupBy("_key")
-        .agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .agg(F.min(F.struct("_seq", "_row")).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > 1)
     )
-    later = F.col("_seq") > F.col("_first")
-    taken = join_to_summary(keyed, clashes, "_key", "_n").where(later).select("_row")
+    clashing = join_to_summary(keyed, clashes, "_key", "_n").groupBy("_key", "_seq", "_row", "_first").agg(
+        F.count(F.lit(1)).alias("_copies"))
+    keeps = F.struct("_seq", "_row") == F.col("_first")
+    taken = _copied(clashing, F.when(keeps, F.col("_copies") - 1).otherwise(F.col("_copies"))).select("_row")
     if stored is not None:
         held = (stored.where(known) if rule.nulls_distinct else stored).select(key)
         taken = taken.union(keyed.join(held, "_key", "left_semi").select("_row")).distinct()
     return _broken(taken, table, F.col("_row"), "UNIQUE", rule.name, ",".join(rule.columns))
 
 
+def _copied(rows: DataFrame, times: Column) -> DataFrame:
+    """Every row ``times`` times, in blocks, so no long list is held."""
+    blocks = rows.withColumn("_times", times).where("_times > 0").withColumn(
+        "_block", F.explode(F.expr(f"sequence(0, (_times - 1) div {_COPY_BLOCK})")))
+    within = F.expr(f"sequence(1, least(_times - _block * {_COPY_BLOCK}, {_COPY_BLOCK}))")
+    return blocks.withColumn("_copy", F.explode(within)).drop("_times", "_block", "_copy")
+
+
 def reference_violations(
     df: DataFrame, table: str, row_key: Column, rule: ForeignKey, parent: DataFrame
 ) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,8 +14,11 @@ from ledgerlark.sources.scratch import materialize
 # monotonically_increasing_id keeps the partition above bit 33, the row below.
 _ROW_BITS = 33
 
-# Beyond this many skipped rows a page is cut by position instead of by top-k.
-TOP_K_LIMIT = 10_000
+# A page is narrowed to a range of the order until about so many rows are left to sort.
+PAGE_ROWS = 100_000
+
+# Parts into which one pass of narrowing cuts the range.
+PAGE_PARTS = 64
 
 
 def _placed(df: DataFrame, order: list[Column], name: str) -> DataFrame:
@@ -67,17 +73,67 @@ def with_rank(
     """
     placed = _placed(df, order, position)
     runs = placed.groupBy("_part", value).agg(F.min(position).alias("_first"))
-    ranks = runs.join(runs.groupBy(value).agg(F.min("_first").alias(rank)), value)
-    return placed.join(ranks, ["_part", value]).select(*df.columns, rank, position)
+    # Inside a struct NULLs compare as equal, so rows without a value find their rank too.
+    key = F.struct("_part", value).alias("_key")
+    runs = runs.select(key, F.struct(value).alias("_value"), "_first")
+    firsts = runs.groupBy("_value").agg(F.min("_first").alias(rank))
+    ranks = runs.join(firsts, "_value").select("_key", rank)
+    return placed.withColumn("_key", key).join(ranks, "_key").select(*df.columns, rank, position)
 
 
-def page_by_offset(df: DataFrame, order: list[Column], skip: int, size: int) -> DataFrame:
-    """``LIMIT size OFFSET skip``; a deep page is cut by position, not by top-k."""
-    if skip + size <= TOP_K_LIMIT:
-        return df.orderBy(*order).offset(skip).limit(size)
-    place = F.col("_place")
-    placed = with_position(df, order, "_place")
-    return placed.where((place > skip) & (place <= skip + size)).drop("_place").orderBy(*order)
+def page_by_offset(df: DataFrame, order: list[tuple[str, bool]], skip: int, size: int) -> DataFrame:
+    """``LIMIT size OFFSET skip`` by ``order``, pairs of a column and whether it ascends.
+
+    The range of the order that holds the page is narrowed by quantiles, a pass over
+    the input each, until few rows are left; only those are sorted. NULLs come first
+    in ascending and last in descending order. Nothing is written, the driver sees
+    ``PAGE_PARTS`` counts a pass, and the filters found reach the scan.
+    """
+    rows, left = df, skip
+    for name, ascending in order:
+        rows, left, count, single = _narrowed(rows, name, ascending, left, size)
+        if count <= PAGE_ROWS or not single:
+            break
+    sort = [F.asc(name) if ascending else F.desc(name) for name, ascending in order]
+    return rows.orderBy(*sort).offset(left).limit(size)
+
+
+def _narrowed(rows: DataFrame, name: str, ascending: bool, skip: int, size: int):
+    """The rows whose value range holds the page, the rows to skip in it, how many rows
+    it has, and whether they all share one value."""
+    column = F.col(name)
+    while True:
+        shares = [i / PAGE_PARTS for i in range(PAGE_PARTS + 1)]
+        bounds = rows.agg(F.percentile_approx(name, shares, 10_000)).first()[0]
+        cuts = sorted(set(bounds or []))
+        part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < column)) if cuts else F.lit(0)
+        counts = rows.groupBy(F.when(column.isNull(), -1).otherwise(part).alias("part")).agg(
+            F.count(F.lit(1)).alias("n")).collect()
+        found = sorted(((r["part"], r["n"]) for r in counts), reverse=not ascending)
+        total, before, held = sum(n for _, n in found), 0, []
+        for part_no, n in found:
+            if before + n > skip and before < skip + size:
+                held.append((part_no, n, before))
+            before += n
+        if not held:
+            return rows.where(F.lit(False)), 0, 0, False
+        ranges = [_range(column, part_no, cuts) for part_no, _, _ in held]
+        kept = rows.where(reduce(or_, ranges))
+        count, offset = sum(n for _, n, _ in held), skip - held[0][2]
+        # A part between neighbouring cuts that is no smaller than its input has one value.
+        single = len(held) == 1 and (held[0][0] < 0 or len(cuts) == 1)
+        if count <= PAGE_ROWS or count == total or single:
+            return kept, offset, count, single
+        rows, skip = kept, offset
+
+
+def _range(column: Column, part: int, cuts: list) -> Column:
+    """Values of a part: above one cut, up to the next; part -1 are the NULLs."""
+    if part < 0:
+        return column.isNull()
+    low = column > F.lit(cuts[part - 1]) if part > 0 else None
+    high = column <= F.lit(cuts[part]) if part < len(cuts) else None
+    return low if high is None else high if low is None else low & high
 
 
 def with_new_ids(df: DataFrame, order: list[Column], last: Column, name: str) -> DataFrame:

@@ -12,11 +12,13 @@ def explode_lists(df: DataFrame, lists: dict[str, str], separator: str = ",") ->
     """One row per position of parallel lists kept as text (first normal form).
 
     ``lists`` maps a text column to the name of its element column. Lists of
-    unequal length leave NULL at the missing positions.
+    unequal length leave NULL at the missing positions. A NULL list has no elements;
+    a row without any keeps one row, of NULL position and elements.
     """
-    arrays = [F.split(text, separator).alias(name) for text, name in lists.items()]
+    none = F.expr("array()").cast("array<string>")
+    arrays = [F.coalesce(F.split(text, separator), none).alias(name) for text, name in lists.items()]
     kept = [c for c in df.columns if c not in lists]
-    zipped = df.select(*kept, F.posexplode(F.arrays_zip(*arrays)).alias("position", "item"))
+    zipped = df.select(*kept, F.posexplode_outer(F.arrays_zip(*arrays)).alias("position", "item"))
     return zipped.select(*kept, "position", "item.*")
 
 
@@ -25,18 +27,14 @@ def dependency_violations(
 ) -> DataFrame:
     """Determinant values that go with more than one dependent value.
 
-    The pairs are made distinct first: that combines on the map side, so a hot
-    determinant shrinks to its few pairs before it is grouped.
+    The lowest and the highest dependent value decide, so one aggregation that
+    combines on the map side is enough, whatever a hot determinant has.
     """
     value = F.struct(*dependent)
-    pairs = df.select(*determinant, *dependent).distinct()
     return (
-        pairs.groupBy(*determinant)
-        .agg(
-            F.count(F.lit(1)).alias("values"), F.min(value).alias("lowest"),
-            F.max(value).alias("highest"),
-        )
-        .where(F.col("values") > 1)
+        df.groupBy(*determinant)
+        .agg(F.min(value).alias("lowest"), F.max(value).alias("highest"))
+        .where(~F.col("lowest").eqNullSafe(F.col("highest")))
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import grams, query_grams, words
-from ledgerlark.operators.layout import spread, write_hashed
+from ledgerlark.operators.layout import write_hashed
 
 # Ids per posting block: bounds the list any one task holds for a common word.
 BLOCK = 1024
@@ -23,7 +23,7 @@ def inverted_index(df: DataFrame, key: str, text: str) -> DataFrame:
     A word found in every text would otherwise gather all ids in one group; with
     the block in the key no list exceeds ``BLOCK`` ids.
     """
-    pairs = postings(spread(df.select(key, text)), key, words(text), "word")
+    pairs = postings(df.select(key, text), key, words(text), "word")
     block = F.floor(F.col(key) / BLOCK).cast("bigint").alias("block")
     return pairs.groupBy("word", block).agg(F.sort_array(F.collect_list(key)).alias("ids"))
 
@@ -39,7 +39,7 @@ def gram_index(df: DataFrame, key: str, text: str, label: str, size: int = 3) ->
     The pairs of one gram are spread over ranges of the key, so a gram found in
     every text is written by many tasks.
     """
-    pairs = postings(spread(df.select(key, text)), key, grams(text, size), "gram")
+    pairs = postings(df.select(key, text), key, grams(text, size), "gram")
     span = F.floor(F.col(key) / (BLOCK * BLOCK))
     return write_hashed(pairs, ["gram", span], ["gram", key], label)
 

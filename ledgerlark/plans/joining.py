@@ -258,20 +258,21 @@ def join_full_emulated(t: Tables) -> DataFrame:
     WITH sold AS (SELECT o_custkey, p_brand, SUM(l_quantity) AS q
                   FROM lineitem JOIN orders ON o_orderkey = l_orderkey
                   JOIN part ON p_partkey = l_partkey GROUP BY o_custkey, p_brand)
-    SELECT c_custkey, b.p_brand, CAST(COALESCE(q, 0) AS BIGINT) AS quantity
+    SELECT c_custkey, CAST(COALESCE(SUM(q), 0) AS BIGINT) AS quantity, COUNT(q) AS held,
+           COUNT(*) - COUNT(q) AS lacking
     FROM customer CROSS JOIN (SELECT DISTINCT p_brand FROM part) b
-    LEFT JOIN sold ON o_custkey = c_custkey AND sold.p_brand = b.p_brand
+    LEFT JOIN sold ON o_custkey = c_custkey AND sold.p_brand IS NOT DISTINCT FROM b.p_brand
+    GROUP BY c_custkey
 """)
 def join_cross(t: Tables) -> DataFrame:
-    """The full customer by category grid, zero where nothing was bought."""
-    brands = joins.bounded_values(t.part, "p_brand")
+    """The customer by category grid, summed per customer: filled cells and empty ones."""
     quantity = F.col("l_quantity").cast("bigint")
     sold = (
         t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
         .join(t.part, F.col("p_partkey") == F.col("l_partkey"))
         .select(F.col("o_custkey").alias("c_custkey"), "p_brand", quantity.alias("quantity"))
     )
-    return joins.grid(t.customer, "c_custkey", sold, "p_brand", brands, "quantity")
+    return joins.coverage(t.customer, "c_custkey", sold, "p_brand", t.part, "quantity")
 
 
 @query("""
@@ -314,7 +315,8 @@ def join_natural(t: Tables) -> DataFrame:
 def join_self_pairs(t: Tables) -> DataFrame:
     """Price comparison of all product pairs of a category, without forming the pairs."""
     priced = t.part.select(F.col("p_brand").alias("category"), cents("p_retailprice").alias("price"))
-    return joins.group_pairs(priced, "category", "price")
+    pairs = joins.group_pairs(priced, "category", "price")
+    return pairs.withColumns({name: F.col(name).cast("bigint") for name in ("pairs", "equal_pairs")})
 
 
 _BOUGHT_SQL = """

@@ -126,8 +126,8 @@ def dq_nulls_not_distinct(t: Tables) -> DataFrame:
     {_contract('NOT NULL', 'nn_line_no', 'line_no', 'lineitem', 'k')} FROM l WHERE line_no IS NULL
     UNION ALL
     {_contract('UNIQUE', 'pk_line', 'l_orderkey,line_no', 'lineitem', 'k')}
-    FROM l m WHERE EXISTS (SELECT 1 FROM l WHERE l.l_orderkey = m.l_orderkey
-                           AND l.line_no = m.line_no AND l.k < m.k)
+    FROM l WHERE line_no IS NOT NULL
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, line_no ORDER BY k) > 1
 """)
 def dq_pk(t: Tables) -> DataFrame:
     """A composite primary key: no NULL in it, and no pair twice."""

@@ -1,35 +1,76 @@
-"""Where intermediate tables go.
+"""Where intermediate tables go, and when they go away.
 
-The cluster names a shared folder in ``spark.checkpoint.dir``. Only a local
-session without that setting gets a folder of its own, because there driver and
-executors share one machine.
+The cluster names a shared folder in ``spark.checkpoint.dir``. Only a session inside one
+process gets a folder of its own without that setting, because there driver and
+executors share one machine. Everything a session writes lies below one folder of its
+application, which is deleted when the process ends; ``scope`` deletes earlier what was
+written inside it.
 """
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
+# Folders made for local sessions without the setting, by application.
+_LOCAL: dict[str, str] = {}
+
+# Folders handed out and not yet deleted, in order, with the session to delete them by.
+_OPEN: dict[str, SparkSession] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder of this session."""
     named = spark.conf.get(_SETTING, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="ledgerlark-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="ledgerlark-")
+    return _LOCAL[application]
 
 
 def run_folder(spark: SparkSession, label: str) -> str:
     """A path nobody else uses, below the shared folder."""
-    return f"{shared_folder(spark)}/ledgerlark/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/ledgerlark/{application}/{label}-{uuid.uuid4().hex}"
+    _OPEN[path] = spark
+    return path
+
+
+def _delete(path: str) -> None:
+    spark = _OPEN.pop(path)
+    with suppress(Exception):  # the session may have ended before
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """Delete at the end what was written inside; results must have been used by then."""
+    before = set(_OPEN)
+    try:
+        yield
+    finally:
+        for path in [path for path in _OPEN if path not in before]:
+            _delete(path)
+
+
+@atexit.register
+def clear() -> None:
+    """Delete all that is left."""
+    for path in list(_OPEN):
+        _delete(path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

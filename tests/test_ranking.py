@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from conftest import PLAIN
 from ledgerlark.operators import ranking
+from ledgerlark.sources.tables import Tables
 
 
 @pytest.fixture
@@ -38,15 +41,37 @@ def test_position_is_stable_when_read_again(scored):
     assert sorted(placed.collect()) == sorted(placed.collect())
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_pages_cover_everything_once(scored, monkeypatch, limit):
-    """The same pages whether cut by top-k or by position."""
-    monkeypatch.setattr(ranking, "TOP_K_LIMIT", limit)
-    order = [F.desc("score"), F.asc("id")]
-    whole = [r.id for r in scored.orderBy(*order).collect()]
-    for skip in (0, 990, 2995):
-        page = [r.id for r in ranking.page_by_offset(scored, order, skip, 10).collect()]
-        assert page == whole[skip:skip + 10]
+def test_rank_of_missing_values(spark):
+    """Rows without a value are ranked like any other value, in whatever partitions they lie."""
+    rows = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, F.col("id") % 7).alias("score"))
+    for score in (F.asc("score"), F.desc("score")):
+        got = {r.id: (r.rank, r.position) for r in ranking.with_rank(rows, "score", [score, F.asc("id")]).collect()}
+        order = Window.orderBy(score)
+        want = rows.select("id", F.rank().over(order).alias("r"),
+                           F.row_number().over(Window.orderBy(score, "id")).alias("p")).collect()
+        assert got == {r.id: (r.r, r.p) for r in want}
+
+
+@pytest.mark.parametrize("few", [100_000, 40])
+def test_pages_cover_everything_once(scored, monkeypatch, few):
+    """The same pages however far the order is narrowed, and nothing written."""
+    monkeypatch.setattr(ranking, "PAGE_ROWS", few)
+    monkeypatch.setattr(ranking, "materialize", None)
+    holed = scored.withColumn("score", F.when(F.col("id") % 10 > 0, F.col("score")))
+    for ascending in (True, False):
+        sort = F.asc("score") if ascending else F.desc("score")
+        whole = [r.id for r in holed.orderBy(sort, F.asc("id")).collect()]
+        for skip in (0, 290, 990, 2695, 2995, 4000):
+            page = ranking.page_by_offset(holed, [("score", ascending), ("id", True)], skip, 10)
+            assert [r.id for r in page.collect()] == whole[skip:skip + 10]
+
+
+def test_a_deep_page_reads_its_range_only(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "PAGE_ROWS", 100)
+    orders = Tables(spark, PLAIN).orders.select("o_orderkey")
+    page = ranking.page_by_offset(orders, [("o_orderkey", True)], 12_000, 20)
+    assert "GreaterThan(o_orderkey" in page._jdf.queryExecution().executedPlan().toString()
+    assert page.count() == 20
 
 
 def test_new_ids_are_dense(spark):

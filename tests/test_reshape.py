@@ -21,6 +21,15 @@ def test_parallel_lists(spark):
     }
 
 
+def test_missing_lists_keep_their_row(spark):
+    bills = spark.createDataFrame([(1, "tea", "2"), (2, None, "4,5"), (3, "a", None), (4, None, None)],
+                                  "id bigint, items string, counts string")
+    rows = reshape.explode_lists(bills, {"items": "item", "counts": "n"}).collect()
+    assert {(r.id, r.position, r.item, r.n) for r in rows} == {
+        (1, 0, "tea", "2"), (2, 0, None, "4"), (2, 1, None, "5"), (3, 0, "a", None), (4, None, None, None),
+    }
+
+
 @pytest.fixture
 def shift(spark):
     return spark.createDataFrame(
@@ -75,18 +84,25 @@ def test_pairs_equal_brute_force(spark):
         )
 
 
-def test_grid_fills_empty_cells(spark):
+def test_empty_cells_are_counted(spark):
+    """A missing category is one, and thousands of categories are no list."""
     people = spark.createDataFrame([(1,), (2,)], "id bigint")
-    facts = spark.createDataFrame([(1, "x", 3), (1, "x", 4)], "id bigint, kind string, n bigint")
-    cells = joins.grid(people, "id", facts, "kind", ["x", "y z"], "n").collect()
-    assert {(r.id, r.kind, r.n) for r in cells} == {
-        (1, "x", 7), (1, "y z", 0), (2, "x", 0), (2, "y z", 0),
-    }
+    facts = spark.createDataFrame(
+        [(1, "x", 3), (1, "x", 4), (1, None, 5)], "id bigint, kind string, n bigint")
+    kinds = spark.createDataFrame([("x",), ("y z",), (None,), ("x",)], "kind string")
+    cells = joins.coverage(people, "id", facts, "kind", kinds, "n").collect()
+    assert {tuple(r) for r in cells} == {(1, 12, 2, 1), (2, 0, 0, 3)}
+    many = spark.range(5000).select(F.col("id").cast("string").alias("kind"))
+    assert {r.lacking for r in joins.coverage(people, "id", facts, "kind", many, "n").collect()} == {4998, 5000}
 
 
-def test_bounds_are_checked(spark):
-    with pytest.raises(ValueError):
-        joins.bounded_values(spark.range(20).toDF("k"), "k", 10)
+def test_pairs_of_very_large_groups(spark):
+    sizes = spark.createDataFrame([(150_000_003,), (10_000_000_000,), (1,), (0,), (2,)], "n bigint")
+    got = {r.n: int(r.p) for r in sizes.select("n", joins.pairs_of("n").alias("p")).collect()}
+    assert got == {n: n * (n - 1) // 2 for n in got}
+
+
+def test_keys_are_checked(spark):
     with pytest.raises(ValueError):
         joins.natural_join(spark.range(1).toDF("a"), spark.range(1).toDF("b"))
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -9,6 +13,7 @@ from pyspark.sql import functions as F
 
 from conftest import PLAIN, SMALLEST
 from ledgerlark.operators.sorting import sort_by_choice
+from ledgerlark.plans import all_queries
 from ledgerlark.plans.aggregation import key_stats
 from ledgerlark.sources import scratch, sinks
 from ledgerlark.sources.tables import PRIMARY_KEYS, REFERENCES, TABLE_NAMES, Tables, schema_of
@@ -61,6 +66,48 @@ def test_cluster_without_a_shared_folder_is_an_error():
         scratch.shared_folder(session)
 
 
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "spark://host:7077"])
+def test_only_one_process_is_local(master):
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(RuntimeError):
+        scratch.shared_folder(session)
+
+
+def test_local_folder_without_the_setting(tmp_path):
+    """A session of its own process, without spark.checkpoint.dir, writes, reads and clears."""
+    script = """
+import os, sys
+from pyspark.sql import SparkSession
+from ledgerlark.sources import scratch
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate())
+folder = scratch.shared_folder(spark)
+assert folder == scratch.shared_folder(spark)
+assert scratch.materialize(spark.range(5), "t").count() == 5
+print("FOLDER", folder)
+"""
+    (tmp_path / "conf").mkdir()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-c", script], capture_output=True, text=True, timeout=300,
+        env=os.environ | {"SPARK_CONF_DIR": str(tmp_path / "conf"), "PYTHONPATH": root})
+    assert done.returncode == 0, done.stderr[-2000:]
+    folder = done.stdout.split("FOLDER ")[1].strip()
+    assert not list(Path(folder).rglob("*.parquet"))
+
+
+def test_a_query_run_twice_leaves_nothing_more(spark):
+    def left() -> int:
+        return sum(1 for _ in Path(scratch.shared_folder(spark)).rglob("*.parquet"))
+
+    before = left()
+    for _ in range(2):
+        with scratch.scope():
+            assert all_queries()["win_rank"].run(spark, SMALLEST).count() > 0
+            assert left() > before
+        assert left() == before
+
+
 def test_approximate_statistics_are_close(spark):
     orders = Tables(spark, PLAIN).orders
     exact = key_stats(orders, "o_custkey").first()
