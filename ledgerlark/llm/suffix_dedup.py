@@ -13,12 +13,12 @@ sorted:
    are repeated as a whole, and one stands for all. What is left are single pieces whose
    key also occurs in other pieces: only there are suffixes compared.
 3. These pieces are cut from their texts and range-partitioned by their leading bytes'
-   key with sampled splitters. The key is followed by the piece's hash, so the pieces of
-   a frequent key spread over as many buckets as they need.
+   key with sampled splitters. A key with more pieces than a bucket holds is cut into
+   parts by the pieces' hash, which follow each other as buckets of their own.
 4. Each bucket sorts the suffixes of its pieces by multikey quicksort, eight bytes at a
    time, and marks those equal to a neighbour over all ``LENGTH`` bytes.
-5. A key can go on in the next bucket only if it is the first or last of its own. The
-   suffixes of those keys are compared across buckets by one aggregation.
+5. The suffixes of keys that were cut go on in other buckets. They are compared across
+   these by one aggregation.
 
 Hashes are of 64 bits: pieces are equal if key and hash are, suffixes inside a bucket are
 compared byte by byte, across buckets by key and hash.
@@ -45,6 +45,7 @@ GRAM = 24
 SPREAD = LENGTH - GRAM + 1
 
 BUCKET_BYTES = 4 << 20
+PIECE_BYTES = LENGTH + SPREAD // 2
 
 # A piece's place in one number: start (31 bits), windows less one (8), mark of the text (24).
 _START, _EXTRA, _MARK = "shiftright(place, 32)", "shiftright(place, 24) & 255", "place & 16777215"
@@ -130,7 +131,7 @@ def _cut(asked: DataFrame) -> DataFrame:
             asks, rids, marks = batch.column(1), batch.column(2).to_numpy(), batch.column(3).to_numpy()
             offsets = asks.offsets.to_numpy()
             flat = asks.values
-            key, content, place, copied = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            key, part, place, copied, cut = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(5))
             for block in blocks(batch.column(0)):
                 low, high = offsets[block.first], offsets[block.last]
                 row = np.repeat(np.arange(block.rows), np.diff(offsets[block.first:block.last + 1]))
@@ -144,10 +145,11 @@ def _cut(asked: DataFrame) -> DataFrame:
                 body = pa.Array.from_buffers(
                     pa.binary(), len(at), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(block.data[index])])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[at]), pa.array(content[at]), pa.array(rids[block.first + row]), pa.array(place[at]),
-                     pa.array(copied[at]), body], names=["key", "content", "rid", "place", "copied", "body"])
+                    [pa.array(key[at]), pa.array(part[at]), pa.array(rids[block.first + row]), pa.array(place[at]),
+                     pa.array(copied[at]), pa.array(cut[at]), body],
+                    names=["key", "part", "rid", "place", "copied", "cut", "body"])
 
-    schema = "key long, content long, rid long, place long, copied boolean, body binary"
+    schema = "key long, part long, rid long, place long, copied boolean, cut boolean, body binary"
     return asked.select("text", "asks", "rid", F.col("mark").cast("long")).mapInArrow(run, schema)
 
 
@@ -191,10 +193,10 @@ def multikey_order(data: np.ndarray, starts: np.ndarray, marks: np.ndarray) -> t
 
 
 def _bucket(rows: pa.Table) -> pa.RecordBatch:
-    """Repeated windows of single pieces, and what the outermost keys hold for other buckets."""
+    """Repeated windows of single pieces, and what cut keys hold for other buckets."""
     rows = rows.combine_chunks()
     key, rid, place = (rows[name].to_numpy() for name in ("key", "rid", "place"))
-    copied = rows["copied"].to_numpy(zero_copy_only=False)
+    copied, cut = (rows[name].to_numpy(zero_copy_only=False) for name in ("copied", "cut"))
     body = rows["body"].combine_chunks() if isinstance(rows["body"], pa.ChunkedArray) else rows["body"]
     offsets = np.frombuffer(body.buffers()[1], np.int32)[body.offset:body.offset + len(body) + 1].astype(np.int64)
     data = np.frombuffer(body.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
@@ -227,7 +229,7 @@ def _bucket(rows: pa.Table) -> pa.RecordBatch:
     low = first[mine] + step[single[heads]]
     known = (rid[mine], low, np.ones(len(mine), bool), rid[mine], place[mine], low, low + tails - heads + LENGTH - 1)
 
-    outer = np.flatnonzero((key[owner] == key.min()) | (key[owner] == key.max())) if len(key) else owner
+    outer = np.flatnonzero(cut[owner])
     _, lead = np.unique(np.stack([key[owner[outer]].view(np.uint64), marks[outer]]), axis=1, return_index=True)
     outer = outer[lead]
     asks = ~(repeated[outer] | copied[owner[outer]])
@@ -246,7 +248,7 @@ def _compare(pieces: DataFrame, buckets: int) -> DataFrame:
         if parts and sum(part.num_rows for part in parts):
             yield _bucket(pa.Table.from_batches(parts))
 
-    ranged = pieces.repartitionByRange(buckets, "key", "content")
+    ranged = pieces.repartitionByRange(buckets, "key", "part")
     found = ranged.mapInArrow(run, "one long, two long, known boolean, rid long, place long, low long, high long")
     # Known runs have a group each; an open window is repeated if another bucket has it too.
     met = found.groupBy("known", "one", "two").agg(
@@ -262,10 +264,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.min(F.struct("rid", "place")).alias("one"))
     distinct = materialize(distinct, "repeat-distinct")
     mixed = distinct.groupBy("key").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")
-    asked = distinct.join(mixed.select("key"), "key", "left_semi").select(
-        F.col("one.rid").alias("rid"), F.struct("key", "content", "one.place", (F.col("n") > 1).alias("copied")).alias("ask"))
-    size = asked.agg(F.count("*")).first()[0]
-    buckets = max(1, -(-size * (LENGTH + SPREAD // 2) // BUCKET_BYTES))
+    parts = mixed.select("key", "kinds", F.expr(f"1 + kinds * {PIECE_BYTES} div {BUCKET_BYTES}").alias("parts"))
+    size = parts.agg(F.sum("kinds")).first()[0] or 0
+    buckets = max(1, -(-size * PIECE_BYTES // BUCKET_BYTES))
+    asked = distinct.join(parts, "key").select(F.col("one.rid").alias("rid"), F.struct(
+        "key", F.expr("pmod(content, parts)").alias("part"), "one.place", (F.col("n") > 1).alias("copied"),
+        (F.col("parts") > 1).alias("cut")).alias("ask"))
 
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.repartition(shuffles, "rid")
