@@ -7,34 +7,59 @@ from pyspark.sql import functions as F
 
 from ledgerlark.sources.scratch import materialize
 
+# Steps a node goes down in one round, as a power of two.
+JUMPS = 3
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of ``edges`` (a, b), comp being one node of its component.
 
-    Every round each node goes over into the node next to it with the least hash, if that
-    is less than its own, and the edges are redrawn between what is left, until none is.
-    Hashes differ by round, so the number of rounds grows with the logarithm of the size
-    of a component, whatever its shape. Each round is a written table.
+    Every round each node points to the node next to it with the least hash, if that is
+    less than its own, and goes down the pointers; the edges are redrawn between where
+    their ends have gone, until none is left. Hashes differ by round, so the number of
+    rounds grows with the logarithm of the size of a component, whatever its shape.
     """
-    edges = materialize(edges.where("a <> b").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     comps, turn = None, 0
+    edges = materialize(_drawn(edges, "a", "b"), "edges")
     while not edges.isEmpty():
-        both = edges.unionByName(edges.select(F.col("a").alias("b"), F.col("b").alias("a")))
         turn += 1
 
         def ranked(node: str) -> Column:
             return F.struct(F.xxhash64(node, F.lit(turn)).alias("rank"), F.col(node).alias("node"))
 
+        both = edges.unionByName(edges.select(F.col("a").alias("b"), F.col("b").alias("a")))
         near = both.groupBy("a").agg(F.min(ranked("b")).alias("near"))
         step = materialize(near.select(F.col("a").alias("node"), F.least("near", ranked("a"))["node"].alias("to")), "steps")
+        for _ in range(JUMPS):
+            step = step.join(step.select(F.col("node").alias("to"), F.col("to").alias("far")), "to").select(
+                "node", F.col("far").alias("to"))
+        step = materialize(step, "steps")
         ends = {end: step.select(F.col("node").alias(end), F.col("to").alias(f"to_{end}")) for end in "ab"}
-        drawn = edges.join(ends["a"], "a").join(ends["b"], "b").where("to_a <> to_b")
-        edges = materialize(drawn.select(
-            F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "edges")
+        edges = materialize(_drawn(edges.join(ends["a"], "a").join(ends["b"], "b"), "to_a", "to_b"), "edges")
         if comps is None:
             comps = step.withColumnRenamed("to", "comp")
         else:
-            moved = comps.join(step.withColumnRenamed("node", "comp"), "comp", "left")
-            comps = materialize(moved.select("node", F.coalesce("to", "comp").alias("comp")), "comps")
+            comps = materialize(_moved(comps, step.withColumnRenamed("node", "comp")), "comps")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")) if comps is None else comps
+
+
+def merged(comps: DataFrame, edges: DataFrame) -> DataFrame:
+    """``comps`` after further ``edges``; only the components that these touch are worked on."""
+    labels = comps.select("node", "comp")
+    for end in "ab":
+        edges = edges.join(labels.select(F.col("node").alias(end), F.col("comp").alias(f"to_{end}")), end, "left")
+        edges = edges.withColumn(f"to_{end}", F.coalesce(f"to_{end}", end))
+    drawn = materialize(_drawn(edges, "to_a", "to_b"), "edges")
+    if drawn.isEmpty():
+        return comps
+    step = components(drawn).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    fresh = step.select(F.col("comp").alias("node"), F.col("to").alias("comp")).join(labels, "node", "left_anti")
+    return materialize(_moved(labels, step).unionByName(fresh), "comps")
+
+
+def _drawn(edges: DataFrame, a: str, b: str) -> DataFrame:
+    return edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def _moved(comps: DataFrame, step: DataFrame) -> DataFrame:
+    return comps.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))

@@ -3,7 +3,7 @@
 1. Each text gives the set of its word shingles; texts with equal sets are one class and
    stand for one another from here on. A class has MinHash samples, of which every four
    make a band, and two parity bitmaps: an odd sketch, into which the samples are folded
-   (each flips one bit), and the parity of the whole set, with about two bits a shingle.
+   (each flips one bit), and the parity of the whole set, with four to eight bits a shingle.
 2. Classes that share a band are candidates. The number of differing bits of two odd
    sketches estimates their similarity; that of two set parities is at most the size of
    the sets' symmetric difference, so it rules pairs out for certain.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlark.llm.blocks import LOWER, SPACES, Block, Prefixes, blocks, mix, rows_of, sequence_hash, string_list, word_bounds
-from ledgerlark.llm.components import components
+from ledgerlark.llm.components import components, merged
 from ledgerlark.sources.scratch import materialize
 
 SHINGLE = 5
@@ -79,8 +79,8 @@ def shingles_of(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def level_of(size: np.ndarray) -> np.ndarray:
-    """Logarithm of the bits of a set's parity: twice its size or more, 64 at least."""
-    return np.maximum(6, np.ceil(np.log2(np.maximum(2 * size, 1)))).astype(np.int64)
+    """Logarithm of the bits of a set's parity: four times its size or more, 64 at least."""
+    return np.maximum(6, np.ceil(np.log2(np.maximum(4 * size, 1)))).astype(np.int64)
 
 
 def _odd_sketches(samples: np.ndarray) -> np.ndarray:
@@ -205,7 +205,7 @@ def _meet(members: DataFrame) -> DataFrame:
     parts = parts.withColumn("mine", F.expr("pmod(xxhash64(node), parts)")).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     parts = parts.select(
-        "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "comp", "n", "odd", "parity")
+        "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "comp", "n", "odd", "parity", "bands")
 
     def pairs(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         group = np.stack([rows.column(k).to_numpy() for k in range(3)])
@@ -214,10 +214,15 @@ def _meet(members: DataFrame) -> DataFrame:
         new[1:] = (group[:, 1:] != group[:, :-1]).any(axis=0)
         label = np.cumsum(new)
         sketches = rows.columns[6:8]
+        bands = rows.column(8).flatten().to_numpy().reshape(len(node), BANDS)
         for step in range(1, int(np.bincount(label).max(initial=0))):
             i = np.flatnonzero((label[step:] == label[:-step]) & (comp[step:] != comp[:-step]))
             j = i + step
             pick, far = _sifted(sketches, sketches, i, j, n[i], n[j])
+            # A pair counts in the first of the buckets that it shares.
+            one, two = bands[i[pick]], bands[j[pick]]
+            first = one[np.arange(len(pick)), (one == two).argmax(axis=1)] == group[0, i[pick]]
+            pick, far = pick[first], far[first]
             if len(pick):
                 a, b = node[i[pick]], node[j[pick]]
                 yield pa.RecordBatch.from_arrays(
@@ -285,8 +290,8 @@ def _with_comps(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return pairs
 
 
-def _confirmed(candidates: DataFrame, texts: DataFrame, links: DataFrame | None, comps: DataFrame | None, shingle: int):
-    """Confirm candidates until none is left that joins two components: (links, components).
+def _confirmed(candidates: DataFrame, texts: DataFrame, comps: DataFrame | None, shingle: int) -> DataFrame:
+    """The components after confirming candidates until none is left that joins two.
 
     First each class meets the best of the others, then each two components their best
     pair, and then all that is left.
@@ -306,10 +311,9 @@ def _confirmed(candidates: DataFrame, texts: DataFrame, links: DataFrame | None,
             pick = left.select("a", "b")
         tested = materialize(_confirm(pick, texts, shingle), "near-tested")
         found = tested.where("linked").select("a", "b")
-        links = materialize(found if links is None else links.unionByName(found), "near-links")
-        comps = components(links)
+        comps = components(found) if comps is None else merged(comps, found)
         left = left.select("a", "b", "far").join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    return links, comps
+    return comps
 
 
 def _marked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -331,18 +335,20 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     def side(end: str) -> DataFrame:
         return classes.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in ("n", "odd", "parity")))
 
-    banded = classes.select("node", F.explode("bands").alias("bucket")).withColumn("rank", F.xxhash64("node", "bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rank").alias("head")).where("size > 1")
-    members = materialize(banded.join(shared.select("bucket", "head"), "bucket"), "near-members")
-    heads = members.where("rank = head").select("bucket", F.col("node").alias("b"))
-    stars = members.where("rank <> head").join(heads, "bucket").select(F.col("node").alias("a"), "b").distinct()
+    # The bucket's bits shuffle the numbers of its nodes, so its head is as good as drawn.
+    banded = classes.select("node", F.explode("bands").alias("bucket"))
+    shared = banded.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min(F.col("node").bitwiseXOR(F.col("bucket"))).alias("least")).where("size > 1")
+    members = materialize(banded.join(shared, "bucket").select(
+        "bucket", "node", F.col("least").bitwiseXOR(F.col("bucket")).alias("head")), "near-members")
+    stars = members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).repartition("a").distinct()
     stars = materialize(_sift_pairs(stars.join(side("a"), "a").join(side("b"), "b")), "near-stars")
 
     def cross(nodes: DataFrame) -> DataFrame:
         """Sifted pairs of different components in the buckets of ``nodes`` (bucket, node, comp)."""
         spread = nodes.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
         return _meet(nodes.join(spread.select("bucket"), "bucket", "left_semi").join(
-            classes.select("node", "n", "odd", "parity"), "node"))
+            classes.select("node", "n", "odd", "parity", "bands"), "node"))
 
     def owned(comps: DataFrame, nodes: DataFrame) -> DataFrame:
         return nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -355,7 +361,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
         F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text")
     texts = materialize(texts, "near-texts").repartition(
         int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
-    links, comps = _confirmed(candidates, texts, None, None, shingle)
+    comps = _confirmed(candidates, texts, None, shingle)
     # Inside what the stars had joined no other pairs were formed: where the full sets part it, form them.
     parted = owned(comps, guessed.select("node", F.col("comp").alias("guess"))).groupBy("guess").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
@@ -363,7 +369,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     if not inside.isEmpty():
         again = owned(comps, members.select("bucket", "node").join(inside, "node", "left_semi"))
         more = materialize(cross(again).join(candidates.select("a", "b"), ["a", "b"], "left_anti"), "near-again")
-        links, comps = _confirmed(more, texts, links, comps, shingle)
+        comps = _confirmed(more, texts, comps, shingle)
     labelled = owned(comps, classes.select("c1", "c2", "node", "first"))
     best = labelled.groupBy("comp").agg(F.min("first").alias("first"))
     labelled = labelled.drop("first").join(best, "comp").select(
