@@ -205,11 +205,11 @@ def test_empty_mixture(spark):
 
 def corpus() -> list[tuple]:
     """(doc_id, text, lang, source, n_chars) with something for every stage to do."""
-    passage = prose(2, 60, 60)
-    rows = [(i, "\n".join(prose(i * 50 + k, 15, 60) for k in range(6)), "en", f"s{i % 3}") for i in range(60)]
+    passage = prose(2, 60, 12)
+    rows = [(i, "\n".join(prose(i * 50 + k, 15, 12) for k in range(6)), "en", f"s{i % 3}") for i in range(60)]
     rows += [(100, rows[5][1], "en", "s0"), (101, None, "en", "s1"), (102, "# | " * 100, "en", "s1"), (103, "short", "en", "s2"),
-             (104, rows[7][1].replace("w1 ", "zz ", 2), "en", "s2"), (105, prose(900, 40, 60) + " " + passage, "en", None),
-             (106, "new head\n" + "\n".join(rows[9][1].split("\n")[1:5]) + "\n" + prose(77, 30, 60), "en", "s1")]
+             (104, rows[7][1].replace("w1 ", "zz ", 2), "en", "s2"), (105, prose(900, 40, 12) + " " + passage, "en", None),
+             (106, "new head\n" + "\n".join(rows[9][1].split("\n")[1:5]) + "\n" + prose(77, 30, 12), "en", "s1")]
     return [(*row, len(row[1] or "")) for row in rows]
 
 
@@ -217,7 +217,7 @@ def test_pipeline(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     folder = str(tmp_path)
     spark.createDataFrame(corpus(), schema).write.parquet(f"{folder}/documents.parquet")
-    items = [("a", prose(2, 60, 60))]
+    items = [("a", prose(2, 60, 12))]
     spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     seen = []
