@@ -165,7 +165,23 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
         warc.from_urn("record_id").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         warc.from_urn("refers_to").cast(id_type).alias("refers_to"))
 
-@query()
+@query("""
+WITH doc AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h FROM documents),
+place AS (SELECT r, p, hash(substr(h, 2 * p + 1, 400)) AS m
+          FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 199)) AS p FROM doc)),
+again AS (SELECT m FROM place GROUP BY m HAVING count(*) > 1),
+covered AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before,
+                   lead(p) OVER (PARTITION BY r ORDER BY p) AS after FROM place SEMI JOIN again USING (m)),
+edge AS (SELECT r, p AS low, row_number() OVER (PARTITION BY r ORDER BY p) AS i FROM covered
+         WHERE before IS NULL OR p > before + 200),
+stop AS (SELECT r, p + 200 AS high, row_number() OVER (PARTITION BY r ORDER BY p) AS i FROM covered
+         WHERE after IS NULL OR after > p + 200),
+span AS (SELECT r, i, low, high, lag(high, 1, 0) OVER (PARTITION BY r ORDER BY i) AS was FROM edge JOIN stop USING (r, i)),
+kept AS (SELECT r, count(*) AS n_spans, sum(high - low) AS n_removed,
+                string_agg(substr(h, 2 * was + 1, 2 * (low - was)), '' ORDER BY i)
+                || substr(any_value(h), 2 * max(high) + 1) AS k FROM span JOIN doc USING (r) GROUP BY r)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256 FROM doc LEFT JOIN kept USING (r)""")
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of each document without the byte strings that occur more than once."""
     found = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
@@ -174,7 +190,19 @@ def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE w AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (SELECT DISTINCT r, unnest(CASE WHEN len(w) < 2 THEN w ELSE
+                list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM w),
+size AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+alike AS (SELECT a.r AS x, b.r AS y, count(*) AS k FROM shingle a JOIN shingle b ON a.s = b.s AND a.r < b.r GROUP BY 1, 2),
+link AS (SELECT x, y FROM alike JOIN size a ON a.r = x JOIN size b ON b.r = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
+both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT r, r AS other FROM w UNION SELECT reach.r, y FROM reach JOIN both_ways ON x = other),
+least_id AS (SELECT reach.r, min(w.doc_id) AS component_id FROM reach JOIN w ON w.r = other GROUP BY reach.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM w JOIN least_id USING (r) LEFT JOIN size USING (r)""")
 def op9_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles are alike."""
     found = near_dup.groups(table(spark, folder, "documents"), shingle=2)
