@@ -12,7 +12,6 @@ NAMES = list(all_queries())
 WITHOUT_SQL = {"catalog_layout"}
 
 
-
 def check(query, spark, folder, oracle, rows_of) -> list[dict]:
     rows = rows_of(query.run(spark, folder))
     if query.sql is None:
@@ -48,4 +47,5 @@ def test_other_time_zone(name, spark, skewed, oracle, rows_of):
 def test_contract(spark):
     assert contract.entry(spark).count() == 150
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
+    assert set(NAMES) <= set(contract.queries())
+    assert set(NAMES) - set(contract.oracle_sql()) == WITHOUT_SQL
