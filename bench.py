@@ -66,7 +66,7 @@ def layout_figures(spark: SparkSession) -> dict:
     )
     figures = {"rows": big.count()}
     start = time.perf_counter()
-    clustered = layout.write_clustered(big, ["customer_id", "order_id"], "bench-clustered", 16)
+    clustered = layout.write_clustered(big, ["customer_id", "order_id"], run_folder(spark, "bench-clustered"), 16)
     figures["build_layout_sec"] = round(time.perf_counter() - start, 3)
     newest = big.orderBy(F.desc("order_id")).limit(100_000).cache()
     newest.count()
@@ -74,7 +74,7 @@ def layout_figures(spark: SparkSession) -> dict:
         lambda: newest.write.parquet(run_folder(spark, "bench-insert"))
     )
     figures["insert_100k_clustered_sec"] = median_of(
-        lambda: layout.write_clustered(newest, ["customer_id", "order_id"], "bench-insert", 4)
+        lambda: layout.write_clustered(newest, ["customer_id", "order_id"], run_folder(spark, "bench-insert"), 4)
     )
     newest.unpersist()
     customers = [row[0] for row in big.select("customer_id").distinct().orderBy("customer_id")

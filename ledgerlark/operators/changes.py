@@ -7,10 +7,14 @@ for a row does not touch that row.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.joins import keys, without_match
+from ledgerlark.operators.ranking import with_new_ids
 
 
 def update_rows(df: DataFrame, predicate: Column, values: dict[str, Column]) -> DataFrame:
@@ -111,6 +115,41 @@ def upsert_update(
     ).select(current.columns)
 
 
+def upsert_natural(
+    current: DataFrame, batch: DataFrame, id_column: str, natural: list[str], columns: list[str], sequence: str,
+    order: list[str],
+) -> DataFrame:
+    """Upsert on a natural key; rows new to the table get ids after the highest one.
+
+    The batch has no ids. Rows in ``sequence`` order conflict on ``natural`` with the
+    table or with each other: the first brings a new row in, the last decides
+    ``columns`` (none: ON CONFLICT DO NOTHING). A key with a NULL in it conflicts with
+    nothing, so such rows all enter. ``order`` makes the new ids follow the batch; it
+    must end in something unique.
+    """
+    complete = reduce(and_, [F.col(c).isNotNull() for c in natural])
+    rest = [c for c in current.columns if c != id_column]
+    keyed, loose = batch.where(complete), batch.where(~complete)
+    change = keyed.groupBy(*natural).agg(
+        F.min_by(F.struct(*rest, *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(order)]), sequence).alias("first"),
+        F.max_by(F.struct(*columns, F.lit(True).alias("_seen")), sequence).alias("last"),
+    )
+    last = change.select(*natural, "last")
+    held = current.join(last, natural, "left")
+    kept = held.select(*[
+        F.when(F.col("last").isNotNull(), F.col(f"last.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+        for c in current.columns
+    ])
+    fresh = change.join(current.where(complete).select(*natural), natural, "left_anti").select(*[
+        F.col(f"last.{c}").alias(c) if c in columns else F.col(f"first.{c}").alias(c) for c in rest
+    ], *[f"first._by_{i}" for i in range(len(order))])
+    entering = fresh.unionByName(loose.select(*rest, *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(order)]))
+    highest = F.coalesce(current.agg(F.max(id_column)).scalar(), F.lit(0))
+    numbered = with_new_ids(entering, [F.asc(f"_by_{i}") for i in range(len(order))], highest, id_column)
+    return kept.unionByName(numbered.select(
+        F.col(id_column).cast(current.schema[id_column].dataType).alias(id_column), *rest))
+
+
 def atomic_orders(
     headers: DataFrame, key: str, lines: DataFrame, line_key: str, line_ok: Column
 ) -> DataFrame:

@@ -1,15 +1,17 @@
-"""Physical layouts that make selective reads skip files and row groups."""
+"""Physical layouts that make selective reads skip files and row groups.
+
+A layout is written once, to a path the caller names and keeps, and read many times.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.sources.scratch import run_folder
 
 
 def write_clustered(
-    df: DataFrame, columns: list[str | Column], label: str, files: int | None = None
+    df: DataFrame, columns: list[str | Column], path: str, files: int | None = None
 ) -> DataFrame:
     """A copy range-partitioned and sorted by ``columns``, read back.
 
@@ -18,14 +20,13 @@ def write_clustered(
     too frequent for one file is split by the columns after it.
     """
     spark = df.sparkSession
-    path = run_folder(spark, label)
     ranged = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
     ranged.sortWithinPartitions(*columns).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def write_hashed(
-    df: DataFrame, spread_by: list[str | Column], order: list[str], label: str
+    df: DataFrame, spread_by: list[str | Column], order: list[str], path: str
 ) -> DataFrame:
     """A copy hash-partitioned by ``spread_by`` and sorted, read back.
 
@@ -34,7 +35,6 @@ def write_hashed(
     do not hold the value.
     """
     spark = df.sparkSession
-    path = run_folder(spark, label)
     (
         df.repartition(*spread_by)
         .sortWithinPartitions(*order)
@@ -44,14 +44,13 @@ def write_hashed(
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_partitioned(df: DataFrame, column: str, order: list[str], label: str) -> DataFrame:
+def write_partitioned(df: DataFrame, column: str, order: list[str], path: str) -> DataFrame:
     """A copy with one folder per value of ``column``, read back.
 
     Rows are spread by range over (column, order), so a value with very many rows
     is written by several tasks.
     """
     spark = df.sparkSession
-    path = run_folder(spark, label)
     (
         df.repartitionByRange(column, *order)
         .sortWithinPartitions(column, *order)

@@ -33,15 +33,15 @@ def word_search(index: DataFrame, key: str, word: str) -> DataFrame:
     return index.where(F.col("word") == word.lower()).select(F.explode("ids").alias(key))
 
 
-def gram_index(df: DataFrame, key: str, text: str, label: str, size: int = 3) -> DataFrame:
-    """A written table of (gram, key) pairs, sorted by gram.
+def gram_index(df: DataFrame, key: str, text: str, path: str, size: int = 3) -> DataFrame:
+    """A table of (gram, key) pairs, sorted by gram, written to ``path`` once for many lookups.
 
     The pairs of one gram are spread over ranges of the key, so a gram found in
     every text is written by many tasks.
     """
     pairs = postings(df.select(key, text), key, grams(text, size), "gram")
     span = F.floor(F.col(key) / (BLOCK * BLOCK))
-    return write_hashed(pairs, ["gram", span], ["gram", key], label)
+    return write_hashed(pairs, ["gram", span], ["gram", key], path)
 
 
 def substring_search(
@@ -60,7 +60,7 @@ def substring_search(
     candidates = (
         index.where(F.col("gram").isin(wanted))
         .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_hits"))
+        .agg(F.count_distinct("gram").alias("_hits"))
         .where(F.col("_hits") == len(wanted))
         .select(key)
     )

@@ -60,12 +60,16 @@ def insert_lookup(t: Tables) -> DataFrame:
 def copy_rewrite(t: Tables) -> DataFrame:
     """A table copied into a re-declared shape; readers switch to the new version."""
     table = VersionedTable(t.spark, run_folder(t.spark, "part"))
-    first = table.write(t.part, 1)
-    redeclared = first.select(
+    table.write(t.part, 1)
+    table.switch(1)
+    redeclared = table.read().select(
         F.col("p_partkey").cast("string").alias("part_code"), F.upper("p_name").alias("p_name"),
         cents("p_retailprice").alias("price_cents"), (F.col("p_size") > 10).alias("available"),
     )
-    return table.write(redeclared, 2)
+    fresh = table.write(redeclared, 2)
+    sold = t.lineitem.select(F.col("l_partkey").cast("string").alias("part_code"))
+    table.switch(2, {"lines without their part": joins.without_match(sold, "part_code", fresh, "part_code", unique=True)})
+    return table.read()
 
 
 @query("""
@@ -233,6 +237,53 @@ def upsert_update(t: Tables) -> DataFrame:
     )
 
 
+def contact_batch(t: Tables) -> DataFrame:
+    """Contacts without ids: known addresses again, new ones, some sent twice or without an address."""
+    mail = F.concat(F.lower("c_name"), F.when(F.col("c_nationkey") % 2 == 0, "@example.org").otherwise("@new.example"))
+    once = t.customer.where(F.col("c_acctbal") < 0).select(
+        F.when(F.col("c_mktsegment") != "BUILDING", mail).alias("email"), "c_mktsegment",
+        (F.col("c_custkey") * 2).alias("seq"),
+    )
+    again = once.where("seq % 3 = 0").withColumns({"seq": F.col("seq") + 1, "c_mktsegment": F.lower("c_mktsegment")})
+    return once.unionByName(again)
+
+
+def contacts(t: Tables) -> DataFrame:
+    mail = F.concat(F.lower("c_name"), F.lit("@example.org"))
+    return t.customer.select(F.col("c_custkey").alias("contact_id"), mail.alias("email"), "c_mktsegment")
+
+
+_CONTACT_SQL = """
+    WITH now AS (SELECT c_custkey AS contact_id, lower(c_name) || '@example.org' AS email, c_mktsegment FROM customer),
+    once AS (SELECT CASE WHEN c_mktsegment <> 'BUILDING' THEN lower(c_name)
+                    || CASE WHEN c_nationkey % 2 = 0 THEN '@example.org' ELSE '@new.example' END END AS email,
+                    c_mktsegment, c_custkey * 2 AS seq FROM customer WHERE c_acctbal < 0),
+    batch AS (SELECT * FROM once UNION ALL SELECT email, lower(c_mktsegment), seq + 1 FROM once WHERE seq % 3 = 0),
+    entering AS (SELECT email, c_mktsegment, seq, 1 AS nth FROM batch WHERE email IS NULL
+                 UNION ALL SELECT email, c_mktsegment, seq, row_number() OVER (PARTITION BY email ORDER BY seq)
+                 FROM batch WHERE email IS NOT NULL AND email NOT IN (SELECT email FROM now)),
+    numbered AS (SELECT row_number() OVER (ORDER BY seq) + (SELECT MAX(contact_id) FROM now) AS contact_id,
+                        email, c_mktsegment FROM entering WHERE nth = 1)
+"""
+
+
+@query(_CONTACT_SQL + "SELECT * FROM now UNION ALL SELECT * FROM numbered")
+def upsert_natural_ignore(t: Tables) -> DataFrame:
+    """ON CONFLICT (email) DO NOTHING; new contacts get the next ids."""
+    return changes.upsert_natural(contacts(t), contact_batch(t), "contact_id", ["email"], [], "seq", ["seq"])
+
+
+@query(_CONTACT_SQL + """
+    , latest AS (SELECT email, arg_max(c_mktsegment, seq) AS newest FROM batch WHERE email IS NOT NULL GROUP BY email)
+    SELECT contact_id, a.email, COALESCE(newest, c_mktsegment) AS c_mktsegment
+    FROM (SELECT * FROM now UNION ALL SELECT * FROM numbered) a LEFT JOIN latest USING (email)
+""")
+def upsert_natural_update(t: Tables) -> DataFrame:
+    """ON CONFLICT (email) DO UPDATE of the segment; new contacts get the next ids."""
+    return changes.upsert_natural(
+        contacts(t), contact_batch(t), "contact_id", ["email"], ["c_mktsegment"], "seq", ["seq"])
+
+
 @query(INCOMING_SQL + """
     , bad AS (SELECT seq, CASE
             WHEN order_id IS NULL OR customer_id IS NULL OR status IS NULL OR total_cents IS NULL

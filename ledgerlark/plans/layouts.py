@@ -10,6 +10,7 @@ from ledgerlark.operators import layout
 from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.joining import order_totals
 from ledgerlark.plans.registry import query
+from ledgerlark.sources.scratch import run_folder
 from ledgerlark.sources.sinks import write_report
 from ledgerlark.sources.tables import PENDING, PRIMARY_KEYS, REFERENCES, Tables
 
@@ -37,7 +38,7 @@ def _both_sql(label: str, predicate: str) -> str:
 @query(_both_sql("by customer", "o_custkey IN (7)"))
 def layout_point_lookup(t: Tables) -> DataFrame:
     """One customer's orders from the table as given and clustered by customer."""
-    clustered = layout.write_clustered(t.orders, ["o_custkey", "o_orderkey"], "by-customer")
+    clustered = layout.write_clustered(t.orders, ["o_custkey", "o_orderkey"], run_folder(t.spark, "by-customer"))
     return both_ways(t.orders, clustered, F.col("o_custkey") == CUSTOMER, "by customer")
 
 
@@ -51,7 +52,7 @@ def layout_point_lookup(t: Tables) -> DataFrame:
 def layout_composite(t: Tables) -> DataFrame:
     """Sorted by customer then status: serves the first and both, not the second alone."""
     clustered = layout.write_clustered(
-        t.orders, ["o_custkey", "o_orderstatus", "o_orderkey"], "by-customer-status"
+        t.orders, ["o_custkey", "o_orderstatus", "o_orderkey"], run_folder(t.spark, "by-customer-status")
     )
     customer, status = F.col("o_custkey") == CUSTOMER, F.col("o_orderstatus") == "F"
     reads = {"customer": customer, "customer and status": customer & status, "status": status}
@@ -69,7 +70,7 @@ def layout_partial(t: Tables) -> DataFrame:
     """A copy of the pending orders alone, for reads that want only those."""
     pending = F.col("o_orderstatus") == PENDING
     copy = layout.write_clustered(
-        t.orders.where(pending), ["o_orderdate", "o_orderkey"], "pending"
+        t.orders.where(pending), ["o_orderdate", "o_orderkey"], run_folder(t.spark, "pending")
     )
     recent = F.col("o_orderdate") >= moment("2001-01-01")
     return both_ways(t.orders, copy, pending & recent, "pending only")
@@ -82,7 +83,7 @@ def layout_partial(t: Tables) -> DataFrame:
 def layout_expr(t: Tables) -> DataFrame:
     """The lower-case name stored next to the name, so the filter reaches the scan."""
     stored = layout.write_clustered(
-        t.customer.withColumn("name_key", F.lower("c_name")), ["name_key"], "name-key"
+        t.customer.withColumn("name_key", F.lower("c_name")), ["name_key"], run_folder(t.spark, "name-key")
     )
     return stored.where(F.col("name_key").startswith("customer#00000004")).select(
         "c_custkey", "c_name", "name_key"
@@ -97,19 +98,52 @@ def layout_covering(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_custkey").agg(count_rows().alias("orders"))
 
 
-@query()
+# Layouts this package writes: name, table, columns, kind, where it comes from, which rows it holds.
+LAYOUTS = (
+    ("by customer", "orders", "o_custkey,o_orderkey", "clustered", "reference", "TRUE"),
+    ("by customer and status", "orders", "o_custkey,o_orderstatus,o_orderkey", "clustered", "declared", "TRUE"),
+    ("pending only", "orders", "o_orderdate,o_orderkey", "partial", "declared", "o_orderstatus = 'O'"),
+    ("lower-case name", "customer", "name_key", "expression", "declared", "TRUE"),
+    ("orders of customers", "orders", "o_custkey", "column pruning", "format", "TRUE"),
+    ("events by day", "events", "day,event_id", "folders", "declared", "TRUE"),
+    ("letter runs", "documents", "gram,doc_id", "hashed, bloom filter", "declared", "length(text) >= 3"),
+)
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS layout, '{table}' AS table_name, '{columns}' AS columns, '{kind}' AS kind, "
+    f"'{origin}' AS origin, COUNT(*) AS source_rows FROM {table} WHERE {rows}"
+    for name, table, columns, kind, origin, rows in (
+        ("by customer", "orders", "o_custkey,o_orderkey", "clustered", "reference", "o_orderkey IS NOT NULL"),
+        ("by customer and status", "orders", "o_custkey,o_orderstatus,o_orderkey", "clustered", "declared",
+         "o_orderkey IS NOT NULL"),
+        ("pending only", "orders", "o_orderdate,o_orderkey", "partial", "declared", "o_orderstatus IN ('O')"),
+        ("lower-case name", "customer", "name_key", "expression", "declared", "c_custkey IS NOT NULL"),
+        ("orders of customers", "orders", "o_custkey", "column pruning", "format", "o_orderkey IS NOT NULL"),
+        ("events by day", "events", "day,event_id", "folders", "declared", "event_id IS NOT NULL"),
+        ("letter runs", "documents", "gram,doc_id", "hashed, bloom filter", "declared", "length(text) > 2"),
+    )
+))
 def catalog_layout(t: Tables) -> DataFrame:
-    """How each key lies in the files, and what a lookup of one value must open."""
+    """Every layout this package declares, and how many rows of its table it takes in."""
+    tables = {table: t.read(table) for _, table, *_ in LAYOUTS}
+    return union_all([
+        tables[table].where(rows).agg(
+            F.lit(name).alias("layout"), F.lit(table).alias("table_name"), F.lit(columns).alias("columns"),
+            F.lit(kind).alias("kind"), F.lit(origin).alias("origin"), count_rows().alias("source_rows"))
+        for name, table, columns, kind, origin, rows in LAYOUTS
+    ])
+
+
+def key_layouts(t: Tables) -> DataFrame:
+    """How each key lies in the given files, and what a lookup of one value must open."""
     known = [(k.table, k.columns[0], "primary key") for k in PRIMARY_KEYS]
     known += [(r.child, r.column, "reference") for r in REFERENCES]
-    reports = []
-    for table, column, origin in known:
-        ranges = layout.file_ranges(t.read(table), column)
-        reports.append(layout.files_for_smallest(ranges).select(
-            F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-            F.lit(origin).alias("origin"), "*",
-        ))
-    return union_all(reports)
+    return union_all([
+        layout.files_for_smallest(layout.file_ranges(t.read(table), column)).select(
+            F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit(origin).alias("origin"), "*")
+        for table, column, origin in known
+    ])
 
 
 @query(" UNION ALL ".join(

@@ -42,7 +42,7 @@ def bucket_5min(t: Tables) -> DataFrame:
 def retention_drop(t: Tables) -> DataFrame:
     """Old day folders dropped whole: the newest seven days stay."""
     by_day = layout.write_partitioned(
-        t.events.withColumn("day", F.to_date("ts")), "day", ["event_id"], "events-by-day"
+        t.events.withColumn("day", F.to_date("ts")), "day", ["event_id"], run_folder(t.spark, "events-by-day")
     )
     return timeseries.kept_partitions(by_day, "day", 7).groupBy("day").agg(
         count_rows().alias("n")

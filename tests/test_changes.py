@@ -76,6 +76,28 @@ def upsert_by_hand(current, batch):
     return {(k, a, b) for k, (a, b) in table.items()}
 
 
+def test_upserts_on_a_natural_key(spark):
+    """A third of the batch is one address; missing addresses never conflict."""
+    now = spark.createDataFrame([(5, "a", "x"), (9, None, "y"), (7, "b", "z")], "id bigint, mail string, kind string")
+    rows = [(i, ["hot", f"m{i % 20}", None, "a"][0 if i % 3 == 0 else 1 + i % 3 if i % 5 else 1], f"k{i}") for i in range(60)]
+    batch = spark.createDataFrame(rows, "seq bigint, mail string, kind string").repartition(4)
+    for columns in ([], ["kind"]):
+        want, ids, after = {"a": (5, "x"), "b": (7, "z")}, [], 9
+        loose = []
+        for seq, mail, kind in rows:
+            if mail is None or mail not in want:
+                after += 1
+                if mail is None:
+                    loose.append((after, None, kind))
+                else:
+                    want[mail] = (after, kind)
+            elif columns:
+                want[mail] = (want[mail][0], kind)
+        got = changes.upsert_natural(now, batch, "id", ["mail"], columns, "seq", ["seq"])
+        assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [
+            (9, None, "y"), *loose, *((i, mail, kind) for mail, (i, kind) in want.items())]))
+
+
 def test_upserts_apply_in_sequence(spark):
     current = [(1, "x", 10), (2, "y", None), (3, None, 30)]
     batch = [(2, "Y", 21, 1), (2, "Z", None, 4), (9, "n", 1, 2), (9, "m", 2, 3), (3, "c", 31, 5)]

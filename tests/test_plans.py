@@ -9,12 +9,14 @@ from conftest import SMALLEST
 from ledgerlark.operators import joins, layout, ranking
 from ledgerlark.plans import all_queries
 from ledgerlark.sources import scratch
+from ledgerlark.sources.scratch import run_folder
 from ledgerlark.sources.tables import Tables
 
 # One row per range partition is numbered in one task and broadcast, or the keys
 # holding more than a thousandth of all rows are broadcast, at most a thousand.
 MAY_BROADCAST = {
-    "win_rank", "page_offset_deep", "sort_nulls", "insert_defaults", "insert_or_ignore",
+    "win_rank", "sort_nulls", "insert_defaults", "insert_or_ignore", "upsert_natural_ignore",
+    "upsert_natural_update",
     "dq_unique", "dq_unique_nocase", "dq_nulls_not_distinct", "dq_pk", "dq_precedence",
     "dq_messages", "dq_split", "dq_expectations", "bridge_priced_lines",
 }
@@ -134,7 +136,7 @@ def test_top_k_does_not_sort_everything(spark):
 
 def test_clustered_copy_opens_fewer_files(spark):
     orders = Tables(spark, SMALLEST).orders
-    copy = layout.write_clustered(orders, ["o_custkey", "o_orderkey"], "test-clustered", 8)
+    copy = layout.write_clustered(orders, ["o_custkey", "o_orderkey"], run_folder(spark, "test-clustered"), 8)
     ranges = layout.file_ranges(copy, "o_custkey")
     opened = layout.files_for(ranges, 7, 7).first()
     assert opened.files == 8 and opened.files_opened <= 2
@@ -145,7 +147,7 @@ def test_clustered_copy_opens_fewer_files(spark):
 
 def test_hot_value_is_split_over_files(spark):
     rows = spark.range(4000).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"), "id")
-    copy = layout.write_clustered(rows, ["k", "id"], "test-hot", 8)
+    copy = layout.write_clustered(rows, ["k", "id"], run_folder(spark, "test-hot"), 8)
     sizes = [r.row_count for r in layout.file_ranges(copy, "k").collect()]
     assert max(sizes) < 4000 / 3
 
@@ -154,7 +156,7 @@ def test_old_days_are_not_opened(spark):
     from ledgerlark.operators.timeseries import kept_partitions
 
     events = Tables(spark, SMALLEST).events.withColumn("day", F.to_date("ts"))
-    kept = kept_partitions(layout.write_partitioned(events, "day", ["event_id"], "test-days"), "day", 7)
+    kept = kept_partitions(layout.write_partitioned(events, "day", ["event_id"], run_folder(spark, "test-days")), "day", 7)
     assert "PartitionFilters: [isnotnull(day" in plan_of(kept)
     assert kept.select("day").distinct().count() == 7
     assert {r.day for r in kept.select("day").distinct().collect()} == {

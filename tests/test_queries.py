@@ -9,7 +9,7 @@ from conftest import PLAIN, comparable
 from ledgerlark.plans import all_queries
 
 NAMES = list(all_queries())
-WITHOUT_SQL = {"catalog_layout"}
+WITHOUT_SQL = set()
 
 
 def check(query, spark, folder, oracle, rows_of) -> list[dict]:

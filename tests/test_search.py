@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import grams, query_grams
 from ledgerlark.operators import search
+from ledgerlark.sources.scratch import run_folder
 
 TEXTS = [
     "抹茶ケーキ", "チーズケーキ large", "Green Tea", "a\nnew line, tea", "", "te", "TEA",
@@ -22,8 +23,8 @@ def texts(spark):
 
 
 @pytest.fixture(scope="module")
-def index(texts):
-    return search.gram_index(texts, "id", "text", "test-grams")
+def index(spark, texts):
+    return search.gram_index(texts, "id", "text", run_folder(spark, "test-grams"))
 
 
 TERMS = ["ーキ", "ズケー", "ケーキ", "tea", "TEA", "needle", "e, t", "😀te", "zzz", "\nne"]
@@ -46,7 +47,7 @@ def test_grams_equal_python(texts):
 def test_candidates_are_verified(spark):
     """All runs of the term occur, but not next to each other."""
     texts = spark.createDataFrame([(1, "abcd bcde"), (2, "abcde")], "id bigint, text string")
-    index = search.gram_index(texts, "id", "text", "test-verify")
+    index = search.gram_index(texts, "id", "text", run_folder(texts.sparkSession, "test-verify"))
     found = search.substring_search(texts, "id", "text", "abcde", index).collect()
     assert [r.id for r in found] == [2]
 

@@ -50,6 +50,26 @@ def test_a_version_written_twice_is_one_version(spark):
     assert first.count() == 3
 
 
+def test_switching_versions(spark):
+    table = sinks.VersionedTable(spark, scratch.run_folder(spark, "switch"))
+    with pytest.raises(ValueError):
+        table.read()
+    table.write(spark.range(3), 1)
+    table.switch(1)
+    failing = spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        table.write(failing, 2)
+    with pytest.raises(ValueError, match="end"):
+        table.switch(2)
+    assert table.read().count() == 3
+    fresh = table.write(spark.range(1, 9), 2)
+    with pytest.raises(ValueError, match="orphans"):
+        table.switch(2, {"orphans": fresh.where("id > 7")})
+    assert table.current() == 1
+    table.switch(2, {"orphans": fresh.where("id > 8")})
+    assert table.current() == 2 and table.read().count() == 8
+
+
 def test_report_counts_what_it_wrote(spark):
     manifest = sinks.write_report(spark, {"a b": spark.range(5), "none": spark.range(0)})
     rows = {r.label: r for r in manifest.collect()}
