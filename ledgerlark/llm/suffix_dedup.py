@@ -44,7 +44,7 @@ LENGTH = 200
 GRAM = 24
 SPREAD = LENGTH - GRAM + 1
 
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 PIECE_BYTES = LENGTH + SPREAD // 2
 
 # A piece's place in one number: start (31 bits), windows less one (8), mark of the text (24).

@@ -22,7 +22,7 @@ def text_key(doc_id, text) -> tuple:
     return str(doc_id), text or ""
 
 
-@pytest.mark.parametrize("bucket_bytes", [4 << 20, 3000])
+@pytest.mark.parametrize("bucket_bytes", [2 << 20, 3000])
 def test_repeated_bytes(spark, monkeypatch, bucket_bytes):
     monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", bucket_bytes)
     rows = awkward_texts()
