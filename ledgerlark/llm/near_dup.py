@@ -48,8 +48,9 @@ _FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
 ODD_BITS = 256
 ODD_MOST = 63
 
-# Members of a bucket that meet in one task.
+# Members of a bucket that meet in one task, and pairs that are sifted at once.
 MEET = 2048
+SIFT = 50_000
 
 
 def shingles_of(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -197,15 +198,20 @@ def _sift_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "n_a", "n_b", "odd_a", "parity_a", "odd_b", "parity_b").mapInArrow(run, "a long, b long, far double")
 
 
-def _meet(members: DataFrame) -> DataFrame:
-    """(a, b, far) of sifted pairs of different components in the same bucket."""
+def _meet(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, far) of sifted pairs of different components in the same bucket.
+
+    A bucket of many members is dealt out in parts, and every two parts meet in one task.
+    """
     sizes = members.groupBy("bucket").agg(
         F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
     parts = members.join(sizes.select("bucket", F.expr(f"(size + {MEET - 1}) div {MEET}").alias("parts")), "bucket")
+    parts = parts.join(classes.select("node", "n", "odd", "parity", "bands"), "node")
     parts = parts.withColumn("mine", F.expr("pmod(xxhash64(node), parts)")).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     parts = parts.select(
-        "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "comp", "n", "odd", "parity", "bands")
+        "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "comp",
+        "n", "odd", "parity", "bands")
 
     def pairs(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         group = np.stack([rows.column(k).to_numpy() for k in range(3)])
@@ -215,9 +221,17 @@ def _meet(members: DataFrame) -> DataFrame:
         label = np.cumsum(new)
         sketches = rows.columns[6:8]
         bands = rows.column(8).flatten().to_numpy().reshape(len(node), BANDS)
-        for step in range(1, int(np.bincount(label).max(initial=0))):
+        lefts, rights, count = [], [], 0
+        steps = int(np.bincount(label).max(initial=0))
+        for step in range(1, steps):
             i = np.flatnonzero((label[step:] == label[:-step]) & (comp[step:] != comp[:-step]))
-            j = i + step
+            lefts.append(i)
+            rights.append(i + step)
+            count += len(i)
+            if count < SIFT and step < steps - 1:
+                continue
+            i, j = np.concatenate(lefts), np.concatenate(rights)
+            lefts, rights, count = [], [], 0
             pick, far = _sifted(sketches, sketches, i, j, n[i], n[j])
             # A pair counts in the first of the buckets that it shares.
             one, two = bands[i[pick]], bands[j[pick]]
@@ -290,14 +304,16 @@ def _with_comps(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return pairs
 
 
-def _confirmed(candidates: DataFrame, texts: DataFrame, comps: DataFrame | None, shingle: int) -> DataFrame:
+def _confirmed(
+    candidates: DataFrame, texts: DataFrame, comps: DataFrame | None, shingle: int, choices: tuple[str, ...]
+) -> DataFrame:
     """The components after confirming candidates until none is left that joins two.
 
-    First each class meets the best of the others, then each two components their best
-    pair, and then all that is left.
+    At first each "class" meets the best of the others, then each two "component"s their
+    best pair, and then "all" that is left.
     """
     left = candidates
-    for choice in ("class", "component", "all"):
+    for choice in choices:
         if comps is not None:
             left = materialize(_with_comps(left.select("a", "b", "far"), comps).where("comp_a <> comp_b"), "near-left")
             if left.isEmpty():
@@ -344,32 +360,26 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     stars = members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).repartition("a").distinct()
     stars = materialize(_sift_pairs(stars.join(side("a"), "a").join(side("b"), "b")), "near-stars")
 
-    def cross(nodes: DataFrame) -> DataFrame:
-        """Sifted pairs of different components in the buckets of ``nodes`` (bucket, node, comp)."""
-        spread = nodes.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-        return _meet(nodes.join(spread.select("bucket"), "bucket", "left_semi").join(
-            classes.select("node", "n", "odd", "parity", "bands"), "node"))
-
     def owned(comps: DataFrame, nodes: DataFrame) -> DataFrame:
         return nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
     guessed = components(stars)
-    candidates = materialize(stars.unionByName(cross(owned(guessed, members.select("bucket", "node")))), "near-candidates")
+    candidates = materialize(stars.unionByName(_meet(owned(guessed, members.select("bucket", "node")), classes)), "near-candidates")
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
     needed = ends.join(classes.select("node", "rid"), "node")
     texts = marked.select("rid", "text").join(needed, "rid").groupBy("rid").agg(
         F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text")
     texts = materialize(texts, "near-texts").repartition(
         int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
-    comps = _confirmed(candidates, texts, None, shingle)
+    comps = _confirmed(candidates, texts, None, shingle, ("class", "component", "all"))
     # Inside what the stars had joined no other pairs were formed: where the full sets part it, form them.
     parted = owned(comps, guessed.select("node", F.col("comp").alias("guess"))).groupBy("guess").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
     inside = materialize(guessed.join(parted.select(F.col("guess").alias("comp")), "comp", "left_semi").select("node"), "near-parted")
     if not inside.isEmpty():
         again = owned(comps, members.select("bucket", "node").join(inside, "node", "left_semi"))
-        more = materialize(cross(again).join(candidates.select("a", "b"), ["a", "b"], "left_anti"), "near-again")
-        comps = _confirmed(more, texts, comps, shingle)
+        more = materialize(_meet(again, classes).join(candidates.select("a", "b"), ["a", "b"], "left_anti"), "near-again")
+        comps = _confirmed(more, texts, comps, shingle, ("component", "all"))
     labelled = owned(comps, classes.select("c1", "c2", "node", "first"))
     best = labelled.groupBy("comp").agg(F.min("first").alias("first"))
     labelled = labelled.drop("first").join(best, "comp").select(
