@@ -85,7 +85,58 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+# Character classes as in the operator: a pattern each, and what is left beyond ASCII.
+_CLASSES = ("[a-z]", "[A-Z]", "[0-9]", r"[ \t]", r"[\n\r]", "[.,;:!?]", r"[()\[\]{}''\x22-]",
+            r"[#$%&*+/<=>@\\^_`|~]", r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", r"[^\x00-\x7F]")
+
+
+def _part(p: str, q: str) -> str:
+    """What a bin of shares p and q adds to twice the divergence."""
+    return (f"(CASE WHEN {p} > 0 THEN {p} * log2({p} / (({p} + {q}) / 2)) ELSE 0 END"
+            f" + CASE WHEN {q} > 0 THEN {q} * log2({q} / (({p} + {q}) / 2)) ELSE 0 END)")
+
+
+@query(rf"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
+                    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+class AS (SELECT r, lang, unnest(range(10)) AS c, unnest([{', '.join(
+    f"length(text) - length(regexp_replace(text, '{c}', '', 'g'))" for c in _CLASSES)}]) AS n FROM doc),
+word AS (SELECT r, lang, word, count(*) AS n FROM (SELECT r, lang, unnest(w) AS word FROM doc) GROUP BY ALL),
+spoken AS (SELECT lang, sum(n) AS words FROM word GROUP BY lang),
+large AS (SELECT lang, words FROM spoken WHERE lang <> '' AND words * {quality_rules.LANGUAGES} >= (SELECT sum(words) FROM spoken)),
+judged AS (SELECT doc.*, coalesce(large.lang, '') AS ref FROM doc LEFT JOIN large USING (lang)),
+seen AS (SELECT lang AS ref, word, sum(n) AS n, any_value(words) AS words FROM word JOIN large USING (lang) GROUP BY lang, word
+         UNION ALL SELECT '', word, sum(n), (SELECT sum(words) FROM spoken) FROM word GROUP BY word),
+common AS (SELECT ref, word, n / words AS q FROM seen WHERE n * {quality_rules.COMMON} >= words),
+rest AS (SELECT ref, sum(q) AS q_all, greatest(0, 1 - sum(q)) AS q_rest FROM common GROUP BY ref),
+met AS (SELECT r, sum(word.n) AS n, sum(q) AS q, sum({_part('(word.n / len(w))', 'q')}) AS js
+        FROM word JOIN judged USING (r) JOIN common USING (ref, word) GROUP BY r),
+by_word AS (SELECT r, sqrt(greatest(0, least(1, (coalesce(js, 0) + coalesce(rest.q_all, 0) - coalesce(met.q, 0)
+                + {_part('((len(w) - coalesce(met.n, 0)) / len(w))', 'coalesce(q_rest, 1)')}) / 2))) AS d
+            FROM judged LEFT JOIN met USING (r) LEFT JOIN rest USING (ref) WHERE len(w) > 0),
+class_sum AS (SELECT lang AS ref, c, sum(n) AS n FROM class SEMI JOIN large USING (lang) GROUP BY lang, c
+              UNION ALL SELECT '', c, sum(n) FROM class GROUP BY c),
+class_share AS (SELECT ref, c, n / greatest(sum(n) OVER (PARTITION BY ref), 1) AS q FROM class_sum),
+by_class AS (SELECT r, sum(n) AS chars, sqrt(greatest(0, least(1, sum(js) / 2))) AS d FROM (
+    SELECT r, n, {_part('p', 'q')} AS js FROM (SELECT r, c, n, n / greatest(sum(n) OVER (PARTITION BY r), 1) AS p FROM class)
+    JOIN judged USING (r) JOIN class_share USING (ref, c)) GROUP BY r),
+line AS (SELECT r, i, unnest(l) AS line, unnest(range(len(l))) AS k FROM (SELECT r, 0 AS i, string_split(text, chr(10)) AS l FROM doc)),
+dup AS (SELECT r, count(*) AS n FROM (SELECT r, row_number() OVER (PARTITION BY r, line ORDER BY k) AS nth FROM line
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) WHERE nth > 1 GROUP BY r),
+gram AS (SELECT r, unnest(range(len(w) - 4)) AS k, unnest(list_transform(range(1, len(w) - 3),
+             lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM doc WHERE len(w) >= 5),
+again AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(k, k + 5)) AS j FROM (
+              SELECT r, k, count(*) OVER (PARTITION BY r, g) AS times FROM gram) WHERE times > 1) GROUP BY r),
+measured AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        coalesce(dup.n, 0) AS n_dup_lines, coalesce(again.n, 0) AS n_repeat_words, chars,
+        CASE WHEN chars > 0 THEN by_class.d ELSE 0 END AS dc, coalesce(by_word.d, 0) AS dw
+    FROM doc LEFT JOIN dup USING (r) LEFT JOIN again USING (r) LEFT JOIN by_class USING (r) LEFT JOIN by_word USING (r)),
+failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (chars >= {quality_rules.MIN_CHARS} AND dc > {quality_rules.MAX_CHAR_DISTANCE})
+       AND NOT (n_words >= {quality_rules.MIN_WORDS} AND dw > {quality_rules.MAX_WORD_DISTANCE}) AS kept,
+       round(dc, 6) AS char_distance, round(dw, 6) AS word_distance FROM failed""")
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Quality measures of each document and whether it is kept."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -93,7 +144,8 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     failed = quality_rules.base_failed()
     return measured.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & ~quality_rules.diverges()).alias("kept"), "char_distance", "word_distance",
+        failed.alias("base_failed"), (~failed & ~quality_rules.diverges()).alias("kept"),
+        *(F.round(c, 6).alias(c) for c in ("char_distance", "word_distance")),
     )
 
 @query()
@@ -135,7 +187,24 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-@query()
+@query(r"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, source,
+                    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+src AS (SELECT source, sum(size) AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM doc GROUP BY source),
+weighed AS (SELECT *, CAST([5, 2, 1][rank % 3 + 1] AS DOUBLE) AS weight, CAST(2 * s AS DOUBLE) AS cap FROM src),
+levels AS (SELECT *, (1.5 * CAST(sum(s) OVER () AS DOUBLE)
+                  - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+goal AS (SELECT source, s, least(cap, coalesce(
+             (SELECT level FROM levels WHERE level * weight <= cap ORDER BY cap / weight, rank LIMIT 1) * weight, cap)) AS target
+         FROM levels),
+placed AS (SELECT r, size, floor(target) AS words, e * s + coalesce(sum(size) OVER (PARTITION BY doc.source, e
+                  ORDER BY md5(e || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), size, r
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin
+           FROM doc JOIN goal ON doc.source IS NOT DISTINCT FROM goal.source, (VALUES (0), (1)) epoch(e)),
+took AS (SELECT r, sum(greatest(least(begin + size, words) - begin, 0)) AS taken FROM placed GROUP BY r)
+SELECT doc_id, size, CAST(s AS BIGINT) AS source_size, target, CAST(taken AS BIGINT) AS taken
+FROM doc JOIN goal ON doc.source IS NOT DISTINCT FROM goal.source JOIN took USING (r)""")
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words the mix takes of each document."""
     return mixing.mixed(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
