@@ -20,12 +20,9 @@ from ledgerlark.sources.scratch import materialize
 # Order in which a row's broken rules are reported: the first kind wins.
 PRECEDENCE = ("NOT NULL", "CHECK", "UNIQUE", "FOREIGN KEY")
 
-# Functions whose answer changes between runs; a rule using one could not be
-# checked again later.
-_UNSTABLE = (
-    "rand", "randn", "random", "uuid", "now", "current_date", "current_timestamp",
-    "localtimestamp", "curdate", "unix_timestamp",
-)
+# Calls that ask the clock or the session, which the row alone does not decide.
+_OUTSIDE = re.compile(r"\b(current_\w+|now|localtimestamp|localtime|user|session_user|version)\(")
+_QUOTED = re.compile(r"'[^']*'|\"[^\"]*\"|`[^`]*`")
 
 _COPY_BLOCK = 10_000
 
@@ -43,17 +40,16 @@ class NotNull:
 
 @dataclass(frozen=True)
 class Check:
-    """Broken only where the expression is FALSE; UNKNOWN passes."""
+    """Broken only where the expression is FALSE; UNKNOWN passes.
+
+    A rule whose answer the row alone does not decide could not be checked again
+    later, and is refused when it is first applied.
+    """
 
     name: str
     column: str
     expression: str
 
-    def __post_init__(self) -> None:
-        for word in re.findall(r"[a-z_]+", self.expression.lower()):
-            if word in _UNSTABLE:
-                raise ValueError(f"rule {self.name} uses {word}, which changes between runs")
-
 
 @dataclass(frozen=True)
 class Unique:
@@ -87,6 +83,18 @@ def _broken(rows: DataFrame, table: str, row_key: Column, kind: str, name: str,
     )
 
 
+def _stable(df: DataFrame, rule: Check) -> Column:
+    """The rule's expression; raises ValueError if it can change between runs."""
+    column = F.expr(rule.expression)
+    analysed = df.select(column)._jdf.queryExecution().analyzed().expressions().head()
+    # Literals are printed bare, so a call counts only if its name stands outside quotes too.
+    own = _QUOTED.sub("", rule.expression).lower()
+    calls = [name for name in _OUTSIDE.findall(analysed.toString().lower()) if name in own or name == "current_timestamp"]
+    if not analysed.deterministic() or calls:
+        raise ValueError(f"rule {rule.name} changes between runs: {rule.expression}")
+    return column
+
+
 def row_violations(
     df: DataFrame, table: str, row_key: Column, rules: list[NotNull | Check]
 ) -> DataFrame:
@@ -96,7 +104,7 @@ def row_violations(
         if isinstance(rule, NotNull):
             kind, fails = "NOT NULL", F.col(rule.column).isNull()
         else:
-            kind, fails = "CHECK", ~F.expr(rule.expression)
+            kind, fails = "CHECK", ~_stable(df, rule)
         report = F.struct(
             F.lit(kind).alias("rule_kind"), F.lit(rule.name).alias("rule_name"),
             F.lit(rule.column).alias("column_name"),

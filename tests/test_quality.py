@@ -106,10 +106,22 @@ def test_missing_reference_is_not_looked_up(spark):
     assert [r.row_key for r in broken.collect()] == ["2"]
 
 
-@pytest.mark.parametrize("text", ["price < rand()", "day <= current_date()", "uuid() <> code"])
-def test_unstable_rules_are_refused(text):
+UNSTABLE = ["price < rand()", "day <= current_date()", "uuid() <> code", "day <= current_date", "price < monotonically_increasing_id()",
+            "shuffle(array(price))[0] = 1", "spark_partition_id() = price", "current_user() = code", "unix_timestamp() > price",
+            "localtimestamp() > day", "now() > day"]
+
+
+@pytest.mark.parametrize("text", UNSTABLE)
+def test_unstable_rules_are_refused(spark, text):
+    rows = spark.sql("SELECT 1 AS price, DATE '2024-01-01' AS day, 'x' AS code")
     with pytest.raises(ValueError):
-        Check("bad", "price", text)
+        quality.row_violations(rows, "t", F.col("price"), [Check("bad", "price", text)])
+
+
+@pytest.mark.parametrize("text", ["now > 0", "code <> 'now()'", "price + user < 9", "unix_timestamp(code, 'y') > 0 OR true"])
+def test_names_and_texts_are_no_calls(spark, text):
+    rows = spark.sql("SELECT 1 AS price, 2 AS now, 3 AS user, 'x' AS code")
+    assert quality.row_violations(rows, "t", F.col("price"), [Check("good", "price", text)]).columns == quality.CONTRACT
 
 
 def test_messages_fall_back_to_the_kind(spark, broken):
