@@ -17,7 +17,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.operators import layout
+from ledgerlark.operators import layout, search
 from ledgerlark.plans import all_queries
 from ledgerlark.session import local_session
 from ledgerlark.sources.scratch import materialize, run_folder
@@ -98,6 +98,18 @@ def layout_figures(spark: SparkSession) -> dict:
     return figures
 
 
+def search_figures(spark: SparkSession) -> dict:
+    """An index of letter runs: built once, then a term looked up in it, and by a scan."""
+    texts = Tables(spark, FOLDER).documents
+    start = time.perf_counter()
+    index = search.gram_index(texts, "doc_id", "text", run_folder(spark, "bench-grams"))
+    figures = {"build_index_sec": round(time.perf_counter() - start, 3)}
+    for name, known in (("index", index), ("scan", None)):
+        figures[f"term_by_{name}_sec"] = median_of(
+            lambda: read_all(search.substring_search(texts, "doc_id", "text", "tion re", known)))
+    return figures
+
+
 def main() -> None:
     spark = local_session(CPUS, "bench", **{"spark.driver.memory": "16g"})
     queries = all_queries()
@@ -114,6 +126,7 @@ def main() -> None:
         "sf": float(scale.group(1)) if scale else None,
         "lines_read": Tables(spark, FOLDER).lineitem.count(),
         "layout": layout_figures(spark),
+        "search": search_figures(spark),
         "spark": spark.version,
         "cpus": int(CPUS),
     }))
