@@ -150,7 +150,9 @@ def _cut(asked: DataFrame) -> DataFrame:
                     names=["key", "part", "rid", "place", "copied", "cut", "body"])
 
     schema = "key long, part long, rid long, place long, copied boolean, cut boolean, body binary"
-    return asked.select("text", "asks", "rid", F.col("mark").cast("long")).mapInArrow(run, schema)
+    # The id goes along unused: the texts then have the same columns in both of their joins,
+    # and their shuffle is made once.
+    return asked.select("text", "asks", "rid", F.col("mark").cast("long"), "doc_id").mapInArrow(run, schema)
 
 
 def multikey_order(data: np.ndarray, starts: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
