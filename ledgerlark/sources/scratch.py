@@ -10,6 +10,7 @@ written inside it.
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
@@ -73,6 +74,16 @@ def clear() -> None:
         _delete(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffles and broadcasts that nothing refers to any more.
+
+    Its cleaner learns of them only when the driver collects its garbage, which a loop of
+    many small jobs may not cause for long; until then they fill memory and disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 

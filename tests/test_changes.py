@@ -82,9 +82,9 @@ def test_upserts_on_a_natural_key(spark):
     rows = [(i, ["hot", f"m{i % 20}", None, "a"][0 if i % 3 == 0 else 1 + i % 3 if i % 5 else 1], f"k{i}") for i in range(60)]
     batch = spark.createDataFrame(rows, "seq bigint, mail string, kind string").repartition(4)
     for columns in ([], ["kind"]):
-        want, ids, after = {"a": (5, "x"), "b": (7, "z")}, [], 9
+        want, after = {"a": (5, "x"), "b": (7, "z")}, 9
         loose = []
-        for seq, mail, kind in rows:
+        for _, mail, kind in rows:
             if mail is None or mail not in want:
                 after += 1
                 if mail is None:
