@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.sources.scratch import materialize
+from ledgerlark.sources.scratch import materialize, release
 
 # Steps a node goes down in one round, as a power of two.
 JUMPS = 3
@@ -40,6 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
             comps = step.withColumnRenamed("to", "comp")
         else:
             comps = materialize(_moved(comps, step.withColumnRenamed("node", "comp")), "comps")
+        release(edges.sparkSession)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")) if comps is None else comps
 
 

@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 
 from ledgerlark.llm.blocks import LOWER, SPACES, Block, Prefixes, blocks, mix, rows_of, sequence_hash, string_list, word_bounds
 from ledgerlark.llm.components import components, merged
-from ledgerlark.sources.scratch import materialize
+from ledgerlark.sources.scratch import materialize, release
 
 SHINGLE = 5
 SIMILARITY = (80, 100)
@@ -329,6 +329,7 @@ def _confirmed(
         found = tested.where("linked").select("a", "b")
         comps = components(found) if comps is None else merged(comps, found)
         left = left.select("a", "b", "far").join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        release(candidates.sparkSession)
     return comps
 
 
@@ -363,10 +364,12 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     def owned(comps: DataFrame, nodes: DataFrame) -> DataFrame:
         return nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
+    release(docs.sparkSession)
     guessed = components(stars)
     candidates = materialize(stars.unionByName(_meet(owned(guessed, members.select("bucket", "node")), classes)), "near-candidates")
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
     needed = ends.join(classes.select("node", "rid"), "node")
+    release(docs.sparkSession)
     texts = marked.select("rid", "text").join(needed, "rid").groupBy("rid").agg(
         F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text")
     texts = materialize(texts, "near-texts").repartition(
