@@ -136,6 +136,20 @@ def test_line_runs(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_long_passages_of_few_lines(spark):
+    one, half, other, wide = prose(1, 60), prose(2, 30), prose(3, 30), "日本語" * 150
+    rows = [(1, f"head\n{one}\nend"), (2, f"{one}\nown"), (3, f"a\n{half}\n{other}\nb"), (4, f"{half}\n{other}"),
+            (5, f"c\n{half}\nd"), (6, "few words"), (7, "few words"), (8, f"few words\nx\n{wide}"), (9, wide), (10, " "), (11, " "),
+            (None, one), (12, f"x\n{half}\n{other}\n{one}\ny"), (13, "few words\nx\ny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in line_dedup.without_repeats(docs.repartition(3)).collect()}
+    gone = {2: "own", 4: None, 7: None, 9: None, None: None, 12: "x\ny"}
+    assert left == {i: gone.get(i, text) for i, text in rows if gone.get(i, text) is not None}
+    counts = {r.doc_id: (r.n_removed, r.n_runs) for r in line_dedup.dedup_lines(docs, short_words=50).collect()}
+    assert counts[4] == (2, 1) and counts[12] == (3, 1) and counts[5] == (0, 0)
+    assert all(r.n_removed == 0 for r in line_dedup.dedup_lines(docs).collect())
+
+
 def test_repeated_rows_lose_the_same_lines(spark):
     text = "\n".join(f"line {i}" for i in range(6))
     rows = [(1, text), (1, text), (2, text), (2, text)]
