@@ -10,6 +10,9 @@ ordinary text, so one is reported only if a complementary part stands in the sam
 * an ``ident`` needs a secret (``assign``, ``hex`` or ``key``),
 * an ``endpoint`` needs a secret.
 
+A ``key`` may stand directly behind ``=`` or ``:``. The value that an ``ident`` has directly
+behind its ``=`` belongs to the ``ident`` and is no ``key`` that could complete it.
+
 Parts are linked by an interval join in bins of ``REACH`` code points: per scope, bin and
 role only the first and the last part go into the join, because the nearest part of a
 bin decides whether any lies within reach. So no group of parts is paired with itself,
@@ -42,7 +45,7 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _IDENT = re.compile(
     r"""(?:client_?id|access_?key_?id|account_?id|tenant_?id|user_?name)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,}""",
     re.I | re.A)
-_KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])", re.A)
+_KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])", re.A)
 _ENDPOINT = re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[A-Za-z0-9._~:@-]+[^\s\"'<>]*|\b[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}\b", re.A)
 _SCOPE_END = re.compile(r"\n[ \t]*\n")
 
@@ -59,7 +62,9 @@ def parts_of(text: str) -> list[tuple[int, int, int]]:
     found += [(2, *m.span()) for m in _HEX.finditer(text)]
     strong = sorted((start, end) for _, start, end in found)
     weak = [(3, *m.span()) for m in _IDENT.finditer(text)]
-    weak += [(4, *m.span()) for m in _KEY.finditer(text) if _mixed(m[0])]
+    values = {end for _, _, end in weak}
+    weak += [(4, *m.span()) for m in _KEY.finditer(text)
+             if _mixed(m[0]) and not (text[m.start() - 1:m.start()] == "=" and len(m[0].rstrip("=")) + m.start() in values)]
     if ":" in text:
         weak += [(5, *m.span()) for m in _ENDPOINT.finditer(text)]
     taken = iter([*strong, (len(text) + 1, len(text) + 1)])
