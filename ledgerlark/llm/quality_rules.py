@@ -7,10 +7,11 @@ language by the Jensen-Shannon distance (base 2, so 0 to 1) of both histograms;
 that are not common share one bin. A distance counts against a document only if the
 document is long enough for its histogram to mean something.
 
-A language with less than one in ``LANGUAGES`` of all words has no reference of its own
-and is compared with the pooled text of all languages, as is a null language. So the
-references hold at most ``COMMON * LANGUAGES`` words, whatever the corpus, and are safe
-to broadcast.
+References of languages with at least one in ``LANGUAGES`` of all words hold at most
+``COMMON * LANGUAGES`` words together, whatever the corpus, and are broadcast. A smaller
+language of at least ``LEAST_WORDS`` words has its own reference too, which is joined to its
+documents. Any other language, and a null one, is measured against the pooled text of all
+languages, but that distance rejects nothing: only the base rules judge such a document.
 
 Defined cases: a null or empty text has no words and fails the base rules; repeated rows
 and ids are each judged for themselves; an empty table gives no rows; further columns
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,9 @@ COMMON = 500
 LANGUAGES = 1000
 POOLED = ""
 
+# Words from which a smaller language has a reference; a common word then stands 20 times.
+LEAST_WORDS = 10_000
+
 # Least words or characters for a distance to count, and the largest distance allowed.
 MIN_WORDS = 50
 MIN_CHARS = 200
@@ -43,7 +48,7 @@ MAX_WORD_DISTANCE = 0.45
 MAX_CHAR_DISTANCE = 0.30
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars_all long, "
-            "char_distance double, word_distance double")
+            "char_distance double, word_distance double, own_reference boolean")
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -142,9 +147,27 @@ class Reference:
     words: np.ndarray
     shares: np.ndarray
 
+    @staticmethod
+    def of(classes: dict[int, int], words: dict[int, int], total: int) -> Reference:
+        counts = np.zeros(CLASSES)
+        for key, n in classes.items():
+            counts[key] = n
+        common = sorted((key % (1 << 64), n / total) for key, n in words.items())
+        shares = [share for _, share in common]
+        return Reference(counts / max(counts.sum(), 1), np.array([key for key, _ in common], np.uint64),
+                         np.array([*shares, max(0.0, 1 - sum(shares))]))
+
+
+@dataclass
+class References:
+    """Those of large languages with the pooled one under ``POOLED``, and those of small ones as rows, if any."""
+
+    large: dict[str, Reference]
+    small: DataFrame | None = None
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, Reference]:
-    """The reference of every large enough language, and the pooled one under ``POOLED``."""
+
+def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
+    """The references of all languages that have enough words, and the pooled one."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,27 +198,26 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
     own = counted.join(F.broadcast(large), "lang").select("lang", "kind", "key", "n", "words")
     whole = pooled.crossJoin(F.broadcast(everything)).select(
         F.lit(POOLED).alias("lang"), "kind", "key", "n", F.col("all_words").alias("words"))
-    rows = own.unionByName(whole).where(
-        (F.col("kind") == _KIND_CLASS) | (F.col("kind") == _KIND_WORD) & (F.col("n") * COMMON >= F.col("words"))
-    ).collect()
-    made = {}
-    for name in {row.lang for row in rows} | {POOLED}:
-        classes = np.zeros(CLASSES)
-        for row in rows:
-            if row.lang == name and row.kind == _KIND_CLASS:
-                classes[row.key] = row.n
-        words = sorted((row.key % (1 << 64), row.n / row.words) for row in rows if row.lang == name and row.kind == _KIND_WORD)
-        shares = [share for _, share in words]
-        made[name] = Reference(
-            classes / max(classes.sum(), 1), np.array([key for key, _ in words], np.uint64),
-            np.array([*shares, max(0.0, 1 - sum(shares))]),
-        )
-    return made
+    wanted = (F.col("kind") == _KIND_CLASS) | (F.col("kind") == _KIND_WORD) & (F.col("n") * COMMON >= F.col("words"))
+    parts = {POOLED: ({}, {}, 1)}
+    for row in own.unionByName(whole).where(wanted).collect():
+        found = parts.setdefault(row.lang, ({}, {}, row.words))
+        found[0 if row.kind == _KIND_CLASS else 1][row.key] = row.n
+        parts[row.lang] = (*found[:2], row.words)
+    made = {name: Reference.of(*found) for name, found in parts.items()}
+    small = totals.where((F.col("lang") != POOLED) & (F.col("words") >= LEAST_WORDS)).join(
+        F.broadcast(large.select("lang")), "lang", "left_anti")
+    if small.isEmpty():
+        return References(made)
+    rest = counted.join(F.broadcast(large.select("lang")), "lang", "left_anti").join(small, "lang").where(wanted)
+    pairs = F.collect_list(F.struct("kind", "key", "n"))
+    return References(made, rest.groupBy(F.col("lang").alias("ref_lang")).agg(
+        pairs.alias("ref_counts"), F.max("words").alias("ref_words")))
 
 
 def _distances(
     block: Block, langs: list, words: np.ndarray, row: np.ndarray, known: dict[str, Reference]
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     classes = _class_table(block)
     by_char, by_word = np.zeros(block.rows), np.zeros(block.rows)
     names = np.array([x if x in known else POOLED for x in langs], object)
@@ -212,34 +234,63 @@ def _distances(
         at = np.where(reference.words[at] == words[here], at, bins) if bins else at
         counts = np.bincount(local[row[here]] * (bins + 1) + at, minlength=len(mine) * (bins + 1))
         by_word[mine] = _distance(counts.reshape(-1, bins + 1), reference.shares)
-    return classes.sum(axis=1), by_char, by_word
+    return classes.sum(axis=1), by_char, by_word, names != POOLED
+
+
+def _given(langs: list, counts: pa.Array, totals: pa.Array) -> dict[str, Reference]:
+    """The references that were joined to the rows."""
+    found, first = {}, {}
+    for i, name in enumerate(langs):
+        first.setdefault(name, i)
+    for name, i in first.items():
+        if (pairs := counts[i].as_py()) is not None:
+            kinds = [{p["key"]: p["n"] for p in pairs if p["kind"] == kind} for kind in (_KIND_CLASS, _KIND_WORD)]
+            found[name] = Reference.of(*kinds, totals[i].as_py())
+    return found
 
 
 def measure(
-    docs: DataFrame, known: dict[str, Reference], text: str = "text", lang: str = "lang", carry: list[str] | None = None
+    docs: DataFrame, known: References, text: str = "text", lang: str = "lang", carry: list[str] | None = None
 ) -> DataFrame:
     """The columns ``carry`` (all, unless named) with the measures of each text."""
-    share = docs.sparkSession.sparkContext.broadcast(known)
+    share = docs.sparkSession.sparkContext.broadcast(known.large)
     columns = docs.columns
+    if known.small is None:
+        return _measured(docs, columns, share, text, lang, carry, False)
+    inner = docs.toDF(*(f"c{i}" for i in range(len(columns))))
+    name = F.col(f"c{columns.index(lang)}").cast("string")
+    large = F.coalesce(name.isin(*known.large), F.lit(True))
+    joined = inner.where(~large).join(known.small, name == F.col("ref_lang"), "left").drop("ref_lang")
+    return _measured(inner.where(large).toDF(*columns), columns, share, text, lang, carry, False).union(
+        _measured(joined, columns, share, text, lang, carry, True))
+
+
+def _measured(
+    docs: DataFrame, columns: list[str], share: Broadcast, text: str, lang: str, carry: list[str] | None, joined: bool
+) -> DataFrame:
+    """Measures of ``docs`` with ``columns``, behind which the references stand if ``joined``."""
     kept = range(len(columns)) if carry is None else [columns.index(name) for name in carry]
-    schema = T.StructType([*(docs.schema.fields[i] for i in kept), *T.StructType.fromDDL(MEASURES).fields])
+    schema = T.StructType([*(T.StructField(columns[i], docs.schema.fields[i].dataType) for i in kept), *T.StructType.fromDDL(MEASURES).fields])
     at_text, at_lang = columns.index(text), columns.index(lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(at_lang).cast(pa.string())
+            known = share.value
+            if joined:
+                known = known | _given(langs.to_pylist(), batch.column(len(columns)), batch.column(len(columns) + 1))
             for block in blocks(batch.column(at_text)):
                 words, row, prefixes = _words(block)
                 inside = _STARTS[block.data] & ~SPACES[block.data]
                 part = batch.slice(block.first, block.rows)
-                chars, by_char, by_word = _distances(
-                    block, langs.slice(block.first, block.rows).to_pylist(), words, row, share.value)
+                chars, by_char, by_word, own = _distances(
+                    block, langs.slice(block.first, block.rows).to_pylist(), words, row, known)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in kept)] + [pa.array(x) for x in (
                         np.bincount(row, minlength=block.rows).astype(np.int64), _per_row(inside, block.offsets),
                         _per_row(_SYMBOLS[block.data], block.offsets),
                         _dup_lines(block, prefixes).astype(np.int64),
-                        _repeat_words(words, row, block.rows).astype(np.int64), chars.astype(np.int64), by_char, by_word)],
+                        _repeat_words(words, row, block.rows).astype(np.int64), chars.astype(np.int64), by_char, by_word, own.astype(bool))],
                     names=[field.name for field in schema.fields],
                 )
 
@@ -251,9 +302,10 @@ def base_failed() -> Column:
 
 
 def diverges() -> Column:
-    """Too far from the language, by a histogram that is long enough to judge."""
-    return ((F.col("n_chars_all") >= MIN_CHARS) & (F.col("char_distance") > MAX_CHAR_DISTANCE)) | (
+    """Too far from the language, by its own reference and a histogram that is long enough to judge."""
+    far = ((F.col("n_chars_all") >= MIN_CHARS) & (F.col("char_distance") > MAX_CHAR_DISTANCE)) | (
         (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE))
+    return F.col("own_reference") & far
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
