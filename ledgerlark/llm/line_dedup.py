@@ -2,11 +2,11 @@
 
 Texts are sequences of line hashes. Of every ``RUN`` lines in a row the least hash is
 selected as a fingerprint, so any two runs of that length or more that are equal share
-one. Fingerprints that stand at one place only need no more work. Where one stands at
-several places, the places are joined on it and the match is extended both ways: each
-window of ``RUN`` lines around the place is compared with the first window, in the order
-of ids, that has the same lines. Windows that occurred before overlap into runs as long
-as the match goes on, and the lines of these runs are deleted. The first occurrence stays.
+one. Fingerprints that stand at one place only need no more work. Matches are not extended
+from place to place: every window of ``RUN`` lines is written with its fingerprint, and
+windows under a fingerprint of several places are grouped by their lines. The fingerprint
+only sifts and changes no row. Windows that are not the first of their group, in the order
+of ids, overlap into runs, and the lines of these runs are deleted. The first occurrence stays.
 
 Lines may be whole paragraphs, so a passage can be long and yet have fewer than ``RUN``
 lines. With ``short_words`` every shorter run of that many words, or of ``SHORT_CHARS``
