@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import chat, decontaminate, line_dedup, mixing, near_dup, quality_rules, secret_scan, suffix_dedup, toxicity, warc
+from ledgerlark.llm import (
+    chat, decontaminate, line_dedup, mixing, near_dup, quality_rules, secret_scan, suffix_dedup, token_alignment, toxicity,
+    vector_codes, warc)
 from ledgerlark.sources.scratch import run_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -304,6 +306,45 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", "n_runs", "text")
 
 
+@query()
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, with corpus-wide counts."""
+    return token_alignment.align_texts(table(spark, folder, "documents"))
+
+
+def _rounds_sql() -> str:
+    """The rounds of fitting as one step after the other."""
+    gap = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for i in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (SELECT r, p, any_value(x) AS x, min({{'d': {gap}, 'e': e}}) AS m
+            FROM part JOIN book{i} USING (p) GROUP BY r, p)""")
+        if i < vector_codes.ROUNDS:
+            steps.append(f"""book{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(fresh, c) AS c FROM book{i} LEFT JOIN (
+                SELECT p, e, list(y ORDER BY i) AS fresh FROM (
+                    SELECT p, m.e AS e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS y
+                    FROM near{i}, (SELECT unnest(range(1, (SELECT any_value(len(x)) FROM part) + 1)) AS i) GROUP BY ALL)
+                GROUP BY p, e) USING (p, e))""")
+    return ",\n".join(steps)
+
+
+@query(f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label,
+                     list_transform(embedding, lambda x: CAST(floor({vector_codes.GRID} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+              FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (SELECT r, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] AS x FROM (SELECT r, v, unnest(range(8)) AS p FROM kept)),
+book0 AS (SELECT p, r AS e, x AS c FROM part WHERE r < {vector_codes.ENTRIES}),
+{_rounds_sql()},
+coded AS (SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error
+          FROM near{vector_codes.ROUNDS} GROUP BY r),
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS d FROM book{vector_codes.ROUNDS})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, d AS codebooks_sha256
+FROM kept JOIN coded USING (r), digest""")
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector as one small code per part, with its squared error."""
+    return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Run]:
     return dict(QUERIES)
 
