@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import (
-    chat, decontaminate, line_dedup, mixing, near_dup, quality_rules, secret_scan, suffix_dedup, token_alignment, toxicity,
-    vector_codes, warc)
+    chat, decontaminate, line_dedup, mixing, near_dup, pitman_yor, quality_rules, secret_scan, suffix_dedup, token_alignment,
+    toxicity, vector_codes, warc)
 from ledgerlark.sources.scratch import run_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -306,6 +306,12 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", "n_runs", "text")
 
 
+@query()
+def op11_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's log probability by a model of the documents that are not held out."""
+    return pitman_yor.score(table(spark, folder, "documents"))
+
+
 @query()
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Groups and links between the tokens of two tokenizers, with corpus-wide counts."""
