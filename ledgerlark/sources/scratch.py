@@ -56,6 +56,12 @@ def _delete(path: str) -> None:
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def discard(path: str) -> None:
+    """Delete a folder handed out earlier, once nothing reads it any more."""
+    if path in _OPEN:
+        _delete(path)
+
+
 @contextmanager
 def scope() -> Iterator[None]:
     """Delete at the end what was written inside; results must have been used by then."""
