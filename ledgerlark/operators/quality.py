@@ -117,6 +117,38 @@ def row_violations(
     )
 
 
+def first_broken(df: DataFrame, rules: list[NotNull | Check]) -> Column:
+    """The kind and name of the first rule that a row breaks by itself, or NULL."""
+    ordered = sorted(rules, key=lambda r: (not isinstance(r, NotNull), r.name))
+    broken = [
+        F.when(F.col(rule.column).isNull(), named("NOT NULL", rule)) if isinstance(rule, NotNull)
+        else F.when(~_stable(df, rule), named("CHECK", rule))
+        for rule in ordered
+    ]
+    return F.coalesce(*broken) if broken else F.lit(None).cast("struct<refused_for: string, refused_rule: string>")
+
+
+def named(kind: str, rule: Rule) -> Column:
+    """Why a row is refused."""
+    return F.struct(F.lit(kind).alias("refused_for"), F.lit(rule.name).alias("refused_rule"))
+
+
+def refuse_by_lookup(df: DataFrame, why: str, rule: Unique | ForeignKey, known: DataFrame) -> DataFrame:
+    """Fill ``why`` of rows it is still NULL for: a stored row has the key, or no parent has it.
+
+    One row of ``known`` per key; it may be the static side of a stream's join.
+    """
+    unique = isinstance(rule, Unique)
+    own, other = (rule.columns, rule.columns) if unique else ((rule.column,), (rule.parent_column,))
+    listed = known.select(*[F.col(c).alias(f"_known_{i}") for i, c in enumerate(other)], F.lit(True).alias("_known"))
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_known_{i}") for i, c in enumerate(own)])
+    asked = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in own])
+    found = F.col("_known").isNotNull() if unique else asked & F.col("_known").isNull()
+    broken = F.when(found, named("UNIQUE" if unique else "FOREIGN KEY", rule))
+    columns = df.columns
+    return df.join(listed, same, "left").withColumn(why, F.coalesce(why, broken)).select(columns)
+
+
 def unique_violations(
     df: DataFrame, table: str, row_key: Column, rule: Unique, sequence: Column,
     stored: DataFrame | None = None,

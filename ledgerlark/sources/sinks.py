@@ -74,6 +74,14 @@ class VersionedTable:
             raise ValueError("no version was switched to")
         return self.spark.read.parquet(self.path(version))
 
+    def remove_before(self, version: int) -> None:
+        """Delete the versions below ``version``, which no reader may have open any more."""
+        place, files = self._place(self.folder)
+        for status in files.listStatus(place):
+            name = status.getPath().getName()
+            if name.startswith("v") and int(name[1:]) < min(version, self.current() or 0):
+                files.delete(status.getPath(), True)
+
     def write(self, df: DataFrame, version: int) -> DataFrame:
         """Write a version and return it as read back."""
         df.write.mode("overwrite").parquet(self.path(version))

@@ -9,13 +9,16 @@ instants of the session's zone, so run streams under UTC, which has no gaps.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlark.operators import changes, quality
+from ledgerlark.operators import quality
 from ledgerlark.operators.timeseries import bucketed
+from ledgerlark.streaming.merged import MergedTable
 
 
 def file_stream(
@@ -95,16 +98,61 @@ def stream_validated(
     return rows.where(~refused).select(stream.columns), rows.where(refused)
 
 
+def stream_unique(
+    stream: DataFrame, sequence: str, rules: list[quality.Rule], parents: dict[str, DataFrame], unique: quality.Unique,
+    time: str, delay: str, folder: str, stored: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows split into accepted and quarantined ones, with a key no two accepted rows share,
+    in whatever micro-batches they come and however often the job is started again.
+
+    A row that breaks another rule, or whose key a ``stored`` row has, claims no key. Of the
+    others, those that come first to a key claim it in the state of the stream, which holds
+    one entry per key and lets it go once the watermark is ``delay`` past the claiming row.
+    Of several in one micro-batch the lowest ``sequence`` wins. A row older than the
+    watermark can no longer be compared and is quarantined like a repeated one. A key with
+    a NULL in it clashes with nothing.
+    """
+    columns, keys = stream.columns, list(unique.columns)
+    own = [r for r in rules if isinstance(r, quality.NotNull | quality.Check)]
+    judged = stream.withColumn("_why", quality.first_broken(stream, own))
+    if stored is not None:
+        judged = quality.refuse_by_lookup(judged, "_why", unique, stored.select(*keys).distinct())
+    for rule in rules:
+        if isinstance(rule, quality.ForeignKey):
+            judged = quality.refuse_by_lookup(judged, "_why", rule, parents[rule.parent])
+    judged = judged.withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
+    complete = reduce(and_, [F.col(c).isNotNull() for c in keys])
+    claims = judged.where(F.col("_why").isNull() & complete).dropDuplicatesWithinWatermark(keys)
+    both = judged.withColumn("_claim", F.lit(False)).unionByName(claims.withColumn("_claim", F.lit(True))).drop("_time")
+
+    def settle(batch: DataFrame) -> DataFrame:
+        # The number is that of a row of this micro-batch, which is held while it is used.
+        rows = batch.where(~F.col("_claim")).withColumn("_row", F.monotonically_increasing_id())
+        claimed = batch.where("_claim").select(*keys)
+        open_ = F.col("_why").isNull() & complete
+        winners = (
+            rows.where(open_).groupBy(*keys).agg(F.min(F.struct(sequence, "_row")).alias("_first"))
+            .join(claimed, keys, "left_semi").select(F.col("_first._row").alias("_row"), F.lit(True).alias("_wins"))
+        )
+        taken = F.when(open_ & F.col("_wins").isNull(), quality.named("UNIQUE", unique))
+        return rows.join(winners, "_row", "left").withColumn("_why", F.coalesce("_why", taken)).select(*columns, "_why.*")
+
+    _run_batches(both, settle, folder)
+    schema = StructType(list(stream.schema.fields)).add("refused_for", "string").add("refused_rule", "string")
+    rows = _batches(stream.sparkSession, f"{folder}/rows", schema)
+    refused = F.col("refused_for").isNotNull()
+    return rows.where(~refused).select(columns), rows.where(refused)
+
+
 def stream_upserted(
     stream: DataFrame, time: str, delay: str, event_key: str, key: str, columns: list[str],
     current: DataFrame, sequence: str, folder: str,
-) -> DataFrame:
-    """``current`` with every micro-batch applied as an upsert.
+) -> MergedTable:
+    """``current`` with every micro-batch applied as an upsert, to be read merged.
 
-    A micro-batch only appends its rows; they are merged with the table when it is
-    read, so its cost does not grow with the table. Writing the result as the next
-    ``current`` and starting a new folder compacts the log. A repeated event is
-    dropped while the watermark still covers it; beyond that the guarantee ends.
+    A repeated event is dropped while the watermark still covers it; beyond that the
+    guarantee ends. ``current`` counts when the folder is new; later starts go on from what
+    is there, compacted or not.
     """
     once = (
         stream.withColumn("_seen", F.col(time).cast("timestamp"))
@@ -112,7 +160,7 @@ def stream_upserted(
         .dropDuplicatesWithinWatermark([event_key])
         .drop("_seen")
     )
+    table = MergedTable(stream.sparkSession, folder, stream.schema, key, columns, sequence)
+    table.start(current)
     _run_batches(once, lambda batch: batch, folder)
-    log = _batches(stream.sparkSession, f"{folder}/rows", StructType(list(stream.schema.fields)))
-    ordered = log.withColumn("_order", F.struct("batch", sequence))
-    return changes.upsert_update(current, ordered, key, columns, "_order")
+    return table
