@@ -5,9 +5,15 @@ A layout is written once, to a path the caller names and keeps, and read many ti
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+import uuid
+import zlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ledgerlark.sources import folders
 
 
 def write_clustered(
@@ -60,6 +66,69 @@ def write_partitioned(df: DataFrame, column: str, order: list[str], path: str) -
     return spark.read.schema(df.schema).parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, column: str, order: list[str], path: str) -> None:
+    """Replace the folders of the values that ``df`` has, and leave all others as they are."""
+    (
+        df.repartitionByRange(column, *order)
+        .sortWithinPartitions(column, *order)
+        .write.partitionBy(column)
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(path)
+    )
+
+
+def drop_old_days(spark: SparkSession, path: str, column: str, days: int) -> list[dt.date]:
+    """Delete the day folders before the newest ``days`` days; the days dropped.
+
+    Only names are read and whole folders deleted, so the cost does not depend on the rows,
+    kept files are not touched, and doing it again changes nothing.
+    """
+    prefix = f"{column}="
+    found = {}
+    for name in folders.names(spark, path):
+        if name.startswith(prefix) and name != f"{prefix}__HIVE_DEFAULT_PARTITION__":
+            found[dt.date.fromisoformat(name.removeprefix(prefix))] = name
+    if not found:
+        return []
+    dropped = sorted(day for day in found if day <= max(found) - dt.timedelta(days=days))
+    for day in dropped:
+        folders.delete(spark, f"{path}/{found[day]}")
+    return dropped
+
+
+def write_bucketed(df: DataFrame, columns: list[str], buckets: int, path: str) -> DataFrame:
+    """A copy hashed into ``buckets`` files by the columns and sorted by them, read back as such.
+
+    Copies with equal numbers of buckets join on their columns without moving a row, as often
+    as they are read. Spark knows a copy's buckets by its entry in the catalog; the entry is
+    taken out again once it was read, and the files belong to the caller.
+    """
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *columns).write.format("parquet")
+    writer.bucketBy(buckets, *columns).sortBy(*columns).option("path", path).saveAsTable(name)
+    copy = spark.table(name)
+    copy.schema  # the columns are looked up now
+    spark.sql(f"DROP TABLE {name}")
+    return copy
+
+
+def write_looked_up(df: DataFrame, key: str, order: list[str], files: int, path: str) -> None:
+    """A copy with one folder, of one file, per value of a checksum of ``key``."""
+    slot = F.pmod(F.crc32(F.col(key).cast("binary")), F.lit(files)).cast("int").alias("slot")
+    (
+        df.select("*", slot).repartition(files, "slot").sortWithinPartitions("slot", key, *order)
+        .write.partitionBy("slot").parquet(path)
+    )
+
+
+def look_up(spark: SparkSession, schema: StructType, key: str, value: str, files: int, path: str) -> DataFrame:
+    """Rows of one key: the folder follows from the key, so no other is opened."""
+    slot = zlib.crc32(value.encode()) % files
+    rows = spark.read.schema(StructType(list(schema.fields)).add("slot", "integer")).parquet(path)
+    return rows.where((F.col("slot") == slot) & (F.col(key) == value)).drop("slot")
+
+
 def file_ranges(df: DataFrame, column: str) -> DataFrame:
     """Per file: rows and the range of ``column``, as a reader sees them."""
     return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from ledgerlark.functions.columns import grams, query_grams, words
-from ledgerlark.operators.layout import write_hashed
+from ledgerlark.operators.layout import look_up, write_hashed, write_looked_up
+from ledgerlark.sources.scratch import materialize
 
 # Ids per posting block: bounds the list any one task holds for a common word.
 BLOCK = 1024
@@ -89,6 +92,73 @@ def most_similar(
     )
 
 
+def similar_pairs(terms: DataFrame, term: str, df: DataFrame, text: str, least: float, size: int = 3) -> DataFrame:
+    """(term, text, similarity) of all distinct pairs whose runs are at least ``least`` alike.
+
+    Two sets that alike share one of their rarest runs, so each side enters the join with a
+    prefix of its runs only, from the rarest on, as short as ``least`` allows; sets of too
+    different size do not meet. A pair is compared once, on the whole sets. A frequent run
+    stands in a prefix only where a text has hardly any other.
+    """
+    if not 0 < least <= 1:
+        raise ValueError("least must be above 0 and at most 1")
+    # Similarities are rounded to six places before they are compared.
+    bound = least - 1e-6
+    sides = {
+        "a": materialize(_gram_sets(terms, term, size), "term-runs"),
+        "b": materialize(_gram_sets(df, text, size), "text-runs"),
+    }
+    listed = {side: sets.select("value", F.explode("runs").alias("run")) for side, sets in sides.items()}
+    counts = listed["a"].unionByName(listed["b"]).groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    heads = {}
+    for side, rows in listed.items():
+        ordered = rows.join(counts, "run").groupBy("value").agg(F.sort_array(F.collect_list(F.struct("n", "run")))["run"].alias("runs"))
+        length = F.size("runs")
+        head = F.slice("runs", F.lit(1), length - F.ceil(length * bound).cast("int") + 1)
+        heads[side] = ordered.select(F.col("value").alias(side), length.alias(f"{side}_size"), F.explode(head).alias("run"))
+    fits = (F.col("a_size") >= bound * F.col("b_size")) & (F.col("b_size") >= bound * F.col("a_size"))
+    met = heads["a"].join(heads["b"], "run").where(fits).select("a", "b").distinct()
+    whole = {side: sets.select(F.col("value").alias(side), F.col("runs").alias(f"{side}_runs")) for side, sets in sides.items()}
+    shared = F.size(F.array_intersect("a_runs", "b_runs"))
+    alike = F.round(shared / (F.size("a_runs") + F.size("b_runs") - shared), 6)
+    return (
+        met.join(whole["a"], "a").join(whole["b"], "b")
+        .select(F.col("a").alias("term"), F.col("b").alias("text"), alike.alias("similarity"))
+        .where(F.col("similarity") >= least)
+    )
+
+
+def _gram_sets(df: DataFrame, text: str, size: int) -> DataFrame:
+    """Distinct texts with their runs; a text too short for one is like no other."""
+    return df.select(F.col(text).alias("value")).distinct().withColumn("runs", grams("value", size)).where(F.size("runs") > 0)
+
+
+# What a list of completions holds for each prefix.
+COMPLETIONS = StructType().add("prefix", "string").add("place", "integer").add("text", "string").add("popularity", "long")
+
+
+def write_completions(df: DataFrame, text: str, popularity: Column, size: int, longest: int, files: int, path: str) -> None:
+    """The ``size`` most popular texts of every prefix up to ``longest`` letters, written once.
+
+    Places are bounded before the rows are shuffled, so a prefix of a third of all texts
+    sends ``size`` rows from each task.
+    """
+    known = df.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(popularity.cast("long").alias("popularity"))
+    letters = F.sequence(F.lit(1), F.least(F.char_length("text"), F.lit(longest)))
+    prefixes = F.when(F.col("text") == "", F.array()).otherwise(F.transform(letters, lambda n: F.substring("text", F.lit(1), n)))
+    spread = known.select(F.explode(prefixes).alias("prefix"), "text", "popularity")
+    order = Window.partitionBy("prefix").orderBy(F.desc("popularity"), "text")
+    best = spread.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    write_looked_up(best.select("prefix", "place", "text", "popularity"), "prefix", ["place"], files, path)
+
+
+def completions(spark: SparkSession, prefix: str, longest: int, files: int, path: str) -> DataFrame:
+    """Stored completions of one prefix, from one file."""
+    if not 0 < len(prefix) <= longest:
+        raise ValueError(f"lists are stored for 1 to {longest} letters")
+    return look_up(spark, COMPLETIONS, "prefix", prefix, files, path)
+
+
 def suggestions(
     df: DataFrame, text: str, prefix: str, popularity: Column, size: int
 ) -> DataFrame:

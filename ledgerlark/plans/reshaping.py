@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import count_rows, line_cents
-from ledgerlark.operators import joins, reshape
+from ledgerlark.operators import joins, layout, reshape
 from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.joining import wide_lines
 from ledgerlark.plans.registry import query
-from ledgerlark.sources.scratch import materialize
+from ledgerlark.sources.scratch import materialize, run_folder
 from ledgerlark.sources.tables import Tables
 
 
@@ -226,6 +226,36 @@ def bridge_reverse(t: Tables) -> DataFrame:
     )
 
 
+# Files of a bridge kept by each of its keys.
+BRIDGE_BUCKETS = 16
+
+
+def kept_by(t: Tables, rows: DataFrame, key: str) -> DataFrame:
+    return layout.write_bucketed(rows, [key], BRIDGE_BUCKETS, run_folder(t.spark, f"by-{key}"))
+
+
+@query("""
+    SELECT p_partkey, p_name, p_brand, COUNT(DISTINCT l_suppkey) AS suppliers
+    FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey, p_name, p_brand
+""")
+def bridge_bucketed_forward(t: Tables) -> DataFrame:
+    """Suppliers per product from a bridge kept by product: neither join nor count moves a row."""
+    pairs, parts = kept_by(t, bridge(t), "l_partkey"), kept_by(t, t.part, "p_partkey")
+    degree = pairs.groupBy(F.col("l_partkey").alias("p_partkey")).agg(count_rows().alias("suppliers"))
+    return parts.join(degree, "p_partkey").select("p_partkey", "p_name", "p_brand", "suppliers")
+
+
+@query("""
+    SELECT s_suppkey, s_name, COUNT(DISTINCT l_partkey) AS products
+    FROM supplier JOIN lineitem ON l_suppkey = s_suppkey GROUP BY s_suppkey, s_name
+""")
+def bridge_bucketed_reverse(t: Tables) -> DataFrame:
+    """Products per supplier from the same bridge kept by supplier."""
+    pairs, suppliers = kept_by(t, bridge(t), "l_suppkey"), kept_by(t, t.supplier, "s_suppkey")
+    degree = pairs.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(count_rows().alias("products"))
+    return suppliers.join(degree, "s_suppkey").select("s_suppkey", "s_name", "products")
+
+
 @query("""
     WITH d AS (SELECT 'products per order' AS side, COUNT(DISTINCT l_partkey) AS degree
                FROM lineitem GROUP BY l_orderkey

@@ -106,3 +106,51 @@ def prefix_suggest(t: Tables) -> DataFrame:
     )
     named = t.part.where(F.col("p_name").startswith("s")).join(sold, "p_partkey")
     return search.suggestions(named, "p_name", "s", F.sum("q"), 5)
+
+
+_GRAM_SET = "list_distinct(list_transform(generate_series(1, length(x) - 2), lambda i: lower(substr(x, i, 3))))"
+
+
+def typed(t: Tables) -> DataFrame:
+    """Names with their kind, as they should be, and as they are typed with the third letter left out."""
+    full = F.concat_ws(" ", "p_name", "p_type", "p_brand")
+    short = F.concat_ws(" ", "p_name", "p_type")
+    return t.part.select(full.alias("name"), F.concat(F.substring(short, 1, 2), F.substring(short, 4, 100)).alias("asked"))
+
+
+@query(f"""
+    WITH n AS (SELECT DISTINCT p_name || ' ' || p_type || ' ' || p_brand AS x, {_GRAM_SET} AS g FROM part),
+         q AS (SELECT DISTINCT substr(y, 1, 2) || substr(y, 4) AS x, {_GRAM_SET} AS g
+               FROM (SELECT p_name || ' ' || p_type AS y FROM part)),
+         s AS (SELECT q.x AS term, n.x AS text, len(list_intersect(n.g, q.g)) AS shared, len(n.g) + len(q.g) AS total FROM n, q)
+    SELECT term, text, ROUND(shared / CAST(total - shared AS DOUBLE), 6) AS similarity FROM s
+    WHERE ROUND(shared / CAST(total - shared AS DOUBLE), 6) >= 0.5
+""")
+def similarity_join(t: Tables) -> DataFrame:
+    """Many misspelt names against all names, blocked by their rarest runs of letters."""
+    names = typed(t)
+    return search.similar_pairs(names, "asked", names, "name", 0.5)
+
+
+# Prefixes people type: one letter, two, a word, a word and a half, and some that nothing begins with.
+PREFIXES = (
+    *"abcdefghijklmnoprstuvw", "bl", "bo", "ca", "co", "fa", "gr", "ho", "la", "mi", "ne", "ol", "re", "sh", "sl", "sm", "wa",
+    "red", "small", "small ", "small r", "small ri", "blue g", "blue gi", "cold ", "hot w", "large", "x", "xy", "S",
+)
+COMPLETED, LONGEST, LIST_FILES = 5, 12, 16
+
+
+@query(f"""
+    WITH sold AS (SELECT p_name, CAST(SUM(l_quantity) AS BIGINT) AS popularity
+                  FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY p_name),
+         typed AS (SELECT unnest([{", ".join(f"'{p}'" for p in PREFIXES)}]) AS prefix)
+    SELECT prefix, CAST(row_number() OVER w AS INTEGER) AS place, p_name AS text, popularity
+    FROM typed JOIN sold ON starts_with(p_name, prefix)
+    WINDOW w AS (PARTITION BY prefix ORDER BY popularity DESC, p_name) QUALIFY row_number() OVER w <= {COMPLETED}
+""")
+def prefix_suggest_stored(t: Tables) -> DataFrame:
+    """Lists of completions written once; each of many prefixes opens one file."""
+    sold = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
+    path = run_folder(t.spark, "completions")
+    search.write_completions(t.part.join(sold, "p_partkey"), "p_name", F.sum("q"), COMPLETED, LONGEST, LIST_FILES, path)
+    return union_all([search.completions(t.spark, prefix, LONGEST, LIST_FILES, path) for prefix in PREFIXES])

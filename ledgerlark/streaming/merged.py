@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlark.operators import changes
+from ledgerlark.sources import folders
 from ledgerlark.sources.sinks import VersionedTable
 
 BATCH = "batch="
@@ -38,13 +39,10 @@ class MergedTable:
 
     def _batches(self) -> list[tuple[int, str]]:
         """Number and folder of every batch that was written to its end."""
-        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/rows")
-        files = place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not files.exists(place):
-            return []
-        folders = [s.getPath() for s in files.listStatus(place) if s.getPath().getName().startswith(BATCH)]
-        done = [p for p in folders if files.exists(p.suffix("/_SUCCESS"))]
-        return sorted((int(p.getName().removeprefix(BATCH)), p.toString()) for p in done)
+        rows = f"{self.folder}/rows"
+        found = [name for name in folders.names(self.spark, rows) if name.startswith(BATCH)]
+        done = [name for name in found if folders.exists(self.spark, f"{rows}/{name}/_SUCCESS")]
+        return sorted((int(name.removeprefix(BATCH)), f"{rows}/{name}") for name in done)
 
     def log(self) -> tuple[DataFrame | None, int]:
         """The batches that the current version lacks, and the version that has them all."""
@@ -80,5 +78,4 @@ class MergedTable:
         self.versions.remove_before(current)
         for number, path in self._batches():
             if number < current:
-                place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-                place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+                folders.delete(self.spark, path)

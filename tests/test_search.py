@@ -83,3 +83,73 @@ def test_suggestions_are_ranked(spark):
     rows = spark.createDataFrame([("sa", 1), ("sb", 5), ("sa", 7), ("t", 99)], "n string, q int")
     got = search.suggestions(rows, "n", "s", F.sum("q"), 5).collect()
     assert [(r.n, r.popularity) for r in got] == [("sa", 8), ("sb", 5)]
+
+
+def names_and_terms(spark, seed: int):
+    draw = random.Random(seed)
+    words = ["small", "ring", "red", "widget", "cold", "gear", "rod", "aaaa", "aab"]
+    names = [" ".join(draw.choices(words, k=draw.randint(1, 4))) for _ in range(80)] + [None, "", "ab", "small ring"] * 2
+    terms = [n[:2] + n[3:] if n else n for n in names[::2]] + ["small ring", "zzz", "SMALL RING"]
+    return names, terms, spark.createDataFrame([(n,) for n in names], "n string"), spark.createDataFrame([(n,) for n in terms], "q string")
+
+
+@pytest.mark.parametrize("least", [0.05, 0.3, 0.5, 0.8, 1.0])
+def test_similar_pairs_equal_brute_force(spark, least):
+    names, terms, texts, asked = names_and_terms(spark, 5)
+    want = set()
+    for term in set(terms) - {None}:
+        for name in set(names) - {None}:
+            a, b = set(query_grams(term)), set(query_grams(name))
+            if a and b and round(len(a & b) / len(a | b), 6) >= least:
+                want.add((term, name, round(len(a & b) / len(a | b), 6)))
+    got = search.similar_pairs(asked.repartition(3), "q", texts.repartition(3), "n", least).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want) and want
+
+
+def test_similar_pairs_refuse_and_empty(spark):
+    names, _, texts, asked = names_and_terms(spark, 6)
+    for least in (0, -1, 1.01):
+        with pytest.raises(ValueError):
+            search.similar_pairs(asked, "q", texts, "n", least)
+    assert search.similar_pairs(asked.limit(0), "q", texts, "n", 0.5).count() == 0
+
+
+def test_similar_pairs_block(spark):
+    """Far fewer pairs are compared than there are, and none by a product of the sides."""
+    texts = spark.range(400).select(F.concat(F.lit("common start "), F.sha2(F.col("id").cast("string"), 256)).alias("n"))
+    pairs = search.similar_pairs(texts, "n", texts, "n", 0.7)
+    assert pairs.count() == 400
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.fixture(scope="module")
+def completed(spark):
+    path = run_folder(spark, "test-completions")
+    rows = [("sa", 1), ("sb", 5), ("sa", 7), ("t", 99), ("日本", 3), ("日本語", 4), ("", 9), (None, 9), ("S", 1), ("sc", 5), ("sdddd", 2)]
+    search.write_completions(spark.createDataFrame(rows, "n string, q int"), "n", F.sum("q"), 3, 3, 8, path)
+    return path
+
+
+@pytest.mark.parametrize("prefix, want", [
+    ("s", ["sa", "sb", "sc"]), ("sa", ["sa"]), ("S", ["S"]), ("日本", ["日本語", "日本"]), ("sdd", ["sdddd"]), ("x", []), ("t", ["t"]),
+])
+def test_stored_completions(spark, completed, prefix, want):
+    found = search.completions(spark, prefix, 3, 8, completed)
+    assert [r.text for r in sorted(found.collect(), key=lambda r: r.place)] == want
+    assert len(found.inputFiles()) <= 1 or found.select("prefix", F.input_file_name().alias("f")).select("f").distinct().count() <= 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(slot" in plan
+
+
+def test_completions_are_for_stored_lengths(spark, completed):
+    for prefix in ("", "sddd"):
+        with pytest.raises(ValueError):
+            search.completions(spark, prefix, 3, 8, completed)
+
+
+def test_a_frequent_prefix_is_bounded_before_the_shuffle(spark):
+    path = run_folder(spark, "test-hot-prefix")
+    rows = spark.range(0, 30_000, 1, 8).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("n"), "id")
+    search.write_completions(rows, "n", F.max("id"), 5, 1, 4, path)
+    assert [r.popularity for r in search.completions(spark, "p", 1, 4, path).orderBy("place").collect()] == [29999, 29998, 29997, 29996, 29995]
