@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,71 +67,95 @@ def with_rank(
 ) -> DataFrame:
     """RANK by ``value`` next to ROW_NUMBER: equal values share the first place.
 
-    The rank is looked up by partition and value, so a value that fills many
-    partitions is joined in as many tasks.
+    Only a partition's first value can have begun before it. Its rank is one row per
+    partition and comes to the rows by a broadcast; so a value that fills many partitions
+    is never shuffled. Every other value begins where it is found.
     """
     placed = _placed(df, order, position)
-    runs = placed.groupBy("_part", value).agg(F.min(position).alias("_first"))
     # Inside a struct NULLs compare as equal, so rows without a value find their rank too.
-    key = F.struct("_part", value).alias("_key")
-    runs = runs.select(key, F.struct(value).alias("_value"), "_first")
-    firsts = runs.groupBy("_value").agg(F.min("_first").alias(rank))
-    ranks = runs.join(firsts, "_value").select("_key", rank)
-    return placed.withColumn("_key", key).join(ranks, "_key").select(*df.columns, rank, position)
+    own = F.struct(F.col(value).alias("value"))
+    runs = placed.groupBy("_part", own.alias("_value")).agg(F.min(position).alias("_first"))
+    heads = runs.groupBy("_part").agg(F.min_by("_value", "_first").alias("_value"))
+    begun = heads.join(runs.select("_value", "_first"), "_value").groupBy("_part").agg(
+        F.first("_value").alias("_head"), F.min("_first").alias("_begun"))
+    # One row per range partition.
+    known = placed.join(F.broadcast(begun), "_part")
+    continued = known.where(own == F.col("_head")).withColumn(rank, F.col("_begun"))
+    inner = known.where(own != F.col("_head")).withColumn("_value", own)
+    ranked = inner.join(runs.withColumnRenamed("_first", rank), ["_part", "_value"])
+    columns = [*df.columns, rank, position]
+    return continued.select(columns).unionByName(ranked.select(columns))
 
 
 def page_by_offset(df: DataFrame, order: list[tuple[str, bool]], skip: int, size: int) -> DataFrame:
     """``LIMIT size OFFSET skip`` by ``order``, pairs of a column and whether it ascends.
 
-    The range of the order that holds the page is narrowed by quantiles, a pass over
-    the input each, until few rows are left; only those are sorted. NULLs come first
-    in ascending and last in descending order. Nothing is written, the driver sees
-    ``PAGE_PARTS`` counts a pass, and the filters found reach the scan.
+    The ranges of the order that the page touches are narrowed by cuts taken from a sample,
+    a pass over the input each, until few rows are left; only those are sorted. A value too
+    frequent for that is narrowed by the next column. Columns may be of any type that can be
+    ordered. NULLs come first in ascending and last in descending order. Nothing is written,
+    the driver sees ``PAGE_PARTS`` counts a pass, and the filters found reach the scan.
     """
-    rows, left = df, skip
-    for name, ascending in order:
-        rows, left, count, single = _narrowed(rows, name, ascending, left, size)
-        if count <= PAGE_ROWS or not single:
-            break
-    sort = [F.asc(name) if ascending else F.desc(name) for name, ascending in order]
-    return rows.orderBy(*sort).offset(left).limit(size)
-
-
-def _narrowed(rows: DataFrame, name: str, ascending: bool, skip: int, size: int):
-    """The rows whose value range holds the page, the rows to skip in it, how many rows
-    it has, and whether they all share one value."""
-    column = F.col(name)
-    while True:
-        shares = [i / PAGE_PARTS for i in range(PAGE_PARTS + 1)]
-        bounds = rows.agg(F.percentile_approx(name, shares, 10_000)).first()[0]
-        cuts = sorted(set(bounds or []))
-        part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < column)) if cuts else F.lit(0)
-        counts = rows.groupBy(F.when(column.isNull(), -1).otherwise(part).alias("part")).agg(
-            F.count(F.lit(1)).alias("n")).collect()
-        found = sorted(((r["part"], r["n"]) for r in counts), reverse=not ascending)
-        total, before, held = sum(n for _, n in found), 0, []
-        for part_no, n in found:
-            if before + n > skip and before < skip + size:
-                held.append((part_no, n, before))
-            before += n
-        if not held:
-            return rows.where(F.lit(False)), 0, 0, False
-        ranges = [_range(column, part_no, cuts) for part_no, _, _ in held]
-        kept = rows.where(reduce(or_, ranges))
-        count, offset = sum(n for _, n, _ in held), skip - held[0][2]
-        # A part between neighbouring cuts that is no smaller than its input has one value.
-        single = len(held) == 1 and (held[0][0] < 0 or len(cuts) == 1)
-        if count <= PAGE_ROWS or count == total or single:
-            return kept, offset, count, single
-        rows, skip = kept, offset
+    pieces = _page(df, order, skip, size)
+    if not pieces:
+        return df.limit(0)
+    return reduce(DataFrame.unionByName, pieces).orderBy(*_sort(order)).limit(size)
+
+
+def _sort(order: list[tuple[str, bool]]) -> list[Column]:
+    return [F.asc(name) if ascending else F.desc(name) for name, ascending in order]
+
+
+def _page(rows: DataFrame, order: list[tuple[str, bool]], skip: int, size: int) -> list[DataFrame]:
+    """Pieces that make up rows ``skip`` to ``skip + size`` of ``rows``, in no order."""
+    if not order:  # alike in all columns: any will do
+        return [rows.offset(skip).limit(size)]
+    (name, ascending), pieces, before = order[0], [], 0
+    cuts = _cuts(rows, name)
+    found = rows.groupBy(_part(F.col(name), cuts).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    for part, n in sorted(((r["part"], r["n"]) for r in found), reverse=not ascending):
+        low, high = max(skip - before, 0), min(skip + size - before, n)
+        before += n
+        if low >= high:
+            continue
+        piece = rows.where(_range(F.col(name), part, cuts))
+        if high - low == n:
+            pieces.append(piece)
+        elif n <= PAGE_ROWS:
+            pieces.append(piece.orderBy(*_sort(order)).offset(low).limit(high - low))
+        else:
+            single = part < 0 or part % 2 == 1
+            pieces += _page(piece, order[1:] if single else order, low, high - low)
+    return pieces
+
+
+def _cuts(rows: DataFrame, name: str) -> list:
+    """Up to ``PAGE_PARTS`` values that part the rows evenly, from a sample of bounded size."""
+    drawn = rows.where(F.col(name).isNotNull()).select(name).orderBy(F.rand(PAGE_PARTS)).limit(PAGE_PARTS * PAGE_PARTS)
+    values = sorted(row[0] for row in drawn.collect())
+    return sorted({values[i * len(values) // PAGE_PARTS] for i in range(PAGE_PARTS)}) if values else []
+
+
+def _part(column: Column, cuts: list) -> Column:
+    """-1 for NULL, 2i + 1 for the i-th cut itself, 2i for what lies before it."""
+    if not cuts:
+        return F.when(column.isNull(), -1).otherwise(0)
+    listed = F.array(*map(F.lit, cuts))
+    below = F.size(F.filter(listed, lambda cut: cut < column))
+    return F.when(column.isNull(), -1).otherwise(2 * below + F.array_contains(listed, column).cast("int"))
 
 
 def _range(column: Column, part: int, cuts: list) -> Column:
-    """Values of a part: above one cut, up to the next; part -1 are the NULLs."""
+    """The values of a part."""
     if part < 0:
         return column.isNull()
-    low = column > F.lit(cuts[part - 1]) if part > 0 else None
-    high = column <= F.lit(cuts[part]) if part < len(cuts) else None
+    i, single = divmod(part, 2)
+    if single:
+        return column == F.lit(cuts[i])
+    low = column > F.lit(cuts[i - 1]) if i > 0 else None
+    high = column < F.lit(cuts[i]) if i < len(cuts) else None
+    if low is None and high is None:
+        return column.isNotNull()
     return low if high is None else high if low is None else low & high
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import cents, count_rows
-from ledgerlark.operators import changes, joins, quality
+from ledgerlark.operators import changes, closure, joins, quality
 from ledgerlark.operators.ranking import with_new_ids
 from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.incoming import INCOMING_SQL, ORDER_RULES, incoming_orders, row_key
@@ -14,7 +14,7 @@ from ledgerlark.plans.joining import named_lines, urgent_orders
 from ledgerlark.plans.registry import query
 from ledgerlark.sources.scratch import run_folder
 from ledgerlark.sources.sinks import VersionedTable
-from ledgerlark.sources.tables import CANCELLED, PENDING, Tables
+from ledgerlark.sources.tables import CANCELLED, PENDING, Reference, Tables
 
 
 @query("""
@@ -137,6 +137,72 @@ def del_cascade(t: Tables) -> DataFrame:
     ])
 
 
+# Deleting a region takes all below it along; products and suppliers hold back.
+SHOP = (
+    Reference("nation", "n_regionkey", "region", "r_regionkey", "CASCADE"),
+    Reference("customer", "c_nationkey", "nation", "n_nationkey", "CASCADE"),
+    Reference("supplier", "s_nationkey", "nation", "n_nationkey", "SET NULL"),
+    Reference("orders", "o_custkey", "customer", "c_custkey", "CASCADE"),
+    Reference("lineitem", "l_orderkey", "orders", "o_orderkey", "CASCADE"),
+)
+
+
+@query("""
+    WITH RECURSIVE gone(tab, k) AS (
+        SELECT 'region', CAST(1 AS BIGINT)
+        UNION SELECT e.child, e.k FROM gone JOIN (
+            SELECT 'nation' AS child, 'region' AS parent, n_nationkey AS k, n_regionkey AS p FROM nation
+            UNION ALL SELECT 'customer', 'nation', c_custkey, c_nationkey FROM customer
+            UNION ALL SELECT 'orders', 'customer', o_orderkey, o_custkey FROM orders) e ON e.parent = tab AND e.p = gone.k),
+    n AS (SELECT k FROM gone WHERE tab = 'nation'), c AS (SELECT k FROM gone WHERE tab = 'customer'),
+    o AS (SELECT k FROM gone WHERE tab = 'orders')
+    SELECT 'region' AS table_name, COUNT(*) AS before_rows, COUNT(*) FILTER (r_regionkey <> 1) AS after_rows, CAST(0 AS BIGINT) AS emptied
+    FROM region
+    UNION ALL SELECT 'nation', COUNT(*), COUNT(*) FILTER (n_nationkey NOT IN (FROM n)), 0 FROM nation
+    UNION ALL SELECT 'customer', COUNT(*), COUNT(*) FILTER (c_custkey NOT IN (FROM c)), 0 FROM customer
+    UNION ALL SELECT 'supplier', COUNT(*), COUNT(*), COUNT(*) FILTER (s_nationkey IN (FROM n)) FROM supplier
+    UNION ALL SELECT 'orders', COUNT(*), COUNT(*) FILTER (o_orderkey NOT IN (FROM o)), 0 FROM orders
+    UNION ALL SELECT 'lineitem', COUNT(*), COUNT(*) FILTER (l_orderkey NOT IN (FROM o)), 0 FROM lineitem
+""")
+def del_cascade_closure(t: Tables) -> DataFrame:
+    """A region goes with its nations, customers, orders and lines; its suppliers lose their nation."""
+    names = ("region", "nation", "customer", "supplier", "orders", "lineitem")
+    tables = {name: t.read(name) for name in names}
+    victims = t.region.where(F.col("r_regionkey") == 1).select("r_regionkey")
+    after = closure.delete_through(tables, list(SHOP), "region", victims).tables
+    return union_all([
+        tables[name].agg(F.lit(name).alias("table_name"), count_rows().alias("before_rows")).withColumn(
+            "after_rows", after[name].agg(count_rows()).scalar()
+        ).withColumn("emptied", after[name].agg(
+            F.count_if(F.col("s_nationkey").isNull()) if name == "supplier" else F.lit(0).cast("bigint")).scalar())
+        for name in names
+    ])
+
+
+_RING_SQL = """
+    WITH RECURSIVE member AS (
+        SELECT c_custkey, c_acctbal,
+               c_custkey // 10 * 10 + CASE WHEN c_custkey % 10 < 5 THEN (c_custkey + 1) % 5 ELSE c_custkey % 10 - 5 END AS sponsor
+        FROM customer),
+    gone AS (SELECT c_custkey FROM member WHERE c_acctbal < -900
+             UNION SELECT m.c_custkey FROM member m JOIN gone g ON m.sponsor = g.c_custkey)
+"""
+
+
+@query(_RING_SQL + """
+    SELECT c_custkey, sponsor FROM member WHERE c_custkey NOT IN (SELECT c_custkey FROM gone)
+""")
+def del_cascade_cycle(t: Tables) -> DataFrame:
+    """Customers sponsor each other in rings of five, with five more behind each ring; who loses
+    the sponsor goes too."""
+    last = F.col("c_custkey") % 10
+    sponsor = F.floor(F.col("c_custkey") / 10) * 10 + F.when(last < 5, (F.col("c_custkey") + 1) % 5).otherwise(last - 5)
+    members = t.customer.select("c_custkey", "c_acctbal", sponsor.cast("bigint").alias("sponsor"))
+    victims = members.where(F.col("c_acctbal") < -900).select("c_custkey")
+    ring = [Reference("member", "sponsor", "member", "c_custkey", "CASCADE")]
+    return closure.delete_through({"member": members}, ring, "member", victims).tables["member"].select("c_custkey", "sponsor")
+
+
 @query("""
     SELECT c_custkey, COUNT(o_orderkey) AS children, COUNT(o_orderkey) > 0 AS refused
     FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT'

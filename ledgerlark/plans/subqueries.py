@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import cents, count_rows, moment, on_sale
 from ledgerlark.operators import comparisons
+from ledgerlark.operators.closure import reached
 from ledgerlark.operators.sets import row_differences, union_all
 from ledgerlark.plans.joining import settled_totals
 from ledgerlark.plans.registry import query
@@ -223,6 +224,24 @@ def cte_recursive(t: Tables) -> DataFrame:
     )
 
 
+@query("""
+    WITH RECURSIVE link AS (
+        SELECT DISTINCT 's' || l_suppkey AS a, 'p' || l_partkey AS b FROM lineitem
+        UNION SELECT DISTINCT 'p' || l_partkey, 's' || l_suppkey FROM lineitem WHERE l_partkey % 7 = 0),
+    reach(node, step) AS (
+        SELECT 's0', 0 UNION SELECT b, step + 1 FROM reach JOIN link ON a = node WHERE step < 3)
+    SELECT node, MIN(step) AS step FROM reach GROUP BY node
+""")
+def reach_bridge(t: Tables) -> DataFrame:
+    """What one supplier is connected with in at most three steps over the bridge; every seventh
+    product leads back to all its suppliers."""
+    pairs = t.lineitem.select(F.concat(F.lit("s"), "l_suppkey").alias("s"), F.concat(F.lit("p"), "l_partkey").alias("p"), "l_partkey").distinct()
+    back = pairs.where(F.col("l_partkey") % 7 == 0).select(F.col("p").alias("a"), F.col("s").alias("b"))
+    links = pairs.select(F.col("s").alias("a"), F.col("p").alias("b")).unionByName(back)
+    start = t.supplier.where(F.col("s_suppkey") == 0).select(F.concat(F.lit("s"), "s_suppkey").alias("node"))
+    return reached(links, "a", "b", start, "node", 3)
+
+
 @query("""
     SELECT 'customer' AS kind, c_nationkey AS nation, COUNT(*) AS members FROM customer
     GROUP BY c_nationkey

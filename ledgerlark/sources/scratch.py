@@ -17,7 +17,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -100,3 +101,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = run_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """The same, with the number of rows, counted while they are written."""
+    spark, seen = df.sparkSession, Observation()
+    path = run_folder(spark, label)
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"]

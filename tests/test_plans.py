@@ -84,6 +84,7 @@ def hot(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.files.maxPartitionBytes": "100KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     before = {name: spark.conf.get(name, None) for name in settings}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -66,6 +68,33 @@ def test_pages_cover_everything_once(scored, monkeypatch, few):
             assert [r.id for r in page.collect()] == whole[skip:skip + 10]
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(12,2)", "timestamp_ntz", "boolean", "double"])
+def test_pages_of_any_type(spark, monkeypatch, kind):
+    monkeypatch.setattr(ranking, "PAGE_ROWS", 30)
+    number = F.col("id") * 37 % 91
+    value = {"string": F.concat(F.lit("é"), number.cast("string")), "date": F.date_add(F.lit("2024-01-01"), number.cast("int")),
+             "timestamp_ntz": F.timestamp_seconds(number * 3600).cast("timestamp_ntz"), "boolean": number > 40}.get(kind, number).cast(kind)
+    rows = spark.range(600).select("id", F.when(F.col("id") % 9 > 0, value).alias("v"))
+    for ascending in (True, False):
+        sort = F.asc("v") if ascending else F.desc("v")
+        whole = [r.id for r in rows.orderBy(sort, F.asc("id")).collect()]
+        for skip in (0, 60, 333, 595):
+            assert [r.id for r in ranking.page_by_offset(rows, [("v", ascending), ("id", True)], skip, 25).collect()] == whole[skip:skip + 25]
+
+
+def test_a_page_across_two_frequent_values(spark, monkeypatch):
+    """No task keeps more than the rows of a narrowed piece, whatever the page's place."""
+    monkeypatch.setattr(ranking, "PAGE_ROWS", 200)
+    rows = spark.range(20_000).select("id", F.when(F.col("id") < 10_000, "a").otherwise("b").alias("v"))
+    page = ranking.page_by_offset(rows, [("v", True), ("id", True)], 9_995, 10)
+    assert [r.id for r in page.collect()] == list(range(9_995, 10_005))
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    kept = [int(n) for n in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan)]
+    assert kept and max(kept) <= 200
+    alike = spark.range(1000).select(F.lit(1).alias("v"))
+    assert ranking.page_by_offset(alike, [("v", True)], 990, 20).count() == 10
+
+
 def test_a_deep_page_reads_its_range_only(spark, monkeypatch):
     monkeypatch.setattr(ranking, "PAGE_ROWS", 100)
     orders = Tables(spark, PLAIN).orders.select("o_orderkey")
