@@ -5,7 +5,7 @@ places where tokens of both end cut the tokens into groups. Inside a group every
 between neighbouring ends of either side lies in one A and one B token, so the stretches are
 the links. Both encoders treat the parts of a text before a space that follows something
 else than white space apart, and the groups never cross such a cut; so each distinct part is
-encoded once per task and aligned once per unit, a run of whole texts of a bounded size.
+encoded and aligned once per unit, a run of whole texts of a bounded size.
 
 Counts of id pairs take two ways. A group of one token each whose ids are those of the
 identity map (the B id with the same bytes as the A id) is counted in a vector as long as
@@ -53,9 +53,6 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Text in a unit: what a task holds at once.
 UNIT_BYTES = 4 << 20
 
-# Distinct parts of texts whose tokens a worker remembers.
-REMEMBERED = 200_000
-
 # Fixed value: the split of a byte-level BPE before its merges.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -81,21 +78,36 @@ class Encoders:
     b: sentencepiece.SentencePieceProcessor
     a_bytes: list[bytes]
     b_bytes: list[bytes]
+    a_lengths: np.ndarray
+    b_lengths: np.ndarray
     same: np.ndarray
 
-    def encode(self, parts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Tokens of parts that open with a space; None where they spell something else."""
-        found = []
+    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+        """Tokens of parts that open with a space, and whether both sides spell the part.
+
+        A takes all parts that end in no white space as one text and its tokens are cut at
+        their ends, since it never joins anything across.
+        """
+        raw = [part.encode() for part in parts]
+        whole = [i for i, part in enumerate(parts) if not part[-1].isspace()]
+        ours: list[list[int]] = [[]] * len(parts)
+        flat = self.a.encode_ordinary("".join([parts[i] for i in whole]))
+        ends = np.cumsum(self.a_lengths[flat]) if flat else np.zeros(0, np.int64)
+        cuts = [0, *(np.searchsorted(ends, np.cumsum([len(raw[i]) for i in whole])) + 1).tolist()]
+        for i, low, high in zip(whole, cuts, cuts[1:]):
+            ours[i] = flat[low:high]
+        for i in set(range(len(parts))).difference(whole):
+            ours[i] = self.a.encode_ordinary(parts[i])
         # B adds the first space itself, but not to an empty text.
         lone = [self.b.piece_to_id(_META)]
-        ours = self.a.encode_ordinary_batch(parts, num_threads=1)
-        theirs = self.b.encode([part[1:] for part in parts], num_threads=1)
-        for part, a, b in zip(parts, ours, theirs):
-            b = b or lone
-            raw = part.encode()
-            whole = b"".join([self.a_bytes[i] for i in a]) == raw and b"".join([self.b_bytes[i] for i in b]) == raw
-            found.append((a, b) if whole else None)
-        return found
+        theirs = [found or lone for found in self.b.encode([part[1:] for part in parts], num_threads=1)]
+        sides = ((self.a_bytes, ours), (self.b_bytes, theirs))
+        if all(b"".join([table[i] for tokens in lists for i in tokens]) == b"".join(raw) for table, lists in sides) and all(
+                (_sums(lengths[flat], sizes) == [len(r) for r in raw]).all() for lengths, (flat, sizes) in
+                ((self.a_lengths, _flat(ours)), (self.b_lengths, _flat(theirs)))):
+            return ours, theirs, [True] * len(parts)
+        spelled = [all(b"".join([table[i] for i in lists[k]]) == raw[k] for table, lists in sides) for k in range(len(parts))]
+        return ours, theirs, spelled
 
 
 @lru_cache(maxsize=2)
@@ -121,7 +133,8 @@ def encoders(a_file: bytes, b_file: bytes) -> Encoders:
     # Of several B ids of the same bytes the piece counts, not the byte; others are irregular.
     by_bytes |= {raw: i for i, raw in enumerate(b_bytes) if not _BYTE.fullmatch(pieces[i])}
     same = np.array([by_bytes.get(raw, -1) for raw in a_bytes], np.int64)
-    return Encoders(a, b, a_bytes, b_bytes, same)
+    lengths = [np.fromiter(map(len, table), np.int64, len(table)) for table in (a_bytes, b_bytes)]
+    return Encoders(a, b, a_bytes, b_bytes, *lengths, same)
 
 
 @dataclass
@@ -143,12 +156,10 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
 
 
-def align(tokens: list[tuple[list[int], list[int]]], both: Encoders) -> Aligned:
+def align(ours: list[list[int]], theirs: list[list[int]], both: Encoders) -> Aligned:
     """Groups and links of every part. Laid end to end, parts end where tokens of both end."""
-    a, n_a = _flat([t[0] for t in tokens])
-    b, n_b = _flat([t[1] for t in tokens])
-    lengths = [np.fromiter(map(len, table), np.int64, len(table)) for table in (both.a_bytes, both.b_bytes)]
-    a_end, b_end = np.cumsum(lengths[0][a]), np.cumsum(lengths[1][b])
+    (a, n_a), (b, n_b) = _flat(ours), _flat(theirs)
+    a_end, b_end = np.cumsum(both.a_lengths[a]), np.cumsum(both.b_lengths[b])
     shared = np.intersect1d(a_end, b_end, assume_unique=True)
     ends = np.union1d(a_end, b_end)
     at_a, at_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
@@ -157,7 +168,7 @@ def align(tokens: list[tuple[list[int], list[int]]], both: Encoders) -> Aligned:
     link_a, link_b = a[at_a], b[at_b]
     part_end = a_end[np.cumsum(n_a) - 1]
     part = np.searchsorted(part_end, ends)
-    count = len(tokens)
+    count = len(ours)
     n_links = np.bincount(part, minlength=count)
     n_groups = np.bincount(np.searchsorted(part_end, shared), minlength=count)
     return Aligned(n_a, n_b, n_groups, n_links, link_a, link_b, single[group] & (both.same[link_a] == link_b),
@@ -194,39 +205,21 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - sizes]
 
 
-class _Known:
-    """Tokens of the parts met so far, forgotten all at once when they are too many."""
-
-    def __init__(self, both: Encoders):
-        self.both, self.tokens = both, {}
-
-    def of(self, parts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        fresh = [part for part in parts if part not in self.tokens]
-        if len(self.tokens) + len(fresh) > REMEMBERED:
-            self.tokens.clear()
-            fresh = parts
-        found = dict(zip(fresh, self.both.encode(fresh)))
-        self.tokens.update(found)
-        out = [self.tokens[part] for part in parts]
-        if len(self.tokens) > REMEMBERED:
-            self.tokens.clear()
-        return out
-
-
-def _unit(texts: list[str], known: _Known) -> tuple[bytes, bytes]:
+def _unit(texts: list[str], both: Encoders) -> tuple[bytes, bytes]:
     """What a unit knows of its texts, and what it must know to finish them."""
-    both, number = known.both, _Numbers()
+    number = _Numbers()
     rows = [np.fromiter(map(number.__getitem__, CUT.split(" " + text)), np.int64) if text and _META not in text
             else np.zeros(0, np.int64) for text in texts]
-    tokens = known.of(list(number))
-    wrong = np.fromiter((t is None for t in tokens), bool, len(tokens))
+    ours, theirs, spelled = both.encode(list(number))
+    wrong = ~np.array(spelled, bool)
     rows = [row if not wrong[row].any() else row[:0] for row in rows]
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
     parts = np.concatenate([*rows, np.zeros(0, np.int64)])
     # Parts that spell something else stay in the numbering, with a token that both have.
     either = int(np.argmax(both.same >= 0))
-    stand_in = [either], [int(both.same[either])]
-    found = align([t or stand_in for t in tokens] or [stand_in], both)
+    for i in np.flatnonzero(wrong).tolist():
+        ours[i], theirs[i] = [either], [int(both.same[either])]
+    found = align(ours or [[either]], theirs or [[int(both.same[either])]], both)
     digest = [hashlib.sha256(";".join(map(found.texts.__getitem__, row.tolist())).encode()).hexdigest() if len(row) else "" for row in rows]
     times = np.repeat(np.bincount(parts, minlength=len(found.n_a)), found.n_links)
     key = found.link_a * len(both.b_bytes) + found.link_b
@@ -249,12 +242,12 @@ def _units(docs: DataFrame, files: Broadcast) -> DataFrame:
         T.StructField("body", T.BinaryType()), T.StructField("asks", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(encoders(*files.value))
+        both = encoders(*files.value)
         unit = TaskContext.get().partitionId() << 32
         for batch in batches:
             for block in blocks(batch.column(1), UNIT_BYTES):
                 part = batch.slice(block.first, block.rows)
-                body, asks = _unit([text or "" for text in part.column(1).to_pylist()], known)
+                body, asks = _unit([text or "" for text in part.column(1).to_pylist()], both)
                 ids = pa.ListArray.from_arrays(pa.array([0, block.rows], pa.int32()), part.column(0))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([unit]), ids, pa.array([body], pa.binary()), pa.array([asks], pa.binary())], names=schema.names)
