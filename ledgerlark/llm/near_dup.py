@@ -34,7 +34,8 @@ from pyspark.sql.window import Window
 
 from ledgerlark.llm.blocks import LOWER, SPACES, Block, Prefixes, blocks, mix, rows_of, sequence_hash, string_list, word_bounds
 from ledgerlark.llm.components import components, merged
-from ledgerlark.sources.scratch import materialize, release
+from ledgerlark.operators.joins import join_to_summary
+from ledgerlark.sources.scratch import materialize, materialize_counted, release
 
 SHINGLE = 5
 SIMILARITY = (80, 100)
@@ -205,7 +206,7 @@ def _meet(members: DataFrame, classes: DataFrame) -> DataFrame:
     """
     sizes = members.groupBy("bucket").agg(
         F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    parts = members.join(sizes.select("bucket", F.expr(f"(size + {MEET - 1}) div {MEET}").alias("parts")), "bucket")
+    parts = join_to_summary(members, sizes.withColumn("parts", F.expr(f"(size + {MEET - 1}) div {MEET}")), "bucket", "size")
     parts = parts.join(classes.select("node", "n", "odd", "parity", "bands"), "node")
     parts = parts.withColumn("mine", F.expr("pmod(xxhash64(node), parts)")).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
@@ -315,8 +316,9 @@ def _confirmed(
     left = candidates
     for choice in choices:
         if comps is not None:
-            left = materialize(_with_comps(left.select("a", "b", "far"), comps).where("comp_a <> comp_b"), "near-left")
-            if left.isEmpty():
+            left, open_pairs = materialize_counted(
+                _with_comps(left.select("a", "b", "far"), comps).where("comp_a <> comp_b"), "near-left")
+            if not open_pairs:
                 break
         if choice == "class":
             pick = left.groupBy("a").agg(F.min(F.struct("far", "b")).alias("best")).select("a", "best.b")
@@ -329,7 +331,6 @@ def _confirmed(
         found = tested.where("linked").select("a", "b")
         comps = components(found) if comps is None else merged(comps, found)
         left = left.select("a", "b", "far").join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        release(candidates.sparkSession)
     return comps
 
 
@@ -356,7 +357,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     banded = classes.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(
         F.count("*").alias("size"), F.min(F.col("node").bitwiseXOR(F.col("bucket"))).alias("least")).where("size > 1")
-    members = materialize(banded.join(shared, "bucket").select(
+    members = materialize(join_to_summary(banded, shared, "bucket", "size").select(
         "bucket", "node", F.col("least").bitwiseXOR(F.col("bucket")).alias("head")), "near-members")
     stars = members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).repartition("a").distinct()
     stars = materialize(_sift_pairs(stars.join(side("a"), "a").join(side("b"), "b")), "near-stars")
@@ -372,14 +373,13 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     release(docs.sparkSession)
     texts = marked.select("rid", "text").join(needed, "rid").groupBy("rid").agg(
         F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text")
-    texts = materialize(texts, "near-texts").repartition(
-        int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
+    texts = materialize(texts, "near-texts")
     comps = _confirmed(candidates, texts, None, shingle, ("class", "component", "all"))
     # Inside what the stars had joined no other pairs were formed: where the full sets part it, form them.
     parted = owned(comps, guessed.select("node", F.col("comp").alias("guess"))).groupBy("guess").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    inside = materialize(guessed.join(parted.select(F.col("guess").alias("comp")), "comp", "left_semi").select("node"), "near-parted")
-    if not inside.isEmpty():
+    inside, inside_rows = materialize_counted(guessed.join(parted.select(F.col("guess").alias("comp")), "comp", "left_semi").select("node"), "near-parted")
+    if inside_rows:
         again = owned(comps, members.select("bucket", "node").join(inside, "node", "left_semi"))
         more = materialize(_meet(again, classes).join(candidates.select("a", "b"), ["a", "b"], "left_anti"), "near-again")
         comps = _confirmed(more, texts, comps, shingle, ("component", "all"))
