@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import cents, count_rows, moment, on_sale
 from ledgerlark.operators import comparisons
+from ledgerlark.operators.changes import delete_rows, update_rows
 from ledgerlark.operators.closure import reached
 from ledgerlark.operators.sets import row_differences, union_all
+from ledgerlark.operators.stored_parts import StoredParts, stored_differences
 from ledgerlark.plans.joining import settled_totals
 from ledgerlark.plans.registry import query
+from ledgerlark.sources.scratch import run_folder
 from ledgerlark.sources.tables import CANCELLED, SETTLED, TABLE_NAMES, Tables
 
 _TOTALS_SQL = """
@@ -284,6 +287,33 @@ def golden_diff(t: Tables) -> DataFrame:
     return row_differences(report(t.orders), report(earlier))
 
 
+@query("""
+    WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS total_cents
+               FROM orders),
+         b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_custkey = 7 THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+                      total_cents FROM a WHERE (o_custkey = 11) IS NOT TRUE),
+         x AS (SELECT *, COUNT(*) AS left_rows FROM a GROUP BY ALL),
+         y AS (SELECT *, COUNT(*) AS right_rows FROM b GROUP BY ALL)
+    SELECT o_orderkey, o_custkey, o_orderstatus, total_cents, left_rows, CAST(0 AS BIGINT) AS right_rows
+    FROM x WHERE NOT EXISTS (SELECT 1 FROM y WHERE (y.o_orderkey, y.o_custkey, y.o_orderstatus, y.total_cents)
+        IS NOT DISTINCT FROM (x.o_orderkey, x.o_custkey, x.o_orderstatus, x.total_cents))
+    UNION ALL
+    SELECT y.o_orderkey, y.o_custkey, y.o_orderstatus, y.total_cents, COALESCE(left_rows, 0), right_rows
+    FROM y LEFT JOIN x ON (y.o_orderkey, y.o_custkey, y.o_orderstatus, y.total_cents)
+        IS NOT DISTINCT FROM (x.o_orderkey, x.o_custkey, x.o_orderstatus, x.total_cents)
+    WHERE left_rows IS DISTINCT FROM right_rows
+""")
+def diff_stored_parts(t: Tables) -> DataFrame:
+    """What changed between two stored copies, reading only parts whose checksums differ."""
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", cents("o_totalprice").alias("total_cents"))
+    changed = update_rows(
+        delete_rows(orders, F.col("o_custkey") == 11), F.col("o_custkey") == 7, {"o_orderstatus": F.lit(SETTLED)})
+    left, right = (
+        StoredParts(t.spark, run_folder(t.spark, "parts"), orders.schema, "o_orderkey", 256).write(copy)
+        for copy in (orders, changed))
+    return stored_differences(left, right)
+
+
 @query(" UNION ALL ".join(
     f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {name}" for name in TABLE_NAMES
 ))
