@@ -226,11 +226,11 @@ SELECT page_id, n AS payload_bytes, {_BASE32} AS payload_digest,
        CASE WHEN page_id IS NOT DISTINCT FROM last THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to FROM r""")
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """Every page written to archives and read back from them."""
+    """Every page written to archives and read back from them; a record that fails a check is an error."""
     pages = table(spark, folder, "pages")
     path = run_folder(spark, "warc")
     warc.write_archives(pages, path)
-    read = warc.read_archives(spark, path).where("problem IS NULL")
+    read = warc.sound_records(warc.read_archives(spark, path))
     id_type = pages.schema["page_id"].dataType
     return read.select(
         warc.from_urn("record_id").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import re
 import struct
 
 import pytest
@@ -85,6 +86,20 @@ def test_archives_of_nothing(spark):
     assert read_pages(spark, [])[1] == []
 
 
+def test_a_broken_record_is_an_error(spark):
+    path, read = read_pages(spark, PAGES)
+    assert warc.sound_records(warc.read_archives(spark, path)).count() == len(read)
+    folder = run_folder(spark, "broken")
+    os.makedirs(folder)
+    archive = next(f for f in sorted(os.listdir(path)) if f.startswith("part") and os.path.getsize(os.path.join(path, f)))
+    with open(os.path.join(path, archive), "rb") as whole, open(os.path.join(folder, "cut"), "wb") as cut:
+        cut.write(whole.read()[:-3])
+    broken = warc.read_archives(spark, folder)
+    (fault,) = [r.problem for r in broken.where("problem IS NOT NULL").collect()]
+    with pytest.raises(Exception, match=f"/cut [0-9]+ {re.escape(fault)}"):
+        warc.sound_records(broken).collect()
+
+
 def test_dictionary_stands_in_front(spark):
     path, read = read_pages(spark, [(i, f"u{i}", f"<html><head><title>{prose(i, 3)}</title></head><body>{prose(i, 300)}</body>") for i in range(60)])
     raw = b"".join(open(os.path.join(path, f), "rb").read()[:8] for f in sorted(os.listdir(path)) if f.startswith("part") and
