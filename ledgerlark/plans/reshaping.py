@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import count_rows, line_cents
-from ledgerlark.operators import joins, layout, reshape
+from ledgerlark.operators import dependencies, joins, layout, reshape
 from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.joining import wide_lines
 from ledgerlark.plans.registry import query
@@ -132,6 +134,37 @@ def fd_check(t: Tables) -> DataFrame:
     ])
 
 
+_SOUGHT = ["order_id", "line_no", "customer_id", "segment", "part_id", "category"]
+
+
+def _masks(chosen) -> int:
+    return sum(1 << i for i in chosen)
+
+
+# Every set of columns counted by itself, then compared with every other.
+_SETS_SQL = " UNION ALL ".join(
+    f"SELECT {_masks(chosen)} AS mask, '{','.join(_SOUGHT[i] for i in chosen)}' AS named, "
+    + (f"(SELECT COUNT(*) FROM (SELECT DISTINCT {', '.join(_SOUGHT[i] for i in chosen)} FROM sheet))" if chosen
+       else "(SELECT LEAST(COUNT(*), 1) FROM sheet)") + " AS classes"
+    for size in range(len(_SOUGHT) + 1) for chosen in combinations(range(len(_SOUGHT)), size))
+
+
+@query(_SHEET_SQL + f""", sets AS MATERIALIZED ({_SETS_SQL}),
+    holding AS (SELECT x.mask, x.named, d.name AS dependent, d.bit
+                FROM sets x, (VALUES {', '.join(f"('{name}', {1 << i})" for i, name in enumerate(_SOUGHT))}) d(name, bit),
+                     sets y WHERE x.mask & d.bit = 0 AND y.mask = x.mask | d.bit AND y.classes = x.classes),
+    keys AS (SELECT mask, named FROM sets WHERE classes = (SELECT COUNT(*) FROM sheet))
+    SELECT 'dependency' AS kind, named AS determinant, dependent FROM holding h
+    WHERE NOT EXISTS (SELECT 1 FROM holding s WHERE s.bit = h.bit AND s.mask <> h.mask AND s.mask & h.mask = s.mask)
+    UNION ALL
+    SELECT 'key', named, NULL FROM keys k
+    WHERE NOT EXISTS (SELECT 1 FROM keys s WHERE s.mask <> k.mask AND s.mask & k.mask = s.mask)
+""")
+def fd_discovery(t: Tables) -> DataFrame:
+    """All minimal dependencies and candidate keys of the wide ledger, not named beforehand."""
+    return dependencies.discover(sheet(t), _SOUGHT)
+
+
 @query(_SHEET_SQL + """
     , wide AS (SELECT order_id, line_no, part_id, part_name, category, line_cents FROM sheet),
     products AS (SELECT DISTINCT part_id, part_name, category FROM wide),
