@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.columns import cents, count_rows, line_cents, or_zero, whole_average
+from ledgerlark.operators import statistics
 from ledgerlark.operators.sets import union_all
 from ledgerlark.plans.joining import order_counts, order_totals, settled_totals
 from ledgerlark.plans.registry import query
+from ledgerlark.sources.scratch import run_folder
 from ledgerlark.sources.tables import CANCELLED, SETTLED, Tables
 
 @query("""
@@ -418,3 +420,57 @@ def agg_value_skew(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_suppkey").agg(count_rows().alias("n")).withColumn(
         "share", F.round(F.col("n") / total, 6)
     )
+
+
+KEPT_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+
+# Four standard errors of the sketch of distinct values.
+DISTINCT_ERROR = 0.033
+
+# Share of the rows from which a value counts as frequent.
+FREQUENT = 0.05
+
+
+def kept_statistics(t: Tables) -> DataFrame:
+    """Statistics of the lines, kept in three appended parts and merged."""
+    columns = list(KEPT_COLUMNS)
+    kept = statistics.KeptStatistics(t.spark, run_folder(t.spark, "statistics"), columns)
+    for part in range(3):
+        kept.add(part, t.lineitem.where(F.col("l_orderkey") % 3 == part).select(*columns))
+    return kept.read()
+
+
+@query(" UNION ALL ".join(f"""
+    SELECT '{column}' AS column_name, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {column} IS NULL) AS null_count,
+           COUNT(DISTINCT {column}) AS distinct_keys, TRUE AS distinct_near,
+           (SELECT MAX(n) FROM (SELECT COUNT(*) AS n FROM lineitem GROUP BY {column})) AS largest_key, TRUE AS largest_between
+    FROM lineitem""" for column in KEPT_COLUMNS))
+def agg_kept_stats(t: Tables) -> DataFrame:
+    """Merged statistics beside exact ones: whether each estimate is inside its stated bound."""
+    exact = union_all([
+        key_stats(t.lineitem, column).select(F.lit(column).alias("column_name"), F.col("distinct_keys").alias("exact"), "largest_key")
+        for column in KEPT_COLUMNS
+    ])
+    near = F.abs(F.col("distinct_keys") - F.col("exact")) <= DISTINCT_ERROR * F.col("exact")
+    return statistics.estimates(kept_statistics(t)).join(exact, "column_name").select(
+        "column_name", "row_count", "null_count", F.col("exact").alias("distinct_keys"), near.alias("distinct_near"),
+        "largest_key", F.col("largest_key").between(F.col("largest_least"), F.col("largest_most")).alias("largest_between"),
+    )
+
+
+@query(" UNION ALL ".join(f"""
+    SELECT '{column}' AS column_name, CAST({column} AS VARCHAR) AS value, COUNT(*) AS n, TRUE AS between_bounds
+    FROM lineitem GROUP BY {column} HAVING COUNT(*) >= 0.05 * (SELECT COUNT(*) FROM lineitem)""" for column in KEPT_COLUMNS))
+def agg_kept_frequent(t: Tables) -> DataFrame:
+    """Values of a twentieth of all rows: found in the merged statistics, then counted exactly.
+
+    The listed values are a bounded number, ``ITEMS`` a column, and only they are counted.
+    """
+    listed = statistics.frequent(kept_statistics(t), FREQUENT)
+    cells = F.array(*[
+        F.struct(F.lit(column).alias("column_name"), F.col(column).cast("string").alias("value")) for column in KEPT_COLUMNS])
+    total = t.lineitem.agg(count_rows()).scalar()
+    counted = t.lineitem.select(F.inline(cells)).join(F.broadcast(listed), ["column_name", "value"]).groupBy(
+        "column_name", "value", "least", "most").agg(count_rows().alias("n"))
+    return counted.where(F.col("n") >= FREQUENT * total).select(
+        "column_name", "value", "n", F.col("n").between(F.col("least"), F.col("most")).alias("between_bounds"))
