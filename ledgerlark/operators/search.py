@@ -16,8 +16,12 @@ BLOCK = 1024
 
 
 def postings(df: DataFrame, key: str, terms: Column, name: str) -> DataFrame:
-    """One row per text and distinct term; the texts stay where they are."""
-    return df.select(key, F.explode(F.array_distinct(terms)).alias(name))
+    """One row per text and distinct term.
+
+    Texts are dealt out by key before their terms are taken, because a term list costs far
+    more than reading its text: files that few tasks read would otherwise be few tasks' work.
+    """
+    return df.repartition(key).select(key, F.explode(F.array_distinct(terms)).alias(name))
 
 
 def inverted_index(df: DataFrame, key: str, text: str) -> DataFrame:
