@@ -13,12 +13,13 @@ from ledgerlark.sources.scratch import run_folder
 from ledgerlark.sources.tables import Tables
 
 # One row per range partition is numbered in one task and broadcast, or the keys
-# holding more than a thousandth of all rows are broadcast, at most a thousand.
+# holding more than a thousandth of all rows are broadcast, at most a thousand, or the
+# frequent values of kept statistics, at most 64 a column and part.
 MAY_BROADCAST = {
     "win_rank", "sort_nulls", "insert_defaults", "insert_or_ignore", "upsert_natural_ignore",
     "upsert_natural_update",
     "dq_unique", "dq_unique_nocase", "dq_nulls_not_distinct", "dq_pk", "dq_precedence",
-    "dq_messages", "dq_split", "dq_expectations", "bridge_priced_lines",
+    "dq_messages", "dq_split", "dq_expectations", "bridge_priced_lines", "agg_kept_stats", "agg_kept_frequent",
 }
 
 
