@@ -11,9 +11,9 @@ text can hold a control string, and taking it away again gives the text back exa
 The loss mask lists, as runs of code points of the formatted text, what the assistant
 says: its texts, each once, without the control strings between.
 
-Formatting is linear in a conversation's length; a conversation is one row of text in
-the end, so its turns meet in one row. Cutting out the masked text again goes through
-the text once per turn.
+Formatting and reading back are linear in a conversation's length; a conversation is one
+row of text in the end, so its turns meet in one row. The masked text is cut out of pieces
+of ``PIECE`` code points, so no turn makes Spark count from the start of the text.
 
 Defined cases: a null text is empty, a null role an empty role; rows with a null turn
 come first; rows of equal turn are ordered by role and text, and repeated rows all
@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 ASSISTANT = "assistant"
 TURN, SAYS, NEXT, END = "<|turn|>", "<|says|>", "<|next|>", "<|end|>"
 
+# Code points of the pieces a text is cut out of.
+PIECE = 4096
+
 
 def escape(text: Column) -> Column:
     return F.regexp_replace(text, r"<([|\\])", r"<\\$1")
@@ -38,6 +41,11 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"<\\([|\\])", r"<$1")
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def format_conversations(
     rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
@@ -79,12 +87,25 @@ def read_back(formatted: DataFrame) -> DataFrame:
     def turns(block: Column) -> Column:
         role = unescape(F.substring_index(F.substr(block, F.lit(len(TURN) + 1)), SAYS, 1))
         body = F.get(F.split(block, r"<\|says\|>", 2), F.lit(1))
-        return F.transform(F.split(body, r"<\|next\|>", -1), lambda text: F.struct(role.alias("role"), unescape(text).alias("text")))
-
-    def cut(done: Column, run: Column) -> Column:
-        piece = F.when(run["loss"], unescape(F.substr(F.col("formatted"), done["place"], run["chars"]))).otherwise("")
-        return F.struct((done["place"] + run["chars"]).alias("place"), F.concat(done["text"], piece).alias("text"))
-
-    start = F.struct(F.lit(1).alias("place"), F.lit("").alias("text"))
-    return formatted.withColumn("turns", F.flatten(F.transform(blocks, turns))).withColumn(
-        "loss_text", F.aggregate("runs", start, cut, lambda done: done["text"]))
+        return _once(role, lambda role: F.transform(
+            F.split(body, r"<\|next\|>", -1), lambda text: F.struct(role.alias("role"), unescape(text).alias("text"))))
+
+    # Where the stretches in the loss start, and how long they are.
+    def placed(done: Column, run: Column) -> Column:
+        place = F.struct(done["place"].alias("place"), run["chars"].alias("chars"))
+        return F.struct(
+            (done["place"] + run["chars"]).alias("place"),
+            F.when(run["loss"], F.array_append(done["places"], place)).otherwise(done["places"]).alias("places"))
+
+    start = F.struct(F.lit(0).alias("place"), F.array().cast("array<struct<place:int,chars:int>>").alias("places"))
+    places = F.aggregate("runs", start, placed, lambda done: done["places"])
+
+    def cut(pieces: Column, place: Column) -> Column:
+        first = F.floor(place["place"] / PIECE).cast("int")
+        last = F.floor((place["place"] + place["chars"] - 1) / PIECE).cast("int")
+        held = F.array_join(F.slice(pieces, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+        return unescape(F.substr(held, place["place"] - first * PIECE + 1, place["chars"]))
+
+    pieces = F.regexp_extract_all("formatted", F.lit("(?s).{1,%d}" % PIECE), F.lit(0))
+    loss = _once(pieces, lambda pieces: F.array_join(F.transform(places, lambda place: cut(pieces, place)), ""))
+    return formatted.withColumn("turns", F.flatten(F.transform(blocks, turns))).withColumn("loss_text", loss)

@@ -180,3 +180,15 @@ def test_long_and_empty_conversations(spark):
     r = chat.read_back(chat.format_conversations(rows)).first()
     assert [(t.role, t.text) for t in r.turns] == [(role, text) for _, _, role, text in many]
     assert chat.format_conversations(rows.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("roles", [("user", "assistant"), ("assistant",), ("user", "user", "assistant", "assistant", "assistant")])
+def test_long_conversation(spark, roles):
+    """Turns across pieces of the text, wide letters and control strings in them, some empty."""
+    rows = [(1, i, roles[i % len(roles)], ("täxt <|end|> \U0001F600 <\\ " * 600)[:(i * 7 % 9000 if i % 50 == 0 else i % 90)])
+            for i in range(3000)]
+    read = chat.read_back(chat.format_conversations(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
+    assert [(t.role, t.text) for t in read.turns] == [row[2:] for row in rows]
+    assert read.loss_text == "".join(text for _, _, role, text in rows if role == "assistant")
+    assert max(len(row[3]) for row in rows) > 2 * chat.PIECE
