@@ -141,7 +141,12 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: list[str], doc_id: s
     known = labels.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [doc_id, *categories])).groupBy(
         F.col(f"`{doc_id}`").alias("_id")).agg(*(F.max(f"`{c}`").cast("int").alias(f"_y{i}") for i, c in enumerate(categories)))
     known = known.withColumn("_order", F.xxhash64("_id")).orderBy("_order", "_id").limit(SAMPLE)
-    return docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text")).join(F.broadcast(known), "_id")
+    texts = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
+    # One text an id, the one of the lowest hash: rows that share an id meet before the shuffle,
+    # so the sample has at most SAMPLE rows however often an id occurs.
+    first = F.min(F.struct(F.xxhash64("_text").alias("hash"), F.col("_text").alias("text")))["text"]
+    ys = [f"_y{i}" for i in range(len(categories))]
+    return texts.join(F.broadcast(known), "_id").groupBy("_id", "_order", *ys).agg(first.alias("_text"))
 
 
 def _collect(sample: DataFrame, count: int):

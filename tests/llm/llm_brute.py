@@ -139,3 +139,21 @@ def without_runs(texts: list[tuple], run: int = 3) -> dict:
         seen.update(mine)
         out[doc_id, text] = gone
     return out
+
+
+def linked_spans(text: str | None, parts: list[tuple[int, int, int]], reach: int) -> list[tuple]:
+    """(start, kind number, end) to report, every weak part held against every other part."""
+    text = text or ""
+    breaks = [m.start() for m in re.finditer(r"\n[ \t]*\n", text)]
+
+    def scope(start):
+        return sum(place < start for place in breaks)
+
+    identifiers, secrets, endpoints = {1, 3}, {0, 2, 4}, {5}
+    needs = {3: secrets, 4: identifiers | endpoints, 5: secrets}
+    out = []
+    for kind, start, end in parts:
+        if kind < 3 or any(
+                other in needs[kind] and scope(at) == scope(start) and abs(at - start) <= reach for other, at, _ in parts):
+            out.append((start, kind, end))
+    return sorted(set(out))
