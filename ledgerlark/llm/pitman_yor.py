@@ -17,11 +17,17 @@ needs a seating can draw it, a task that runs again draws the same, and nothing
 the rows are dealt out.
 
 The texts are read once into units, runs of whole texts of a bounded size. A unit asks for
-the counts of its distinct words and pairs of words, and after each sweep for the tables of
-its words: the sorted hashes go to buckets of hash ranges, each key once per unit, are added
-up there, and the sums go back to the unit that asked. A frequent word or pair so has a row
-per unit at most, and a bucket a bounded number of keys. Of the units that know a pair, the
-one that a hash chooses reports its tables. Words are told apart by one 64-bit hash.
+the counts of its distinct words and pairs of words: the sorted hashes go to buckets of hash
+ranges, each key once per unit, are added up there, and the sums go back to the unit that
+asked. A frequent word or pair so has a row per unit at most, and a bucket a bounded number of
+keys. Words are told apart by one 64-bit hash.
+
+A pair seen once has one table for good, so only pairs seen more often are seated anew. Of the
+units that know such a pair, the one that a hash chooses hands it to a cell of a grid, by the
+hash ranges of its first and of its second word. A sweep reads the cells alone: each pair is
+seated once, a cell sends the tables of its words to the words' buckets, and the sums go back
+to the cells. The units are told at the end: tables of each word after every sweep that counts,
+and of each pair the sum over these sweeps.
 
 Defined cases: a null or empty text is its end alone; a null id counts as an empty text and
 so is held out; repeated rows are counted and scored each; a text longer than a unit is a
@@ -33,7 +39,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache, reduce
 
 import numpy as np
@@ -45,10 +51,10 @@ from pyspark.sql import types as T
 
 from ledgerlark.llm.blocks import LOWER, SPACES, Block, Prefixes, blocks, mix, rows_of, word_bounds
 from ledgerlark.llm.packing import narrow, pack, pack_keys, unpack, unpack_keys
-from ledgerlark.sources.scratch import discard, materialize, run_folder
+from ledgerlark.sources.scratch import discard, materialize, release, run_folder
 
-SWEEPS = 2
-BURN_IN = 0
+SWEEPS = 20
+BURN_IN = 10
 EXACT = 512
 TRIALS = 2
 STRENGTH = 1.0
@@ -64,6 +70,11 @@ END, START = np.uint64(0x8F1D6A3B5C27E94D), np.uint64(0x3C9E5B70A1D24F86)
 
 _ASKED = "unit long, bucket int, data binary"
 
+# Who sends what pairs seen once add to the words of cells, and what stands where
+# a bucket would: a cell's pairs, their tables, the tables of a bucket's words, and its figures.
+ONES = -(1 << 62)
+PAIRS, SEATS, LEDGER, FIGURES = -2, -1, -3, -4
+
 
 # Seating ------------------------------------------------------------------------------
 
@@ -255,34 +266,22 @@ class Unit:
         parts = [unpack(data) for data in self.told[name]]
         return {field: np.concatenate([part[field] for part in parts]) for field in parts[0]}
 
-    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Training counts of the words and of the pairs, and the pairs whose tables this unit reports."""
-        word, pair = self.answer("word_counts")["total"].astype(np.int64), self.answer("pair_counts")
-        back = np.empty(len(self.order), np.int64)
-        back[self.order] = np.arange(len(self.order))
-        return word, pair["total"].astype(np.int64)[back], pair["mine"][back]
+    def by_pair(self, values: np.ndarray) -> np.ndarray:
+        """Values in the order of the keys, by pair."""
+        out = np.empty(len(self.order), values.dtype)
+        out[self.order] = values
+        return out
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Training counts of the pairs, and the pairs that this unit hands on."""
+        pair = self.answer("pair_counts")
+        return self.by_pair(pair["total"].astype(np.int64)), self.by_pair(pair["mine"])
 
     def parent(self, settings: Settings, known: np.ndarray, customers: np.ndarray, sweep: int) -> np.ndarray:
         """The shared parent's probability of each word; unknown words are one class."""
         unknown = STRENGTH + settings.parent * settings.types
         return np.where(known, np.maximum(customers - settings.parent, 0), unknown) / (STRENGTH + settings.customers[sweep])
 
-    def seated(self, settings: Settings, c: np.ndarray, sweep: int) -> np.ndarray:
-        """Tables of each pair after a sweep, from the one before."""
-        if not sweep:
-            return np.minimum(c, 1)
-        own = np.minimum(c, 1)
-        more = np.flatnonzero(c > 1)
-        if sweep > 1:
-            own[more] = unpack(self.told[f"seats{sweep - 1}"][0])["tables"]
-        sums, second = self.answer(f"sums{sweep - 1}"), self.second[more]
-        others = sums["below"][self.first[more]] - own[more]
-        chance = (np.maximum(sums["above"][second] - own[more], 1) - settings.parent) / (STRENGTH + settings.customers[sweep - 1])
-        out = own.copy()
-        out[more] = tables(c[more], (STRENGTH + settings.discount * others) * chance, settings.discount * chance,
-                           settings.discount, self.key[more], sweep)
-        return out
-
 
 # Asking -----------------------------------------------------------------------------------
 
@@ -295,26 +294,36 @@ def _bucketed(keys: np.ndarray, count: int, **values: np.ndarray) -> Iterator[tu
         yield i, pack(keys=pack_keys(keys[cut]), **{name: narrow(value[cut]) for name, value in values.items()})
 
 
+def _summed(parts: list[dict[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """Distinct keys of all parts, the place of each part's keys among them, the parts' sizes, and sums of every value."""
+    each = [unpack_keys(part["keys"]) for part in parts]
+    sizes = np.array([len(keys) for keys in each])
+    distinct, place = np.unique(np.concatenate(each), return_inverse=True)
+    sums: dict[str, np.ndarray] = {}
+    for part, last, size in zip(parts, np.cumsum(sizes), sizes):
+        for name in part.keys() - {"keys"}:
+            # No part has a key twice.
+            sums.setdefault(name, np.zeros(len(distinct), np.int64))[place[last - size:last]] += part[name]
+    return distinct, place, sizes, sums
+
+
 def _answered(asked: DataFrame, tell_mine: bool) -> DataFrame:
     """Sums of every value by key, back to each unit in the order of its keys, and figures of each bucket."""
 
     def run(table: pa.Table) -> pa.Table:
         units, parts = table.column(0).to_pylist(), [unpack(data) for data in table.column(2).to_pylist()]
-        each = [unpack_keys(part.pop("keys")) for part in parts]
-        distinct, place = np.unique(np.concatenate(each), return_inverse=True)
-        sums = {name: np.bincount(place, weights=np.concatenate([part[name] for part in parts])).astype(np.int64) for name in parts[0]}
-        sizes = np.array([len(keys) for keys in each])
+        distinct, place, sizes, sums = _summed(parts)
         if tell_mine:
-            rank = mix(distinct[place] ^ mix(np.repeat(np.array(units, np.uint64), sizes) + np.uint64(1)))
+            rank = mix(distinct[place] ^ mix(np.repeat(np.array(units, np.int64).astype(np.uint64), sizes) + np.uint64(1)))
             order = np.lexsort((rank, place))
             mine = np.zeros(len(place), bool)
             mine[order[np.searchsorted(place[order], np.arange(len(distinct)))]] = True
-        last = list(sums.values())[-1]
-        figures = [int(last.sum()), *(int((last >= 1).sum()) if i == 0 else int((last == i).sum()) for i in range(3))]
+        total = sums["total"]
+        figures = [int(total.sum()), int((total >= 1).sum()), int((total == 1).sum()), int((total == 2).sum())]
         data = []
-        for low, high in zip(np.cumsum(sizes) - sizes, np.cumsum(sizes)):
-            told = {name: narrow(value[place[low:high]]) for name, value in sums.items()}
-            data.append(pack(**told, **({"mine": mine[low:high]} if tell_mine else {})))
+        for unit, low, high in zip(units, np.cumsum(sizes) - sizes, np.cumsum(sizes)):
+            told = {"total": narrow(total[place[low:high]])}
+            data.append(pack(**told, **({"mine": mine[low:high]} if tell_mine else {})) if unit >= 0 else None)
         return pa.table({"unit": table.column(0), "bucket": table.column(1), "data": pa.array(data, pa.binary()),
                          "figures": pa.array([figures if i == 0 else None for i in range(len(data))], pa.list_(pa.int64()))})
 
@@ -328,15 +337,16 @@ class Gathering:
         self.spark: SparkSession = docs.sparkSession
         self.names: list[str] = []
         self.told: dict[str, DataFrame] = {}
-        self.units = self._laid_out(_units(docs), "units")
+        self.count = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.units = self._laid_out(_units(docs).repartition(self.count, "unit"), "units")
         self.sizes = self.units.agg(F.sum("n_words"), F.sum("n_pairs")).first()
 
     def _laid_out(self, df: DataFrame, label: str) -> DataFrame:
         name = f"{label}_{uuid.uuid4().hex}"
-        count = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.names.append(name)
-        df.repartition(count, "unit").write.format("parquet").bucketBy(count, "unit").option(
+        df.write.format("parquet").bucketBy(self.count, "unit").option(
             "path", run_folder(self.spark, label)).saveAsTable(name)
+        release(self.spark)
         return self.spark.table(name)
 
     def drop(self) -> None:
@@ -346,7 +356,7 @@ class Gathering:
     def keep(self, name: str, rows: DataFrame) -> None:
         """What units are told under a name, in the order of buckets."""
         listed = F.sort_array(F.collect_list(F.struct("bucket", "data")))["data"]
-        self.told[name] = self._laid_out(rows.groupBy("unit").agg(listed.alias(name)), name)
+        self.told[name] = self._laid_out(rows.repartition(self.count, "unit").groupBy("unit").agg(listed.alias(name)), name)
 
     def ask(self, name: str, asked: DataFrame, tell_mine: bool = False) -> list[int]:
         """Send keys to their buckets and keep what comes back; the figures of all keys."""
@@ -354,7 +364,7 @@ class Gathering:
         answers = _answered(asked, tell_mine)
         answers.write.parquet(path)
         answers = self.spark.read.schema(answers.schema).parquet(path)
-        self.keep(name, answers.select("unit", "bucket", "data"))
+        self.keep(name, answers.where("unit >= 0").select("unit", "bucket", "data"))
         row = answers.agg(*(F.sum(F.col("figures")[i]) for i in range(4))).first()
         discard(path)
         return [value or 0 for value in row]
@@ -365,7 +375,7 @@ class Gathering:
     def each(self, names: list[str], work: Callable[..., Iterator[pa.RecordBatch]], schema: T.StructType | str, with_texts: bool = False) -> DataFrame:
         """``work`` on every unit, told what stands under the names: with its number, or with its ids where it reads its texts."""
         own = ["unit", "words", "links", *(["ids", "texts"] if with_texts else [])]
-        rows = reduce(lambda left, name: left.join(self.told[name], "unit"), names, self.units.select(*own))
+        rows = reduce(lambda left, name: left.join(self.told[name], "unit", "left"), names, self.units.select(*own))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -425,46 +435,26 @@ def _scored(gathering: Gathering, id_type: T.DataType, sweeps: int, burn_in: int
 
     tokens, types, *_ = gathering.ask("word_counts", gathering.each([], ask_words, _ASKED))
     figures = gathering.ask("pair_counts", gathering.each([], ask_pairs, _ASKED), tell_mine=True)
-    settings = Settings(tokens, types, 0.5, _discount(figures))
-    for sweep in range(sweeps + 1):
-        names = ["word_counts", "pair_counts", *([f"sums{sweep - 1}"] if sweep else []), *([f"seats{sweep - 1}"] if sweep > 1 else [])]
-
-        def seat(unit: int, it: Unit, settings: Settings = settings, sweep: int = sweep):
-            _, c, mine = it.counts()
-            t = it.seated(settings, c, sweep)
-            below, above = (np.bincount(side[mine], weights=t[mine], minlength=len(it.words)).astype(np.int64) for side in (it.first, it.second))
-            yield from _rows(unit, _bucketed(it.words, words, below=below, above=above))
-            if sweep:
-                yield from _rows(unit, [(-1, pack(tables=narrow(t[c > 1])))])
-
-        out = gathering.each(names, seat, _ASKED)
-        path = run_folder(gathering.spark, "seats")
-        if sweep:
-            out.write.parquet(path)
-            out = gathering.spark.read.schema(out.schema).parquet(path)
-            gathering.keep(f"seats{sweep}", out.where("bucket < 0"))
-            out = out.where("bucket >= 0")
-        figures = gathering.ask(f"sums{sweep}", out)
-        discard(path)
-        parent = settings.parent if sweep else _discount(figures)
-        settings = Settings(tokens, types, parent, settings.discount, (*settings.customers, figures[0]))
     used = list(range(min(burn_in + 1, sweeps), sweeps + 1))
-    names = ["word_counts", "pair_counts", *(f"sums{s}" for s in used), *(f"seats{s}" for s in used if s)]
+    settings = _sampled(gathering, Settings(tokens, types, 0.5, _discount(figures)), figures[1] - figures[2], words, pairs, sweeps, used)
 
     def finish(ids: pa.Array, it: Unit):
-        word, c, _ = it.counts()
+        word, (c, _), samples = it.answer("word_counts")["total"].astype(np.int64), it.counts(), it.answer("samples")
         customers = word.copy()
         customers[it.start] = word[it.end]
-        known = word > 0
+        known, full = word > 0, customers[it.first]
+        seats = np.minimum(c, 1) * len(used)
+        if it.told["seats"]:
+            listed = seats[it.order]
+            listed[c[it.order] > 1] = it.answer("seats")["total"]
+            seats = it.by_pair(listed)
         chance = np.zeros(len(c))
         for sweep in used:
-            sums, t = it.answer(f"sums{sweep}"), np.minimum(c, 1)
-            if sweep:
-                t[c > 1] = unpack(it.told[f"seats{sweep}"][0])["tables"]
-            above = it.parent(settings, known, sums["above"], sweep)[it.second]
-            below = STRENGTH + settings.discount * sums["below"][it.first]
-            full = customers[it.first]
-            chance += np.where(full > 0, (c - settings.discount * t + below * above) / (STRENGTH + full), above)
+            below, above = (samples[name] + samples.get(f"{name}{sweep}", 0) for name in ("below", "above"))
+            above = it.parent(settings, known, above, sweep)[it.second]
+            below = STRENGTH + settings.discount * below[it.first]
+            chance += np.where(full > 0, below * above / (STRENGTH + full), above)
+        chance += np.where(full > 0, (c * len(used) - settings.discount * seats) / (STRENGTH + full), 0)
         log = np.log10(chance / len(used))[it.pair]
         base = np.log10((word + ADDED) / (settings.tokens + ADDED * (settings.types + 1)))[it.tokens]
         count = len(it.sizes)
@@ -474,4 +464,185 @@ def _scored(gathering: Gathering, id_type: T.DataType, sweeps: int, burn_in: int
              pa.array(np.full(count, settings.tokens)), pa.array(np.bincount(it.text, weights=base, minlength=count)),
              pa.array(np.bincount(it.text, weights=log, minlength=count))], names=schema.names)
 
-    return gathering.each(names, finish, schema, with_texts=True)
+    return gathering.each(["word_counts", "pair_counts", "samples", "seats"], finish, schema, with_texts=True)
+
+
+# Sweeps -----------------------------------------------------------------------------------
+
+class Cell:
+    """Pairs seen more than once, and the words they consist of."""
+
+    def __init__(self, pairs: bytes):
+        raw = unpack(pairs)
+        self.words = unpack_keys(raw["keys"])
+        self.first, self.second, self.c = (raw[name].astype(np.int64) for name in ("first", "second", "times"))
+        self.key = mix(mix(self.words)[self.first] + self.words[self.second])
+
+    @staticmethod
+    def packed(words: np.ndarray, first: np.ndarray, second: np.ndarray, c: np.ndarray) -> bytes:
+        return pack(keys=pack_keys(words), first=narrow(first), second=narrow(second), times=narrow(c))
+
+    def sums(self, buckets: int, t: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """Tables of each word, for the words' buckets."""
+        below, above = (np.bincount(side, weights=t, minlength=len(self.words)).astype(np.int64) for side in (self.first, self.second))
+        return _bucketed(self.words, buckets, below=below, above=above)
+
+    def seated(self, settings: Settings, own: np.ndarray, told: list[bytes], sweep: int) -> np.ndarray:
+        """Tables of each pair after a sweep, from the one before."""
+        parts = [unpack(data) for data in told]
+        below, above = (np.concatenate([part[name] for part in parts]).astype(np.int64) for name in ("below", "above"))
+        others = below[self.first] - own
+        chance = (np.maximum(above[self.second] - own, 1) - settings.parent) / (STRENGTH + settings.customers[sweep - 1])
+        return tables(self.c, (STRENGTH + settings.discount * others) * chance, settings.discount * chance, settings.discount, self.key, sweep)
+
+
+def _grouped(rows: DataFrame, column: str, count: int, work: Callable[[int, list[tuple[int, bytes]]], Iterator[tuple[int, int, bytes]]]) -> DataFrame:
+    """``work`` on all rows of each of ``count`` cells or buckets; small rows are much work, so few are a task."""
+    own, other = (0, 1) if column == "unit" else (1, 0)
+    tasks = min(count, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table.column(other).to_pylist(), table.column(2).to_pylist()), key=lambda row: row[0])
+        out = list(work(table.column(own)[0].as_py(), rows))
+        return pa.table({"unit": pa.array([row[0] for row in out], pa.int64()), "bucket": pa.array([row[1] for row in out], pa.int32()),
+                         "data": pa.array([row[2] for row in out], pa.binary())})
+
+    return rows.repartition(tasks, column).groupBy(column).applyInArrow(run, _ASKED)
+
+
+def _gathered(cell: int, rows: list[tuple[int, bytes]], words: int) -> Iterator[tuple[int, int, bytes]]:
+    """What units handed to a cell as one, and its first tables, one a pair."""
+    parts = [Cell(data) for _, data in rows]
+    distinct, place = np.unique(np.concatenate([part.words for part in parts]), return_inverse=True)
+    start = np.cumsum([0, *(len(part.words) for part in parts)])
+    first, second = (np.concatenate([place[at + getattr(part, side)] for at, part in zip(start, parts)]) for side in ("first", "second"))
+    packed = Cell.packed(distinct, first, second, np.concatenate([part.c for part in parts]))
+    yield cell, PAIRS, packed
+    for bucket, data in Cell(packed).sums(words, np.ones(len(first))):
+        yield cell, bucket, data
+
+
+def _started(bucket: int, rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
+    """Tables of a bucket's words while each pair has one, and what pairs seen once add to the words of cells."""
+    distinct, _, _, sums = _summed([unpack(data) for _, data in rows])
+    above = sums["above"]
+    ours = [(unit, unpack(data)) for unit, data in rows if unit < 0]
+    figures = [int(above.sum()), int((above == 1).sum()), int((above == 2).sum()), 0]
+    if ours:
+        keys, _, _, own = _summed([part for _, part in ours])
+        at = np.searchsorted(distinct, keys)
+        figures[3] = int(above[at].sum())
+        yield ONES, bucket, pack(keys=pack_keys(keys), **{name: narrow(sums[name][at] - own[name]) for name in ("below", "above")})
+        for unit, part in ours:
+            at = np.searchsorted(distinct, unpack_keys(part["keys"]))
+            yield unit, bucket, pack(**{name: narrow(sums[name][at]) for name in ("below", "above")})
+        yield bucket, LEDGER, pack(keys=pack_keys(keys), **{f"{name}0": narrow(own[name]) for name in ("below", "above")})
+    yield bucket, FIGURES, pack(figures=np.array(figures))
+
+
+def _added(bucket: int, rows: list[tuple[int, bytes]], sweep: int) -> Iterator[tuple[int, int, bytes]]:
+    """Tables of a bucket's words after a sweep, to the cells that asked, and those of the cells' pairs alone."""
+    parts = [unpack(data) for _, data in rows]
+    distinct, place, sizes, sums = _summed(parts)
+    # Rows are sorted, so what pairs seen once add comes first and knows every word.
+    own = {name: sums[name] - parts[0][name] for name in ("below", "above")}
+    for (unit, _), low, high in list(zip(rows, np.cumsum(sizes) - sizes, np.cumsum(sizes)))[1:]:
+        yield unit, bucket, pack(**{name: narrow(sums[name][place[low:high]]) for name in ("below", "above")})
+    yield bucket, LEDGER, pack(keys=pack_keys(distinct), **{f"{name}{sweep}": narrow(own[name]) for name in ("below", "above")})
+    yield bucket, FIGURES, pack(figures=np.array([int(sums["above"].sum())]))
+
+
+def _sampled(gathering: Gathering, settings: Settings, frequent: int, words: int, pairs: int, sweeps: int, used: list[int]) -> Settings:
+    """Run the sweeps over the pairs seen more than once, and tell the units of those that are used."""
+    spark, grid, paths = gathering.spark, max(1, int(np.ceil(np.sqrt(frequent / max(BUCKET_KEYS // 8, 1))))), []
+
+    def written(label: str, rows: DataFrame) -> tuple[DataFrame, str]:
+        path = run_folder(spark, label)
+        paths.append(path)
+        rows.write.parquet(path)
+        return spark.read.schema(_ASKED).parquet(path), path
+
+    def figures(rows: DataFrame) -> np.ndarray:
+        """Sums of a row of numbers a bucket."""
+        return sum(unpack(row.data)["figures"] for row in rows.where(f"bucket = {FIGURES}").select("data").collect())
+
+    def hand_on(unit: int, it: Unit):
+        c, mine = it.counts()
+        once, more = mine & (c == 1), np.flatnonzero(mine & (c > 1))
+        below, above = (np.bincount(side[once], minlength=len(it.words)) for side in (it.first, it.second))
+        yield from _rows(unit, _bucketed(it.words, words, below=below, above=above))
+        row, column = (((it.words >> np.uint64(32)) * np.uint64(grid) >> np.uint64(32)).astype(np.int64)[side[more]] for side in (it.first, it.second))
+        cell = row * grid + column
+        more, cell = more[np.argsort(cell, kind="stable")], np.sort(cell)
+        for low, high in zip(*(np.searchsorted(cell, np.unique(cell), side) for side in ("left", "right"))):
+            some = more[low:high]
+            known, place = np.unique(np.concatenate([it.first[some], it.second[some]]), return_inverse=True)
+            yield from _rows(-1 - int(cell[low]), [(PAIRS, Cell.packed(it.words[known], place[:len(some)], place[len(some):], c[some]))])
+
+    def ask_seats(unit: int, it: Unit):
+        asked = it.order[it.counts()[0][it.order] > 1]
+        yield from _rows(unit, _bucketed(it.key[asked], pairs, total=np.zeros(len(asked), np.int64)))
+
+    handed, handed_path = written("handed", gathering.each(["pair_counts"], hand_on, _ASKED))
+    by_words = handed.where("unit >= 0")
+    cells, _ = written("cells", _grouped(handed.where("unit < 0"), "unit", grid * grid, lambda cell, rows: _gathered(cell, rows, words)))
+    static = cells.where(f"bucket = {PAIRS}")
+    answers, path = written("started", _grouped(by_words.unionByName(cells.where("bucket >= 0")), "bucket", words, _started))
+    first = figures(answers)
+    once, twice, rest = int(first[1]), int(first[2]), int(first[0] - first[3])
+    settings = Settings(settings.tokens, settings.types, _discount([0, 0, once, twice]), settings.discount, (int(first[0]),))
+    ones, _ = written("ones", answers.where(f"unit = {ONES}"))
+    ledgers = [written("ledger", answers.where(f"bucket = {LEDGER}"))] if used[0] == 0 else []
+    seats = None
+    for sweep in range(1, sweeps + 1):
+        def seat(cell: int, rows: list[tuple[int, bytes]], settings: Settings = settings, sweep: int = sweep):
+            it = Cell(rows[0][1])
+            kept = unpack(rows[1][1]) if rows[1][0] == SEATS else {"tables": np.ones(len(it.c), np.int64), "seen": np.zeros(len(it.c), np.int64)}
+            t = it.seated(settings, kept["tables"].astype(np.int64), [data for bucket, data in rows if bucket >= 0], sweep)
+            seen = kept["seen"] + (t if sweep in used else 0)
+            yield cell, SEATS, pack(tables=narrow(t), seen=narrow(seen))
+            for bucket, data in it.sums(words, t):
+                yield cell, bucket, data
+
+        told = answers.where(f"unit < 0 AND unit <> {ONES}")
+        before = [path, *([seats_path] if seats is not None else [])]
+        state = static if seats is None else static.unionByName(seats.where(f"bucket = {SEATS}"))
+        seats, seats_path = written("seats", _grouped(state.unionByName(told), "unit", grid * grid, seat))
+        answers, path = written("added", _grouped(
+            ones.unionByName(seats.where("bucket >= 0")), "bucket", words, lambda bucket, rows, sweep=sweep: _added(bucket, rows, sweep)))
+        for old in before:
+            discard(old)
+        release(spark)
+        settings = replace(settings, customers=(*settings.customers, rest + int(np.sum(figures(answers)))))
+        if sweep in used:
+            ledgers.append(written("ledger", answers.where(f"bucket = {LEDGER}")))
+
+    def seen(cell: int, rows: list[tuple[int, bytes]]):
+        it = Cell(rows[0][1])
+        total = unpack(rows[1][1])["seen"] if len(rows) > 1 else np.ones(len(it.c), np.int64)
+        order = np.argsort(it.key)
+        for bucket, data in _bucketed(it.key[order], pairs, total=total[order]):
+            yield cell, bucket, data
+
+    def samples(bucket: int, rows: list[tuple[int, bytes]]):
+        parts = [unpack(data) for _, data in rows]
+        distinct, place, sizes, sums = _summed(parts)
+        zero = np.zeros(len(distinct), np.int64)
+        told = {name: sums[name] + sums.get(f"{name}{used[0]}", zero) for name in ("below", "above")}
+        # Few words differ from sweep to sweep, so differences take next to no room.
+        told |= {f"{name}{sweep}": sums.get(f"{name}{sweep}", zero) - sums.get(f"{name}{used[0]}", zero)
+                 for sweep in used[1:] for name in ("below", "above")}
+        for (unit, _), low, high in zip(rows, np.cumsum(sizes) - sizes, np.cumsum(sizes)):
+            if unit >= 0:
+                yield unit, bucket, pack(**{name: narrow(values[place[low:high]]) for name, values in told.items()})
+
+    state = static if seats is None else static.unionByName(seats.where(f"bucket = {SEATS}"))
+    gathering.ask("seats", gathering.each(["pair_counts"], ask_seats, _ASKED).unionByName(_grouped(state, "unit", grid * grid, seen)))
+    last = {handed_path, *(at for _, at in ledgers)}
+    for old in [at for at in paths if at not in last]:
+        discard(old)
+    ledger = reduce(DataFrame.unionByName, [df.select(F.lit(-1).cast("long").alias("unit"), F.col("unit").cast("int").alias("bucket"), "data") for df, _ in ledgers])
+    gathering.keep("samples", _grouped(by_words.unionByName(ledger), "bucket", words, samples))
+    for old in last:
+        discard(old)
+    return settings

@@ -119,6 +119,13 @@ def test_scores(spark, monkeypatch, unit, bucket):
         assert abs(sum(plain.chance(u, w) for w in [*plain.train, "never seen either"]) - 1) < 1e-9
 
 
+def test_sweeps_are_run_in_number(spark):
+    rows = [(i, prose(i % 7, 40, 30)) for i in range(40)]
+    plain = Plain(rows, 20, 10)
+    assert len(plain.used) == 10
+    assert listed(scored(spark, rows)) == listed([(*base, plain.score(text)) for base, (_, text) in zip(base_rows(rows), rows)])
+
+
 def test_long_texts_and_little(spark):
     rows = rows_of_texts()
     assert [r[:5] for r in listed(scored(spark, rows, sweeps=1, burn_in=0))] == [r[:5] for r in listed([(*b, 0.0) for b in base_rows(rows)])]
