@@ -71,9 +71,10 @@ END, START = np.uint64(0x8F1D6A3B5C27E94D), np.uint64(0x3C9E5B70A1D24F86)
 _ASKED = "unit long, bucket int, data binary"
 
 # Who sends what pairs seen once add to the words of cells, and what stands where
-# a bucket would: a cell's pairs, their tables, the tables of a bucket's words, and its figures.
+# a bucket would: a cell's pairs, their tables, the tables that they add to a bucket's words,
+# those that pairs seen once add, and a bucket's figures.
 ONES = -(1 << 62)
-PAIRS, SEATS, LEDGER, FIGURES = -2, -1, -3, -4
+PAIRS, SEATS, LEDGER, WORDS, FIGURES = -2, -1, -3, -4, -5
 
 
 # Seating ------------------------------------------------------------------------------
@@ -294,11 +295,24 @@ def _bucketed(keys: np.ndarray, count: int, **values: np.ndarray) -> Iterator[tu
         yield i, pack(keys=pack_keys(keys[cut]), **{name: narrow(value[cut]) for name, value in values.items()})
 
 
+def _merged(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the place of each key among them, the order of the keys, and where each distinct one starts in it."""
+    # Stable, because that makes use of the runs that ascend.
+    order = np.argsort(keys, kind="stable")
+    falls = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = falls[1:] != falls[:-1]
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    start = np.flatnonzero(fresh)
+    return falls[start], place, order, start
+
+
 def _summed(parts: list[dict[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[str, np.ndarray]]:
     """Distinct keys of all parts, the place of each part's keys among them, the parts' sizes, and sums of every value."""
     each = [unpack_keys(part["keys"]) for part in parts]
     sizes = np.array([len(keys) for keys in each])
-    distinct, place = np.unique(np.concatenate(each), return_inverse=True)
+    distinct, place, _, _ = _merged(np.concatenate(each))
     sums: dict[str, np.ndarray] = {}
     for part, last, size in zip(parts, np.cumsum(sizes), sizes):
         for name in part.keys() - {"keys"}:
@@ -307,27 +321,32 @@ def _summed(parts: list[dict[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray,
     return distinct, place, sizes, sums
 
 
-def _answered(asked: DataFrame, tell_mine: bool) -> DataFrame:
-    """Sums of every value by key, back to each unit in the order of its keys, and figures of each bucket."""
+def _answered(asked: DataFrame, least: int, tell_mine: bool) -> DataFrame:
+    """Totals by key, back to each unit in the order of its keys, places among the keys of at least some total, and figures of each bucket."""
 
     def run(table: pa.Table) -> pa.Table:
-        units, parts = table.column(0).to_pylist(), [unpack(data) for data in table.column(2).to_pylist()]
-        distinct, place, sizes, sums = _summed(parts)
-        if tell_mine:
-            rank = mix(distinct[place] ^ mix(np.repeat(np.array(units, np.int64).astype(np.uint64), sizes) + np.uint64(1)))
-            order = np.lexsort((rank, place))
-            mine = np.zeros(len(place), bool)
-            mine[order[np.searchsorted(place[order], np.arange(len(distinct)))]] = True
-        total = sums["total"]
+        rows = sorted(zip(table.column(0).to_pylist(), table.column(1).to_pylist(), table.column(2).to_pylist()))
+        parts = [unpack(data) for _, _, data in rows]
+        each = [unpack_keys(part["keys"]) for part in parts]
+        ends = np.cumsum([len(keys) for keys in each])
+        distinct, place, order, start = _merged(np.concatenate(each))
+        total = np.bincount(place, weights=np.concatenate([part["total"] for part in parts])).astype(np.int64)
         figures = [int(total.sum()), int((total >= 1).sum()), int((total == 1).sum()), int((total == 2).sum())]
-        data = []
-        for unit, low, high in zip(units, np.cumsum(sizes) - sizes, np.cumsum(sizes)):
-            told = {"total": narrow(total[place[low:high]])}
-            data.append(pack(**told, **({"mine": mine[low:high]} if tell_mine else {})) if unit >= 0 else None)
-        return pa.table({"unit": table.column(0), "bucket": table.column(1), "data": pa.array(data, pa.binary()),
+        mine = np.zeros(len(place), bool)
+        times = np.diff(start, append=len(place)).astype(np.uint64)
+        mine[order[start + (mix(distinct) % times).astype(np.int64)]] = True
+        wanted = total >= least
+        rank = np.cumsum(wanted) - 1
+        data, places = [], []
+        for low, high in zip((0, *ends), ends):
+            at = place[low:high]
+            data.append(pack(total=narrow(total[at]), **({"mine": mine[low:high]} if tell_mine else {})))
+            places.append(pack(gaps=narrow(np.diff(rank[at[wanted[at]]], prepend=0))))
+        return pa.table({"unit": pa.array([row[0] for row in rows], pa.int64()), "bucket": pa.array([row[1] for row in rows], pa.int32()),
+                         "data": pa.array(data, pa.binary()), "places": pa.array(places, pa.binary()),
                          "figures": pa.array([figures if i == 0 else None for i in range(len(data))], pa.list_(pa.int64()))})
 
-    return asked.groupBy("bucket").applyInArrow(run, f"{_ASKED}, figures array<long>")
+    return asked.groupBy("bucket").applyInArrow(run, f"{_ASKED}, places binary, figures array<long>")
 
 
 class Gathering:
@@ -337,6 +356,7 @@ class Gathering:
         self.spark: SparkSession = docs.sparkSession
         self.names: list[str] = []
         self.told: dict[str, DataFrame] = {}
+        self.places: dict[str, DataFrame] = {}
         self.count = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.units = self._laid_out(_units(docs).repartition(self.count, "unit"), "units")
         self.sizes = self.units.agg(F.sum("n_words"), F.sum("n_pairs")).first()
@@ -358,13 +378,14 @@ class Gathering:
         listed = F.sort_array(F.collect_list(F.struct("bucket", "data")))["data"]
         self.told[name] = self._laid_out(rows.repartition(self.count, "unit").groupBy("unit").agg(listed.alias(name)), name)
 
-    def ask(self, name: str, asked: DataFrame, tell_mine: bool = False) -> list[int]:
-        """Send keys to their buckets and keep what comes back; the figures of all keys."""
+    def ask(self, name: str, asked: DataFrame, least: int = 0, tell_mine: bool = False) -> list[int]:
+        """Send keys to their buckets and keep what comes back, and the places; the figures of all keys."""
         path = run_folder(self.spark, name)
-        answers = _answered(asked, tell_mine)
+        answers = _answered(asked, least, tell_mine)
         answers.write.parquet(path)
         answers = self.spark.read.schema(answers.schema).parquet(path)
-        self.keep(name, answers.where("unit >= 0").select("unit", "bucket", "data"))
+        self.keep(name, answers.select("unit", "bucket", "data"))
+        self.places[name] = materialize(answers.select("unit", "bucket", F.col("places").alias("data")), "places")
         row = answers.agg(*(F.sum(F.col("figures")[i]) for i in range(4))).first()
         discard(path)
         return [value or 0 for value in row]
@@ -375,7 +396,7 @@ class Gathering:
     def each(self, names: list[str], work: Callable[..., Iterator[pa.RecordBatch]], schema: T.StructType | str, with_texts: bool = False) -> DataFrame:
         """``work`` on every unit, told what stands under the names: with its number, or with its ids where it reads its texts."""
         own = ["unit", "words", "links", *(["ids", "texts"] if with_texts else [])]
-        rows = reduce(lambda left, name: left.join(self.told[name], "unit", "left"), names, self.units.select(*own))
+        rows = reduce(lambda left, name: left.join(self.told[name], "unit"), names, self.units.select(*own))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -434,7 +455,7 @@ def _scored(gathering: Gathering, id_type: T.DataType, sweeps: int, burn_in: int
         yield from _rows(unit, _bucketed(it.key[it.order], pairs, total=it.times[it.order]))
 
     tokens, types, *_ = gathering.ask("word_counts", gathering.each([], ask_words, _ASKED))
-    figures = gathering.ask("pair_counts", gathering.each([], ask_pairs, _ASKED), tell_mine=True)
+    figures = gathering.ask("pair_counts", gathering.each([], ask_pairs, _ASKED), least=2, tell_mine=True)
     used = list(range(min(burn_in + 1, sweeps), sweeps + 1))
     settings = _sampled(gathering, Settings(tokens, types, 0.5, _discount(figures)), figures[1] - figures[2], words, pairs, sweeps, used)
 
@@ -444,10 +465,9 @@ def _scored(gathering: Gathering, id_type: T.DataType, sweeps: int, burn_in: int
         customers[it.start] = word[it.end]
         known, full = word > 0, customers[it.first]
         seats = np.minimum(c, 1) * len(used)
-        if it.told["seats"]:
-            listed = seats[it.order]
-            listed[c[it.order] > 1] = it.answer("seats")["total"]
-            seats = it.by_pair(listed)
+        listed = seats[it.order]
+        listed[c[it.order] > 1] = it.answer("seats")["seen"]
+        seats = it.by_pair(listed)
         chance = np.zeros(len(c))
         for sweep in used:
             below, above = (samples[name] + samples.get(f"{name}{sweep}", 0) for name in ("below", "above"))
@@ -537,6 +557,11 @@ def _started(bucket: int, rows: list[tuple[int, bytes]]) -> Iterator[tuple[int,
             at = np.searchsorted(distinct, unpack_keys(part["keys"]))
             yield unit, bucket, pack(**{name: narrow(sums[name][at]) for name in ("below", "above")})
         yield bucket, LEDGER, pack(keys=pack_keys(keys), **{f"{name}0": narrow(own[name]) for name in ("below", "above")})
+    once = {name: sums[name].copy() for name in ("below", "above")}
+    if ours:
+        for name, values in once.items():
+            values[np.searchsorted(distinct, keys)] -= own[name]
+    yield bucket, WORDS, pack(keys=pack_keys(distinct), **{name: narrow(values) for name, values in once.items()})
     yield bucket, FIGURES, pack(figures=np.array(figures))
 
 
@@ -554,7 +579,7 @@ def _added(bucket: int, rows: list[tuple[int, bytes]], sweep: int) -> Iterator[t
 
 def _sampled(gathering: Gathering, settings: Settings, frequent: int, words: int, pairs: int, sweeps: int, used: list[int]) -> Settings:
     """Run the sweeps over the pairs seen more than once, and tell the units of those that are used."""
-    spark, grid, paths = gathering.spark, max(1, int(np.ceil(np.sqrt(frequent / max(BUCKET_KEYS // 8, 1))))), []
+    spark, grid, paths = gathering.spark, max(1, int(np.ceil(np.sqrt(frequent / max(BUCKET_KEYS // 4, 1))))), []
 
     def written(label: str, rows: DataFrame) -> tuple[DataFrame, str]:
         path = run_folder(spark, label)
@@ -579,20 +604,16 @@ def _sampled(gathering: Gathering, settings: Settings, frequent: int, words: int
             known, place = np.unique(np.concatenate([it.first[some], it.second[some]]), return_inverse=True)
             yield from _rows(-1 - int(cell[low]), [(PAIRS, Cell.packed(it.words[known], place[:len(some)], place[len(some):], c[some]))])
 
-    def ask_seats(unit: int, it: Unit):
-        asked = it.order[it.counts()[0][it.order] > 1]
-        yield from _rows(unit, _bucketed(it.key[asked], pairs, total=np.zeros(len(asked), np.int64)))
-
     handed, handed_path = written("handed", gathering.each(["pair_counts"], hand_on, _ASKED))
-    by_words = handed.where("unit >= 0")
     cells, _ = written("cells", _grouped(handed.where("unit < 0"), "unit", grid * grid, lambda cell, rows: _gathered(cell, rows, words)))
     static = cells.where(f"bucket = {PAIRS}")
-    answers, path = written("started", _grouped(by_words.unionByName(cells.where("bucket >= 0")), "bucket", words, _started))
+    answers, path = written("started", _grouped(handed.where("unit >= 0").unionByName(cells.where("bucket >= 0")), "bucket", words, _started))
     first = figures(answers)
     once, twice, rest = int(first[1]), int(first[2]), int(first[0] - first[3])
     settings = Settings(settings.tokens, settings.types, _discount([0, 0, once, twice]), settings.discount, (int(first[0]),))
     ones, _ = written("ones", answers.where(f"unit = {ONES}"))
-    ledgers = [written("ledger", answers.where(f"bucket = {LEDGER}"))] if used[0] == 0 else []
+    ledgers = [written("ledger", answers.where(f"bucket = {WORDS}{f' OR bucket = {LEDGER}' if used[0] == 0 else ''}"))]
+    discard(handed_path)
     seats = None
     for sweep in range(1, sweeps + 1):
         def seat(cell: int, rows: list[tuple[int, bytes]], settings: Settings = settings, sweep: int = sweep):
@@ -621,28 +642,33 @@ def _sampled(gathering: Gathering, settings: Settings, frequent: int, words: int
         it = Cell(rows[0][1])
         total = unpack(rows[1][1])["seen"] if len(rows) > 1 else np.ones(len(it.c), np.int64)
         order = np.argsort(it.key)
-        for bucket, data in _bucketed(it.key[order], pairs, total=total[order]):
+        for bucket, data in _bucketed(it.key[order], pairs, seen=total[order]):
             yield cell, bucket, data
 
-    def samples(bucket: int, rows: list[tuple[int, bytes]]):
-        parts = [unpack(data) for _, data in rows]
-        distinct, place, sizes, sums = _summed(parts)
-        zero = np.zeros(len(distinct), np.int64)
+    def tell(bucket: int, rows: list[tuple[int, bytes]], values_of: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]]):
+        """Values of the bucket's keys, to each unit at its places; nothing to those with none."""
+        told = values_of(_summed([unpack(data) for unit, data in rows if unit < 0])[3]) if rows[0][0] < 0 else {"seen": np.zeros(0, np.int64)}
+        for unit, data in rows:
+            if unit >= 0:
+                at = np.cumsum(unpack(data)["gaps"], dtype=np.int64)
+                yield unit, bucket, pack(**{name: narrow(values[at]) for name, values in told.items()})
+
+    def samples(sums: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        zero = np.zeros(len(sums["below"]), np.int64)
         told = {name: sums[name] + sums.get(f"{name}{used[0]}", zero) for name in ("below", "above")}
         # Few words differ from sweep to sweep, so differences take next to no room.
-        told |= {f"{name}{sweep}": sums.get(f"{name}{sweep}", zero) - sums.get(f"{name}{used[0]}", zero)
-                 for sweep in used[1:] for name in ("below", "above")}
-        for (unit, _), low, high in zip(rows, np.cumsum(sizes) - sizes, np.cumsum(sizes)):
-            if unit >= 0:
-                yield unit, bucket, pack(**{name: narrow(values[place[low:high]]) for name, values in told.items()})
+        return told | {f"{name}{sweep}": sums.get(f"{name}{sweep}", zero) - sums.get(f"{name}{used[0]}", zero)
+                       for sweep in used[1:] for name in ("below", "above")}
 
     state = static if seats is None else static.unionByName(seats.where(f"bucket = {SEATS}"))
-    gathering.ask("seats", gathering.each(["pair_counts"], ask_seats, _ASKED).unionByName(_grouped(state, "unit", grid * grid, seen)))
-    last = {handed_path, *(at for _, at in ledgers)}
+    gathering.keep("seats", _grouped(gathering.places["pair_counts"].unionByName(_grouped(state, "unit", grid * grid, seen)), "bucket", pairs,
+                                     lambda bucket, rows: tell(bucket, rows, lambda sums: sums)))
+    last = {at for _, at in ledgers}
     for old in [at for at in paths if at not in last]:
         discard(old)
     ledger = reduce(DataFrame.unionByName, [df.select(F.lit(-1).cast("long").alias("unit"), F.col("unit").cast("int").alias("bucket"), "data") for df, _ in ledgers])
-    gathering.keep("samples", _grouped(by_words.unionByName(ledger), "bucket", words, samples))
+    gathering.keep("samples", _grouped(gathering.places["word_counts"].unionByName(ledger), "bucket", words,
+                                       lambda bucket, rows: tell(bucket, rows, samples)))
     for old in last:
         discard(old)
     return settings
