@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.sets import row_counts
+from ledgerlark.operators.sets import dealt_row_counts
+
+
+# Rows that a task counts at once, and tasks that share the copies of one row.
+ROWS_A_TASK = 500_000
+SLICES = 64
 
 
 def explode_lists(df: DataFrame, lists: dict[str, str], separator: str = ",") -> DataFrame:
@@ -50,8 +55,12 @@ def dimension(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def lossless(original: DataFrame, rejoined: DataFrame) -> DataFrame:
-    """Row counts of both sides and the distinct rows whose number differs."""
-    counts = row_counts(original, rejoined.select(original.columns))
+    """Row counts of both sides and the distinct rows whose number differs.
+
+    Rows are dealt out to tasks of about ``ROWS_A_TASK`` before they are counted, so what a task
+    holds does not grow with the table; a row copied very often is dealt over ``SLICES`` of them.
+    """
+    counts = dealt_row_counts(original, rejoined.select(original.columns), ROWS_A_TASK, SLICES)
     return counts.agg(
         F.sum("left_rows").alias("original_rows"), F.sum("right_rows").alias("rejoined_rows"),
         F.count_if(F.col("left_rows") != F.col("right_rows")).alias("differing_rows"),

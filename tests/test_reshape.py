@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import joins, reshape
-from ledgerlark.operators.sets import row_differences
+from ledgerlark.operators.sets import dealt_row_counts, row_counts, row_differences
 
 
 def test_parallel_lists(spark):
@@ -69,6 +69,25 @@ def test_differences_count_copies(spark):
     assert got == {(1, 3, 1), (3, 0, 1)}
 
 
+@pytest.mark.parametrize("rows_a_task, slices", [(10, 3), (10_000, 64)])
+def test_dealt_counts_are_the_same(spark, rows_a_task, slices):
+    left = spark.createDataFrame([(1, "a")] * 300 + [(i, None) for i in range(200)] + [(None, "b")], "k int, v string")
+    right = spark.createDataFrame([(i, None) for i in range(150, 250)] + [(1, "a")] * 299 + [(None, "b")] * 2, "k int, v string")
+    dealt = dealt_row_counts(left, right, rows_a_task, slices)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, row_counts(left, right).collect()))
+    assert sum(r.left_rows for r in dealt.collect()) == 501
+    if rows_a_task == 10:
+        assert dealt.rdd.getNumPartitions() > 50
+
+
+def test_lossless_deals_rows_by_their_number(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(reshape, "dealt_row_counts", lambda *args: asked.append(args[2:]) or dealt_row_counts(*args))
+    rows = spark.range(30).select("id", (F.col("id") % 3).alias("v"))
+    assert tuple(reshape.lossless(rows, rows.where("id < 20")).first()) == (30, 20, 10)
+    assert asked == [(reshape.ROWS_A_TASK, reshape.SLICES)]
+
+
 def test_pairs_equal_brute_force(spark):
     data = [(g, v) for g in "abc" for v in ([1, 1, 4, 9, 9, 9] if g != "c" else [5])]
     got = {
