@@ -40,10 +40,14 @@ def write_hashed(
     bloom filter on the first sort column lets a lookup skip the row groups that
     do not hold the value.
     """
+    return write_sorted(df.repartition(*spread_by), order, path)
+
+
+def write_sorted(df: DataFrame, order: list[str], path: str) -> DataFrame:
+    """A copy of each partition sorted by itself, read back, with the same bloom filters."""
     spark = df.sparkSession
     (
-        df.repartition(*spread_by)
-        .sortWithinPartitions(*order)
+        df.sortWithinPartitions(*order)
         .write.option(f"parquet.bloom.filter.enabled#{order[0]}", "true")
         .parquet(path)
     )

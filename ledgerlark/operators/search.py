@@ -8,20 +8,24 @@ from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from ledgerlark.functions.columns import grams, query_grams, words
-from ledgerlark.operators.layout import look_up, write_hashed, write_looked_up
+from ledgerlark.operators.layout import look_up, write_looked_up, write_sorted
 from ledgerlark.sources.scratch import materialize
 
 # Ids per posting block: bounds the list any one task holds for a common word.
 BLOCK = 1024
 
+# Texts whose runs a task sorts.
+TEXTS_A_TASK = 10_000
 
-def postings(df: DataFrame, key: str, terms: Column, name: str) -> DataFrame:
+
+def postings(df: DataFrame, key: str, terms: Column, name: str, tasks: int | None = None) -> DataFrame:
     """One row per text and distinct term.
 
     Texts are dealt out by key before their terms are taken, because a term list costs far
     more than reading its text: files that few tasks read would otherwise be few tasks' work.
     """
-    return df.repartition(key).select(key, F.explode(F.array_distinct(terms)).alias(name))
+    dealt = df.repartition(tasks, key) if tasks else df.repartition(key)
+    return dealt.select(key, F.explode(F.array_distinct(terms)).alias(name))
 
 
 def inverted_index(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -41,14 +45,14 @@ def word_search(index: DataFrame, key: str, word: str) -> DataFrame:
 
 
 def gram_index(df: DataFrame, key: str, text: str, path: str, size: int = 3) -> DataFrame:
-    """A table of (gram, key) pairs, sorted by gram, written to ``path`` once for many lookups.
+    """A table of (gram, key) pairs, each file sorted by gram, written to ``path`` once for many lookups.
 
-    The pairs of one gram are spread over ranges of the key, so a gram found in
-    every text is written by many tasks.
+    A task writes the pairs of its own texts: there are hundreds to a text, so they cost far
+    more to move than the texts. A gram found in every text is written by all tasks.
     """
-    pairs = postings(df.select(key, text), key, grams(text, size), "gram")
-    span = F.floor(F.col(key) / (BLOCK * BLOCK))
-    return write_hashed(pairs, ["gram", span], ["gram", key], path)
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // TEXTS_A_TASK))
+    pairs = postings(df.select(key, text), key, grams(text, size), "gram", tasks)
+    return write_sorted(pairs, ["gram", key], path)
 
 
 def substring_search(

@@ -153,3 +153,14 @@ def test_a_frequent_prefix_is_bounded_before_the_shuffle(spark):
     rows = spark.range(0, 30_000, 1, 8).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("n"), "id")
     search.write_completions(rows, "n", F.max("id"), 5, 1, 4, path)
     assert [r.popularity for r in search.completions(spark, "p", 1, 4, path).orderBy("place").collect()] == [29999, 29998, 29997, 29996, 29995]
+
+
+def test_pairs_stay_where_their_text_is(spark, monkeypatch):
+    monkeypatch.setattr(search, "TEXTS_A_TASK", 20)
+    rows = spark.createDataFrame([(i, f"the station {i} of many words") for i in range(200)], "id bigint, text string")
+    index = search.gram_index(rows, "id", "text", run_folder(spark, "test-local"))
+    files = index.withColumn("file", F.col("_metadata.file_path"))
+    assert files.select("file").distinct().count() > 4
+    assert files.select("id", "file").distinct().count() == 200
+    expected = rows.select("id", F.explode(grams("text")).alias("gram")).select("gram", "id")
+    assert sorted(index.select("gram", "id").collect()) == sorted(expected.collect())
