@@ -7,7 +7,8 @@ parent's own base spreads over endlessly many words. So only the seating below i
 
 Seating is sampled by Gibbs. In a sweep all customers of a dish in a restaurant get up and
 sit down anew, given the tables of all others after the sweep before. How many tables they
-take is drawn from the exact distribution for up to ``EXACT`` customers; for more, they come
+take is drawn from the exact distribution for up to ``EXACT`` customers (its weights are
+products for up to ``FEW`` of them, sums of logarithms above); for more, they come
 in one after another (in lots of an eighth of those who already sit), mindful of those still
 to come, ``TRIALS`` times over, and one of the seatings is drawn by weights that make up for
 coming in order. The first sweep starts from one table per dish. Predictive probabilities of
@@ -16,8 +17,10 @@ did not see. Draws depend on nothing but the dish, its restaurant and the sweep,
 needs a seating can draw it, a task that runs again draws the same, and nothing depends on how
 the rows are dealt out.
 
-The texts are read once into units, runs of whole texts of a bounded size. A unit asks for
-the counts of its distinct words and pairs of words: the sorted hashes go to buckets of hash
+The texts are read once into units, runs of whole texts of a bounded size, which keep their
+words' hashes and their tokens; the pairs of words are formed anew whenever they are needed,
+because they would take as much room again. A unit asks for the counts of its distinct words
+and pairs of words: the sorted hashes go to buckets of hash
 ranges, each key once per unit, are added up there, and the sums go back to the unit that
 asked. A frequent word or pair so has a row per unit at most, and a bucket a bounded number of
 keys. Words are told apart by one 64-bit hash.
@@ -26,8 +29,8 @@ A pair seen once has one table for good, so only pairs seen more often are seate
 units that know such a pair, the one that a hash chooses hands it to a cell of a grid, by the
 hash ranges of its first and of its second word. A sweep reads the cells alone: each pair is
 seated once, a cell sends the tables of its words to the words' buckets, and the sums go back
-to the cells. The units are told at the end: tables of each word after every sweep that counts,
-and of each pair the sum over these sweeps.
+to the cells. The units are told at the end: tables of each word after the first sweep that
+counts, and after the others those that differ from it, and of each pair the sum over these sweeps.
 
 Defined cases: a null or empty text is its end alone; a null id counts as an empty text and
 so is held out; repeated rows are counted and scored each; a text longer than a unit is a
@@ -38,9 +41,9 @@ no rows; further columns are ignored.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, replace
-from functools import lru_cache, reduce
+from functools import cached_property, lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,12 +53,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlark.llm.blocks import LOWER, SPACES, Block, Prefixes, blocks, mix, rows_of, word_bounds
-from ledgerlark.llm.packing import narrow, pack, pack_keys, unpack, unpack_keys
+from ledgerlark.llm.packing import grow, pack_keys, shrink, unpack_keys
 from ledgerlark.sources.scratch import discard, materialize, release, run_folder
 
 SWEEPS = 20
 BURN_IN = 10
 EXACT = 512
+FEW = 32
 TRIALS = 2
 STRENGTH = 1.0
 FOLDS = 10
@@ -162,6 +166,13 @@ def tables(c: np.ndarray, base: np.ndarray, slope: np.ndarray, discount: float,
         rows = order[low:high]
         if not len(rows):
             continue
+        if count <= FEW:
+            # Weights as multiples of that of one table; so few cannot leave the range of a double.
+            steps = np.exp(np.diff(log_ways[count, 1:count + 1]))[:, None]
+            total = 1 + np.cumsum(np.cumprod((base[rows] + slope[rows] * np.arange(1, count)[:, None]) * steps, axis=0), axis=0)
+            drawn = uniform(key[rows], sweep, 0) * total[-1]
+            out[rows] = 1 + (drawn > 1) + (total[:-1] < drawn).sum(axis=0)
+            continue
         j = np.arange(count)
         weight = np.cumsum(np.log(base[rows, None] + slope[rows, None] * j), axis=1) + log_ways[count, 1:count + 1]
         total = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
@@ -193,19 +204,44 @@ def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.bincount(row, minlength=block.rows) + 1
 
 
-def _distinct(tokens: np.ndarray, sizes: np.ndarray, words: int, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes (first word * words + second word) of the distinct pairs, and the pair of each token."""
+def _ascending(keys: np.ndarray) -> np.ndarray:
+    """The stable order of unsigned 64-bit keys, by sorting values, which is faster than sorting places."""
+    bits = np.uint64(max(len(keys).bit_length(), 1))
+    mark = (np.uint64(1) << bits) - np.uint64(1)
+    place = np.arange(len(keys), dtype=np.uint64)
+    if len(keys) and int(keys.max()) >> (64 - int(bits)) == 0:
+        return (np.sort((keys << bits) | place) & mark).astype(np.int64)
+    order = (np.sort((keys & ~mark) | place) & mark).astype(np.int64)
+    falls = keys[order]
+    # Keys that differ in their lowest bits alone may be out of order.
+    return order if (falls[1:] >= falls[:-1]).all() else np.argsort(keys, kind="stable")
+
+
+def _merged(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the place of each key among them, the order of the keys, and where each distinct one starts in it."""
+    order = _ascending(keys)
+    falls = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = falls[1:] != falls[:-1]
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    start = np.flatnonzero(fresh)
+    return falls[start], place, order, start
+
+
+def _codes(tokens: np.ndarray, sizes: np.ndarray, words: int, start: int) -> np.ndarray:
+    """Code (first word * words + second word) of the pair that each token ends."""
     before = np.empty(len(tokens), np.int64)
     before[1:] = tokens[:-1]
     before[np.cumsum(sizes) - sizes] = start
-    return np.unique(before * words + tokens, return_inverse=True)
+    return (before * words + tokens).view(np.uint64)
 
 
 def _units(docs: DataFrame) -> DataFrame:
     """A row per unit; docs has an id, whether it is held out, and a text."""
     schema = T.StructType([
         T.StructField("unit", T.LongType()), T.StructField("ids", T.ArrayType(docs.schema[0].dataType)),
-        *(T.StructField(name, T.BinaryType()) for name in ("words", "texts", "links")),
+        *(T.StructField(name, T.BinaryType()) for name in ("words", "texts")),
         T.StructField("n_words", T.LongType()), T.StructField("n_pairs", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,17 +250,13 @@ def _units(docs: DataFrame) -> DataFrame:
             for block in blocks(batch.column(2), UNIT_BYTES):
                 part = batch.slice(block.first, block.rows)
                 keys, sizes = _hashed(part.column(2))
-                words, place = np.unique(np.append(keys, START), return_inverse=True)
-                codes, pair = _distinct(place[:-1], sizes, len(words), place[-1])
-                first, second = np.divmod(codes, len(words))
-                held = part.column(1).to_numpy(zero_copy_only=False)
-                times = np.bincount(pair[np.repeat(~held, sizes)], minlength=len(codes))
-                packed = [pack(keys=pack_keys(words)), pack(tokens=narrow(place[:-1]), sizes=narrow(sizes), held=held),
-                          pack(degree=narrow(np.bincount(first, minlength=len(words))), second=narrow(second), times=narrow(times))]
+                words, place, *_ = _merged(np.append(keys, START))
+                codes = np.sort(_codes(place[:-1], sizes, len(words), place[-1]))
+                packed = [shrink(keys=pack_keys(words)), shrink(tokens=place[:-1], sizes=sizes, held=part.column(1).to_numpy(zero_copy_only=False))]
                 ids = pa.ListArray.from_arrays(pa.array([0, block.rows], pa.int32()), part.column(0))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([unit]), ids, *(pa.array([p], pa.binary()) for p in packed), pa.array([len(words)]), pa.array([len(second)])],
-                    names=schema.names)
+                    [pa.array([unit]), ids, *(pa.array([p], pa.binary()) for p in packed), pa.array([len(words)]),
+                     pa.array([1 + int((codes[1:] != codes[:-1]).sum())])], names=schema.names)
                 unit += 1
 
     return docs.mapInArrow(run, schema)
@@ -242,29 +274,44 @@ class Settings:
 
 
 class Unit:
-    """A unit's words and distinct pairs of words, with what it was told so far."""
+    """A unit's words, the tokens of its texts, and what it was told so far; its distinct pairs of words follow from the tokens."""
 
-    def __init__(self, words: bytes, links: bytes, told: dict[str, list[bytes]]):
-        self.words, pairs = unpack_keys(unpack(words)["keys"]), unpack(links)
-        self.first = np.repeat(np.arange(len(self.words)), pairs["degree"])
-        self.second, self.times = pairs["second"].astype(np.int64), pairs["times"]
-        self.key = mix(mix(self.words)[self.first] + self.words[self.second])
-        self.order = np.argsort(self.key)
+    def __init__(self, words: bytes, texts: bytes, told: dict[str, list[bytes]]):
+        self.words, raw = unpack_keys(grow(words)["keys"]), grow(texts)
+        self.tokens, self.sizes, self.held = raw["tokens"], raw["sizes"], raw["held"]
+        self.train = np.repeat(~self.held, self.sizes)
         self.start, self.end = (int(np.searchsorted(self.words, mark)) for mark in (START, END))
         self.told = told
 
-    def read(self, texts: bytes) -> Unit:
-        """Take in the texts' tokens and the pair that each ends."""
-        raw = unpack(texts)
-        self.tokens, self.sizes, self.held = raw["tokens"].astype(np.int64), raw["sizes"], raw["held"]
-        self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.train = ~self.held[self.text]
-        _, self.pair = _distinct(self.tokens, self.sizes, len(self.words), self.start)
-        return self
+    @cached_property
+    def _pairs(self) -> tuple[np.ndarray, ...]:
+        codes, pair, *_ = _merged(_codes(self.tokens, self.sizes, len(self.words), self.start))
+        return *np.divmod(codes.view(np.int64), len(self.words)), pair
+
+    @property
+    def first(self) -> np.ndarray:
+        return self._pairs[0]
+
+    @property
+    def second(self) -> np.ndarray:
+        return self._pairs[1]
+
+    @property
+    def pair(self) -> np.ndarray:
+        """The pair that each token ends."""
+        return self._pairs[2]
+
+    @cached_property
+    def key(self) -> np.ndarray:
+        return mix(mix(self.words)[self.first] + self.words[self.second])
+
+    @cached_property
+    def order(self) -> np.ndarray:
+        return _ascending(self.key)
 
     def answer(self, name: str) -> dict[str, np.ndarray]:
         """The answers of all buckets, one after the other: as the keys were, in ascending order."""
-        parts = [unpack(data) for data in self.told[name]]
+        parts = [grow(data) for data in self.told[name]]
         return {field: np.concatenate([part[field] for part in parts]) for field in parts[0]}
 
     def by_pair(self, values: np.ndarray) -> np.ndarray:
@@ -276,7 +323,7 @@ class Unit:
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of the pairs, and the pairs that this unit hands on."""
         pair = self.answer("pair_counts")
-        return self.by_pair(pair["total"].astype(np.int64)), self.by_pair(pair["mine"])
+        return self.by_pair(pair["total"]), self.by_pair(pair["mine"])
 
     def parent(self, settings: Settings, known: np.ndarray, customers: np.ndarray, sweep: int) -> np.ndarray:
         """The shared parent's probability of each word; unknown words are one class."""
@@ -292,20 +339,7 @@ def _bucketed(keys: np.ndarray, count: int, **values: np.ndarray) -> Iterator[tu
     edges = np.searchsorted(bucket, np.arange(count + 1))
     for i in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
         cut = slice(edges[i], edges[i + 1])
-        yield i, pack(keys=pack_keys(keys[cut]), **{name: narrow(value[cut]) for name, value in values.items()})
-
-
-def _merged(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the place of each key among them, the order of the keys, and where each distinct one starts in it."""
-    # Stable, because that makes use of the runs that ascend.
-    order = np.argsort(keys, kind="stable")
-    falls = keys[order]
-    fresh = np.ones(len(keys), bool)
-    fresh[1:] = falls[1:] != falls[:-1]
-    place = np.empty(len(keys), np.int64)
-    place[order] = np.cumsum(fresh) - 1
-    start = np.flatnonzero(fresh)
-    return falls[start], place, order, start
+        yield i, shrink(keys=pack_keys(keys[cut]), **{name: value[cut] for name, value in values.items()})
 
 
 def _summed(parts: list[dict[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[str, np.ndarray]]:
@@ -326,7 +360,7 @@ def _answered(asked: DataFrame, least: int, tell_mine: bool) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(zip(table.column(0).to_pylist(), table.column(1).to_pylist(), table.column(2).to_pylist()))
-        parts = [unpack(data) for _, _, data in rows]
+        parts = [grow(data) for _, _, data in rows]
         each = [unpack_keys(part["keys"]) for part in parts]
         ends = np.cumsum([len(keys) for keys in each])
         distinct, place, order, start = _merged(np.concatenate(each))
@@ -340,8 +374,8 @@ def _answered(asked: DataFrame, least: int, tell_mine: bool) -> DataFrame:
         data, places = [], []
         for low, high in zip((0, *ends), ends):
             at = place[low:high]
-            data.append(pack(total=narrow(total[at]), **({"mine": mine[low:high]} if tell_mine else {})))
-            places.append(pack(gaps=narrow(np.diff(rank[at[wanted[at]]], prepend=0))))
+            data.append(shrink(total=total[at], **({"mine": mine[low:high]} if tell_mine else {})))
+            places.append(shrink(gaps=np.diff(rank[at[wanted[at]]], prepend=0)))
         return pa.table({"unit": pa.array([row[0] for row in rows], pa.int64()), "bucket": pa.array([row[1] for row in rows], pa.int32()),
                          "data": pa.array(data, pa.binary()), "places": pa.array(places, pa.binary()),
                          "figures": pa.array([figures if i == 0 else None for i in range(len(data))], pa.list_(pa.int64()))})
@@ -357,6 +391,7 @@ class Gathering:
         self.names: list[str] = []
         self.told: dict[str, DataFrame] = {}
         self.places: dict[str, DataFrame] = {}
+        self.paths: dict[str, str] = {}
         self.count = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.units = self._laid_out(_units(docs).repartition(self.count, "unit"), "units")
         self.sizes = self.units.agg(F.sum("n_words"), F.sum("n_pairs")).first()
@@ -385,37 +420,40 @@ class Gathering:
         answers.write.parquet(path)
         answers = self.spark.read.schema(answers.schema).parquet(path)
         self.keep(name, answers.select("unit", "bucket", "data"))
-        self.places[name] = materialize(answers.select("unit", "bucket", F.col("places").alias("data")), "places")
+        self.paths[name] = run_folder(self.spark, "places")
+        answers.select("unit", "bucket", F.col("places").alias("data")).write.parquet(self.paths[name])
+        self.places[name] = self.spark.read.schema(_ASKED).parquet(self.paths[name])
         row = answers.agg(*(F.sum(F.col("figures")[i]) for i in range(4))).first()
         discard(path)
         return [value or 0 for value in row]
 
+    def forget(self, name: str) -> None:
+        """Delete the places, once all units were told by them."""
+        discard(self.paths[name])
+
     def buckets(self, keys: str) -> int:
         return -(-self.sizes[f"sum({keys})"] // BUCKET_KEYS) * 4
 
-    def each(self, names: list[str], work: Callable[..., Iterator[pa.RecordBatch]], schema: T.StructType | str, with_texts: bool = False) -> DataFrame:
-        """``work`` on every unit, told what stands under the names: with its number, or with its ids where it reads its texts."""
-        own = ["unit", "words", "links", *(["ids", "texts"] if with_texts else [])]
+    def each(self, names: list[str], work: Callable[..., Iterator[pa.RecordBatch]], schema: T.StructType | str, with_ids: bool = False) -> DataFrame:
+        """``work`` on every unit, told what stands under the names: with its number, or with the ids of its texts."""
+        own = ["unit", "words", "texts", *(["ids"] if with_ids else [])]
         rows = reduce(lambda left, name: left.join(self.told[name], "unit"), names, self.units.select(*own))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
                     row = dict(zip(batch.schema.names, (column[i] for column in batch.columns)))
-                    unit = Unit(row["words"].as_py(), row["links"].as_py(), {name: row[name].as_py() for name in names})
-                    if with_texts:
-                        unit.read(row["texts"].as_py())
-                        yield from work(row["ids"].values, unit)
-                    else:
-                        yield from work(row["unit"].as_py(), unit)
+                    unit = Unit(row["words"].as_py(), row["texts"].as_py(), {name: row[name].as_py() for name in names})
+                    yield from work(row["ids"].values if with_ids else row["unit"].as_py(), unit)
 
         return rows.select(*own, *names).mapInArrow(run, schema)
 
 
-def _rows(unit: int, parts: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-    for bucket, data in parts:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([unit]), pa.array([bucket], pa.int32()), pa.array([data], pa.binary())], names=["unit", "bucket", "data"])
+def _rows(parts: Iterable[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    """What goes from units to buckets, or to cells, in one batch."""
+    columns = [*zip(*parts)] or [[], [], []]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(columns, (pa.int64(), pa.int32(), pa.binary()))], names=["unit", "bucket", "data"])
 
 
 def _discount(figures: list[int]) -> float:
@@ -449,10 +487,12 @@ def _scored(gathering: Gathering, id_type: T.DataType, sweeps: int, burn_in: int
     words, pairs = gathering.buckets("n_words"), gathering.buckets("n_pairs")
 
     def ask_words(unit: int, it: Unit):
-        yield from _rows(unit, _bucketed(it.words, words, total=np.bincount(it.second, weights=it.times, minlength=len(it.words)).astype(np.int64)))
+        total = np.bincount(it.tokens[it.train], minlength=len(it.words))
+        yield _rows((unit, *part) for part in _bucketed(it.words, words, total=total))
 
     def ask_pairs(unit: int, it: Unit):
-        yield from _rows(unit, _bucketed(it.key[it.order], pairs, total=it.times[it.order]))
+        total = np.bincount(it.pair[it.train], minlength=len(it.key))
+        yield _rows((unit, *part) for part in _bucketed(it.key[it.order], pairs, total=total[it.order]))
 
     tokens, types, *_ = gathering.ask("word_counts", gathering.each([], ask_words, _ASKED))
     figures = gathering.ask("pair_counts", gathering.each([], ask_pairs, _ASKED), least=2, tell_mine=True)
@@ -460,47 +500,55 @@ def _scored(gathering: Gathering, id_type: T.DataType, sweeps: int, burn_in: int
     settings = _sampled(gathering, Settings(tokens, types, 0.5, _discount(figures)), figures[1] - figures[2], words, pairs, sweeps, used)
 
     def finish(ids: pa.Array, it: Unit):
-        word, (c, _), samples = it.answer("word_counts")["total"].astype(np.int64), it.counts(), it.answer("samples")
+        word, (c, _), samples = it.answer("word_counts")["total"], it.counts(), it.answer("samples")
         customers = word.copy()
         customers[it.start] = word[it.end]
-        known, full = word > 0, customers[it.first]
+        known, full, degree = word > 0, customers > 0, np.bincount(it.first, minlength=len(word))
         seats = np.minimum(c, 1) * len(used)
         listed = seats[it.order]
         listed[c[it.order] > 1] = it.answer("seats")["seen"]
         seats = it.by_pair(listed)
         chance = np.zeros(len(c))
         for sweep in used:
-            below, above = (samples[name] + samples.get(f"{name}{sweep}", 0) for name in ("below", "above"))
-            above = it.parent(settings, known, above, sweep)[it.second]
-            below = STRENGTH + settings.discount * below[it.first]
-            chance += np.where(full > 0, below * above / (STRENGTH + full), above)
-        chance += np.where(full > 0, (c * len(used) - settings.discount * seats) / (STRENGTH + full), 0)
+            below, above = (_at_sweep(samples, name, sweep) for name in ("below", "above"))
+            share = np.where(full, (STRENGTH + settings.discount * below) / (STRENGTH + customers), 1)
+            chance += np.repeat(share, degree) * it.parent(settings, known, above, sweep)[it.second]
+        chance += np.where(full[it.first], (c * len(used) - settings.discount * seats) / (STRENGTH + customers[it.first]), 0)
         log = np.log10(chance / len(used))[it.pair]
         base = np.log10((word + ADDED) / (settings.tokens + ADDED * (settings.types + 1)))[it.tokens]
         count = len(it.sizes)
+        text = np.repeat(np.arange(count), it.sizes)
         yield pa.RecordBatch.from_arrays(
             [ids, pa.array(it.held), pa.array(it.sizes, pa.int64()),
-             pa.array(np.bincount(it.text, weights=known[it.tokens], minlength=count).astype(np.int64)),
-             pa.array(np.full(count, settings.tokens)), pa.array(np.bincount(it.text, weights=base, minlength=count)),
-             pa.array(np.bincount(it.text, weights=log, minlength=count))], names=schema.names)
+             pa.array(np.bincount(text, weights=known[it.tokens], minlength=count).astype(np.int64)),
+             pa.array(np.full(count, settings.tokens)), pa.array(np.bincount(text, weights=base, minlength=count)),
+             pa.array(np.bincount(text, weights=log, minlength=count))], names=schema.names)
 
-    return gathering.each(["word_counts", "pair_counts", "samples", "seats"], finish, schema, with_texts=True)
+    return gathering.each(["word_counts", "pair_counts", "samples", "seats"], finish, schema, with_ids=True)
 
 
 # Sweeps -----------------------------------------------------------------------------------
 
+def _at_sweep(samples: dict[str, np.ndarray], name: str, sweep: int) -> np.ndarray:
+    """Tables of each word after a sweep, from those after the first that is used and what differs from them."""
+    values = samples[name].copy()
+    if f"{name}{sweep}" in samples:
+        values[samples[f"{name}_differs"]] += samples[f"{name}{sweep}"]
+    return values
+
+
 class Cell:
     """Pairs seen more than once, and the words they consist of."""
 
     def __init__(self, pairs: bytes):
-        raw = unpack(pairs)
+        raw = grow(pairs)
         self.words = unpack_keys(raw["keys"])
-        self.first, self.second, self.c = (raw[name].astype(np.int64) for name in ("first", "second", "times"))
+        self.first, self.second, self.c = (raw[name] for name in ("first", "second", "times"))
         self.key = mix(mix(self.words)[self.first] + self.words[self.second])
 
     @staticmethod
     def packed(words: np.ndarray, first: np.ndarray, second: np.ndarray, c: np.ndarray) -> bytes:
-        return pack(keys=pack_keys(words), first=narrow(first), second=narrow(second), times=narrow(c))
+        return shrink(keys=pack_keys(words), first=first, second=second, times=c)
 
     def sums(self, buckets: int, t: np.ndarray) -> Iterator[tuple[int, bytes]]:
         """Tables of each word, for the words' buckets."""
@@ -509,8 +557,8 @@ class Cell:
 
     def seated(self, settings: Settings, own: np.ndarray, told: list[bytes], sweep: int) -> np.ndarray:
         """Tables of each pair after a sweep, from the one before."""
-        parts = [unpack(data) for data in told]
-        below, above = (np.concatenate([part[name] for part in parts]).astype(np.int64) for name in ("below", "above"))
+        parts = [grow(data) for data in told]
+        below, above = (np.concatenate([part[name] for part in parts]) for name in ("below", "above"))
         others = below[self.first] - own
         chance = (np.maximum(above[self.second] - own, 1) - settings.parent) / (STRENGTH + settings.customers[sweep - 1])
         return tables(self.c, (STRENGTH + settings.discount * others) * chance, settings.discount * chance, settings.discount, self.key, sweep)
@@ -533,10 +581,13 @@ def _grouped(rows: DataFrame, column: str, count: int, work: Callable[[int, list
 def _gathered(cell: int, rows: list[tuple[int, bytes]], words: int) -> Iterator[tuple[int, int, bytes]]:
     """What units handed to a cell as one, and its first tables, one a pair."""
     parts = [Cell(data) for _, data in rows]
-    distinct, place = np.unique(np.concatenate([part.words for part in parts]), return_inverse=True)
+    distinct, place, *_ = _merged(np.concatenate([part.words for part in parts]))
     start = np.cumsum([0, *(len(part.words) for part in parts)])
     first, second = (np.concatenate([place[at + getattr(part, side)] for at, part in zip(start, parts)]) for side in ("first", "second"))
-    packed = Cell.packed(distinct, first, second, np.concatenate([part.c for part in parts]))
+    c = np.concatenate([part.c for part in parts])
+    # Those with many customers first, as they are seated, and so that no sweep has to sort them.
+    falling = np.argsort(-c, kind="stable")
+    packed = Cell.packed(distinct, first[falling], second[falling], c[falling])
     yield cell, PAIRS, packed
     for bucket, data in Cell(packed).sums(words, np.ones(len(first))):
         yield cell, bucket, data
@@ -544,37 +595,37 @@ def _gathered(cell: int, rows: list[tuple[int, bytes]], words: int) -> Iterator[
 
 def _started(bucket: int, rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
     """Tables of a bucket's words while each pair has one, and what pairs seen once add to the words of cells."""
-    distinct, _, _, sums = _summed([unpack(data) for _, data in rows])
+    distinct, _, _, sums = _summed([grow(data) for _, data in rows])
     above = sums["above"]
-    ours = [(unit, unpack(data)) for unit, data in rows if unit < 0]
+    ours = [(unit, grow(data)) for unit, data in rows if unit < 0]
     figures = [int(above.sum()), int((above == 1).sum()), int((above == 2).sum()), 0]
     if ours:
         keys, _, _, own = _summed([part for _, part in ours])
         at = np.searchsorted(distinct, keys)
         figures[3] = int(above[at].sum())
-        yield ONES, bucket, pack(keys=pack_keys(keys), **{name: narrow(sums[name][at] - own[name]) for name in ("below", "above")})
+        yield ONES, bucket, shrink(keys=pack_keys(keys), **{name: sums[name][at] - own[name] for name in ("below", "above")})
         for unit, part in ours:
             at = np.searchsorted(distinct, unpack_keys(part["keys"]))
-            yield unit, bucket, pack(**{name: narrow(sums[name][at]) for name in ("below", "above")})
-        yield bucket, LEDGER, pack(keys=pack_keys(keys), **{f"{name}0": narrow(own[name]) for name in ("below", "above")})
+            yield unit, bucket, shrink(**{name: sums[name][at] for name in ("below", "above")})
+        yield bucket, LEDGER, shrink(keys=pack_keys(keys), **{f"{name}0": own[name] for name in ("below", "above")})
     once = {name: sums[name].copy() for name in ("below", "above")}
     if ours:
         for name, values in once.items():
             values[np.searchsorted(distinct, keys)] -= own[name]
-    yield bucket, WORDS, pack(keys=pack_keys(distinct), **{name: narrow(values) for name, values in once.items()})
-    yield bucket, FIGURES, pack(figures=np.array(figures))
+    yield bucket, WORDS, shrink(keys=pack_keys(distinct), **once)
+    yield bucket, FIGURES, shrink(figures=np.array(figures))
 
 
 def _added(bucket: int, rows: list[tuple[int, bytes]], sweep: int) -> Iterator[tuple[int, int, bytes]]:
     """Tables of a bucket's words after a sweep, to the cells that asked, and those of the cells' pairs alone."""
-    parts = [unpack(data) for _, data in rows]
+    parts = [grow(data) for _, data in rows]
     distinct, place, sizes, sums = _summed(parts)
     # Rows are sorted, so what pairs seen once add comes first and knows every word.
     own = {name: sums[name] - parts[0][name] for name in ("below", "above")}
     for (unit, _), low, high in list(zip(rows, np.cumsum(sizes) - sizes, np.cumsum(sizes)))[1:]:
-        yield unit, bucket, pack(**{name: narrow(sums[name][place[low:high]]) for name in ("below", "above")})
-    yield bucket, LEDGER, pack(keys=pack_keys(distinct), **{f"{name}{sweep}": narrow(own[name]) for name in ("below", "above")})
-    yield bucket, FIGURES, pack(figures=np.array([int(sums["above"].sum())]))
+        yield unit, bucket, shrink(**{name: sums[name][place[low:high]] for name in ("below", "above")})
+    yield bucket, LEDGER, shrink(keys=pack_keys(distinct), **{f"{name}{sweep}": own[name] for name in ("below", "above")})
+    yield bucket, FIGURES, shrink(figures=np.array([int(sums["above"].sum())]))
 
 
 def _sampled(gathering: Gathering, settings: Settings, frequent: int, words: int, pairs: int, sweeps: int, used: list[int]) -> Settings:
@@ -589,20 +640,21 @@ def _sampled(gathering: Gathering, settings: Settings, frequent: int, words: int
 
     def figures(rows: DataFrame) -> np.ndarray:
         """Sums of a row of numbers a bucket."""
-        return sum(unpack(row.data)["figures"] for row in rows.where(f"bucket = {FIGURES}").select("data").collect())
+        return sum(grow(row.data)["figures"] for row in rows.where(f"bucket = {FIGURES}").select("data").collect())
 
     def hand_on(unit: int, it: Unit):
         c, mine = it.counts()
         once, more = mine & (c == 1), np.flatnonzero(mine & (c > 1))
         below, above = (np.bincount(side[once], minlength=len(it.words)) for side in (it.first, it.second))
-        yield from _rows(unit, _bucketed(it.words, words, below=below, above=above))
+        out = [(unit, *part) for part in _bucketed(it.words, words, below=below, above=above)]
         row, column = (((it.words >> np.uint64(32)) * np.uint64(grid) >> np.uint64(32)).astype(np.int64)[side[more]] for side in (it.first, it.second))
         cell = row * grid + column
         more, cell = more[np.argsort(cell, kind="stable")], np.sort(cell)
         for low, high in zip(*(np.searchsorted(cell, np.unique(cell), side) for side in ("left", "right"))):
             some = more[low:high]
-            known, place = np.unique(np.concatenate([it.first[some], it.second[some]]), return_inverse=True)
-            yield from _rows(-1 - int(cell[low]), [(PAIRS, Cell.packed(it.words[known], place[:len(some)], place[len(some):], c[some]))])
+            known, place, *_ = _merged(np.concatenate([it.first[some], it.second[some]]).view(np.uint64))
+            out.append((-1 - int(cell[low]), PAIRS, Cell.packed(it.words[known.view(np.int64)], place[:len(some)], place[len(some):], c[some])))
+        yield _rows(out)
 
     handed, handed_path = written("handed", gathering.each(["pair_counts"], hand_on, _ASKED))
     cells, _ = written("cells", _grouped(handed.where("unit < 0"), "unit", grid * grid, lambda cell, rows: _gathered(cell, rows, words)))
@@ -618,10 +670,10 @@ def _sampled(gathering: Gathering, settings: Settings, frequent: int, words: int
     for sweep in range(1, sweeps + 1):
         def seat(cell: int, rows: list[tuple[int, bytes]], settings: Settings = settings, sweep: int = sweep):
             it = Cell(rows[0][1])
-            kept = unpack(rows[1][1]) if rows[1][0] == SEATS else {"tables": np.ones(len(it.c), np.int64), "seen": np.zeros(len(it.c), np.int64)}
-            t = it.seated(settings, kept["tables"].astype(np.int64), [data for bucket, data in rows if bucket >= 0], sweep)
+            kept = grow(rows[1][1]) if rows[1][0] == SEATS else {"tables": np.ones(len(it.c), np.int64), "seen": np.zeros(len(it.c), np.int64)}
+            t = it.seated(settings, kept["tables"], [data for bucket, data in rows if bucket >= 0], sweep)
             seen = kept["seen"] + (t if sweep in used else 0)
-            yield cell, SEATS, pack(tables=narrow(t), seen=narrow(seen))
+            yield cell, SEATS, shrink(tables=t, seen=seen)
             for bucket, data in it.sums(words, t):
                 yield cell, bucket, data
 
@@ -640,35 +692,47 @@ def _sampled(gathering: Gathering, settings: Settings, frequent: int, words: int
 
     def seen(cell: int, rows: list[tuple[int, bytes]]):
         it = Cell(rows[0][1])
-        total = unpack(rows[1][1])["seen"] if len(rows) > 1 else np.ones(len(it.c), np.int64)
+        total = grow(rows[1][1])["seen"] if len(rows) > 1 else np.ones(len(it.c), np.int64)
         order = np.argsort(it.key)
         for bucket, data in _bucketed(it.key[order], pairs, seen=total[order]):
             yield cell, bucket, data
 
-    def tell(bucket: int, rows: list[tuple[int, bytes]], values_of: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]]):
+    def tell(bucket: int, rows: list[tuple[int, bytes]], values_of: Callable[[dict[str, np.ndarray]], Callable[[np.ndarray], dict[str, np.ndarray]]]):
         """Values of the bucket's keys, to each unit at its places; nothing to those with none."""
-        told = values_of(_summed([unpack(data) for unit, data in rows if unit < 0])[3]) if rows[0][0] < 0 else {"seen": np.zeros(0, np.int64)}
+        told = values_of(_summed([grow(data) for unit, data in rows if unit < 0])[3] if rows[0][0] < 0 else {"seen": np.zeros(0, np.int64)})
         for unit, data in rows:
             if unit >= 0:
-                at = np.cumsum(unpack(data)["gaps"], dtype=np.int64)
-                yield unit, bucket, pack(**{name: narrow(values[at]) for name, values in told.items()})
+                yield unit, bucket, shrink(**told(np.cumsum(grow(data)["gaps"])))
 
-    def samples(sums: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    def samples(sums: dict[str, np.ndarray]) -> Callable[[np.ndarray], dict[str, np.ndarray]]:
         zero = np.zeros(len(sums["below"]), np.int64)
-        told = {name: sums[name] + sums.get(f"{name}{used[0]}", zero) for name in ("below", "above")}
-        # Few words differ from sweep to sweep, so differences take next to no room.
-        return told | {f"{name}{sweep}": sums.get(f"{name}{sweep}", zero) - sums.get(f"{name}{used[0]}", zero)
-                       for sweep in used[1:] for name in ("below", "above")}
+        firsts = {name: sums.get(f"{name}{used[0]}", zero) for name in ("below", "above")}
+        base = {name: sums[name] + first for name, first in firsts.items()}
+        later = {name: [sums.get(f"{name}{sweep}", zero) - first for sweep in used[1:]] for name, first in firsts.items()}
+        differs = {name: reduce(np.logical_or, (values != 0 for values in each), zero != 0) for name, each in later.items()}
+
+        def told(at: np.ndarray) -> dict[str, np.ndarray]:
+            out = {}
+            for name in firsts:
+                out |= {name: base[name][at], f"{name}_differs": differs[name][at]}
+                # Many words have the same tables after all sweeps.
+                some = at[out[f"{name}_differs"]]
+                out |= {f"{name}{sweep}": values[some] for sweep, values in zip(used[1:], later[name])}
+            return out
+
+        return told
 
     state = static if seats is None else static.unionByName(seats.where(f"bucket = {SEATS}"))
     gathering.keep("seats", _grouped(gathering.places["pair_counts"].unionByName(_grouped(state, "unit", grid * grid, seen)), "bucket", pairs,
-                                     lambda bucket, rows: tell(bucket, rows, lambda sums: sums)))
+                                     lambda bucket, rows: tell(bucket, rows, lambda sums: lambda at: {"seen": sums["seen"][at]})))
+    gathering.forget("pair_counts")
     last = {at for _, at in ledgers}
     for old in [at for at in paths if at not in last]:
         discard(old)
     ledger = reduce(DataFrame.unionByName, [df.select(F.lit(-1).cast("long").alias("unit"), F.col("unit").cast("int").alias("bucket"), "data") for df, _ in ledgers])
     gathering.keep("samples", _grouped(gathering.places["word_counts"].unionByName(ledger), "bucket", words,
                                        lambda bucket, rows: tell(bucket, rows, samples)))
+    gathering.forget("word_counts")
     for old in last:
         discard(old)
     return settings

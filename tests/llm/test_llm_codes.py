@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from conftest import SMALLEST
 from ledgerlark.llm import token_alignment, vector_codes
-from ledgerlark.llm.packing import pack, pack_keys, unpack, unpack_keys
+from ledgerlark.llm.packing import grow, pack, pack_keys, shrink, unpack, unpack_keys
 from llm_brute import awkward_texts, prose, sha256
 
 
@@ -23,6 +23,16 @@ def test_packing_gives_back_what_it_took():
     keys = np.sort(np.random.default_rng(3).integers(0, 1 << 64, 1000, dtype=np.uint64))
     assert (unpack_keys(pack_keys(keys)) == keys).all()
     assert len(unpack_keys(pack_keys(keys[:0]))) == 0
+
+
+@pytest.mark.parametrize("values", [
+    [], [7], [5, 5, 5], [0, 255, 256, -1], [2 ** 62, -2 ** 62], [-2 ** 63, 2 ** 63 - 1], [2 ** 40, 2 ** 40 + 70_000], [True, False, True]])
+def test_numbers_are_shrunk_and_grown(values):
+    array = np.array(values, bool if values[:1] == [True] else np.int64)
+    back = grow(shrink(x=array, keys=pack_keys(np.arange(3, dtype=np.uint64)), none=array[:0]))
+    assert list(back) == ["x", "keys", "none"] and back["x"].tolist() == values and back["x"].dtype == array.dtype
+    assert unpack_keys(back["keys"]).tolist() == [0, 1, 2] and len(back["none"]) == 0
+    assert len(shrink(x=array)) < 120
     got = unpack(pack(a=np.arange(5), b=["x", ""], c=np.zeros(0, np.int32)))
     assert got["a"].tolist() == list(range(5)) and got["b"].tolist() == ["x", ""] and len(got["c"]) == 0
     assert unpack(None) == {}

@@ -135,6 +135,24 @@ def test_long_texts_and_little(spark):
         assert listed(got) == listed([(*b, Plain(rows).score(t)) for b, (_, t) in zip(base_rows(rows), rows)])
 
 
+def test_scratch_is_small(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{k}" for k in draw.zipf(1.3, 400) % 4000)) for i in range(100)]
+    stored, keep = {}, pitman_yor.Gathering.keep
+
+    def kept(self, name, told):
+        keep(self, name, told)
+        stored[name] = sum(len(data) for row in self.told[name].collect() for data in row[name])
+        stored["units"] = sum(len(value) for row in self.units.collect() for value in row if isinstance(value, (bytes, bytearray)))
+
+    monkeypatch.setattr(pitman_yor.Gathering, "keep", kept)
+    scored(spark, rows)
+    words = len({w for _, text in rows for w in text.split()})
+    # The texts' tokens say which pairs there are, and most words have the same tables after all sweeps.
+    assert stored["units"] < 100 * 400 * 2.5 + 8 * words
+    assert stored["samples"] < 12 * words
+
+
 def test_tables_are_dropped(spark):
     before = [t.name for t in spark.catalog.listTables()]
     scored(spark, [(1, "a b"), (2, "b a")])
