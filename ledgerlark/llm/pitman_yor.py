@@ -66,7 +66,7 @@ FOLDS = 10
 ADDED = 0.1
 
 # Text in a unit, and keys in a bucket: what a task holds at once.
-UNIT_BYTES = 5 << 20
+UNIT_BYTES = 4 << 20
 BUCKET_KEYS = 2_000_000
 
 # What stands for the end of a text and for the place before its first word.
@@ -208,13 +208,19 @@ def _ascending(keys: np.ndarray) -> np.ndarray:
     """The stable order of unsigned 64-bit keys, by sorting values, which is faster than sorting places."""
     bits = np.uint64(max(len(keys).bit_length(), 1))
     mark = (np.uint64(1) << bits) - np.uint64(1)
-    place = np.arange(len(keys), dtype=np.uint64)
-    if len(keys) and int(keys.max()) >> (64 - int(bits)) == 0:
-        return (np.sort((keys << bits) | place) & mark).astype(np.int64)
-    order = (np.sort((keys & ~mark) | place) & mark).astype(np.int64)
-    falls = keys[order]
-    # Keys that differ in their lowest bits alone may be out of order.
-    return order if (falls[1:] >= falls[:-1]).all() else np.argsort(keys, kind="stable")
+    fits = len(keys) and int(keys.max()) >> (64 - int(bits)) == 0
+    # In place, because a task holds many arrays of this length.
+    order = keys << bits if fits else keys & ~mark
+    order |= np.arange(len(keys), dtype=np.uint64)
+    order.sort()
+    order &= mark
+    order = order.view(np.int64)
+    if not fits:
+        falls = keys[order]
+        # Keys that differ in their lowest bits alone may be out of order.
+        if (falls[1:] < falls[:-1]).any():
+            return np.argsort(keys, kind="stable")
+    return order
 
 
 def _merged(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -301,7 +307,7 @@ class Unit:
         """The pair that each token ends."""
         return self._pairs[2]
 
-    @cached_property
+    @property
     def key(self) -> np.ndarray:
         return mix(mix(self.words)[self.first] + self.words[self.second])
 
@@ -432,7 +438,7 @@ class Gathering:
         discard(self.paths[name])
 
     def buckets(self, keys: str) -> int:
-        return -(-self.sizes[f"sum({keys})"] // BUCKET_KEYS) * 4
+        return -(-self.sizes[f"sum({keys})"] // BUCKET_KEYS) * (8 if keys == "n_pairs" else 4)
 
     def each(self, names: list[str], work: Callable[..., Iterator[pa.RecordBatch]], schema: T.StructType | str, with_ids: bool = False) -> DataFrame:
         """``work`` on every unit, told what stands under the names: with its number, or with the ids of its texts."""
@@ -491,7 +497,7 @@ def _scored(gathering: Gathering, id_type: T.DataType, sweeps: int, burn_in: int
         yield _rows((unit, *part) for part in _bucketed(it.words, words, total=total))
 
     def ask_pairs(unit: int, it: Unit):
-        total = np.bincount(it.pair[it.train], minlength=len(it.key))
+        total = np.bincount(it.pair[it.train], minlength=len(it.first))
         yield _rows((unit, *part) for part in _bucketed(it.key[it.order], pairs, total=total[it.order]))
 
     tokens, types, *_ = gathering.ask("word_counts", gathering.each([], ask_words, _ASKED))
